@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from cadastre.functions.rules import NEEDS_ENTRY, NEEDS_STATIC_DIR
 from cadastre.functions.text import entry_attr, entry_module, slug_to_module
 from cadastre.operators.skew import ROWS_PER_TASK, lookup_join
+from cadastre.sources.scratch import settle
 
 
 def duplicate_keys(
@@ -23,21 +24,15 @@ def duplicate_keys(
 ) -> DataFrame:
     """Rows whose key an earlier row already has, each with ``owner``: the first row's fields."""
     owner = F.min(F.struct(order, *owner_fields)).alias("owner")
-    owners = (
-        df.groupBy(key).agg(owner, F.count("*").alias("_n")).filter("_n > 1").drop("_n")
-    )
-    # Rows without a shared key leave here: the inner join keeps shared keys only.
-    out = lookup_join(df, owners, [key], "inner", rows_per_task)
+    owners = df.groupBy(key).agg(owner, F.count("*").alias("_n")).filter("_n > 1").drop("_n")
+    out = lookup_join(df, settle(owners), [key], "inner", rows_per_task)
     return out.filter(F.col(order) > F.col(f"owner.{order}"))
 
 
 def owners_only(df: DataFrame, key: str, order: str) -> DataFrame:
-    """The first row of every key.
-
-    The join back is on key and order together: a key that is repeated very often stays spread.
-    """
-    first = df.groupBy(key).agg(F.min(order).alias(order))
-    return df.join(first, [key, order], "left_semi")
+    """The first row of every key, in one pass; rows of a key are reduced before the shuffle."""
+    first = F.min_by(F.struct(*[c for c in df.columns if c != key]), order).alias("_first")
+    return df.groupBy(key).agg(first).select(key, "_first.*").select(*df.columns)
 
 
 def static_path() -> Column:
@@ -60,8 +55,10 @@ def missing_targets(
             "static_path": F.when(needs_static, static_path()),
         }
     )
-    modules = modules.select("module", "attr").distinct().withColumn("_module", F.lit(True))
-    static_dirs = static_dirs.select("static_path").distinct().withColumn("_static", F.lit(True))
+    modules = settle(modules.select("module", "attr").distinct()).withColumn("_module", F.lit(True))
+    static_dirs = settle(static_dirs.select("static_path").distinct()).withColumn(
+        "_static", F.lit(True)
+    )
     rows = lookup_join(rows, modules, ["module", "attr"], "left", rows_per_task)
     rows = lookup_join(rows, static_dirs, ["static_path"], "left", rows_per_task)
     return rows.withColumns(
@@ -82,14 +79,15 @@ def without_reference(
     df: DataFrame, listing: DataFrame, on: list[str], rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Rows whose key is not in the listing."""
-    return lookup_join(df, listing.select(*on).distinct(), on, "left_anti", rows_per_task)
+    keys = settle(listing.select(*on).distinct())
+    return lookup_join(df, keys, on, "left_anti", rows_per_task)
 
 
 def with_status(
     df: DataFrame, broken: DataFrame, key: str = "mount_path", rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Add ``status``: a disabled row is offline even when broken."""
-    keys = broken.select(key).distinct().withColumn("_broken", F.lit(True))
+    keys = settle(broken.select(key).distinct()).withColumn("_broken", F.lit(True))
     rows = lookup_join(df, keys, [key], "left", rows_per_task)
     status = (
         F.when(~F.col("enabled"), "offline")
@@ -156,7 +154,7 @@ def grouped_index(
     The rows stay flat, one per card, so a group may be of any size; sorting by
     ``(group_key, order)`` lists groups by first appearance and cards in source order.
     """
-    first = df.groupBy(group).agg(F.min(order).alias("group_key"))
+    first = settle(df.groupBy(group).agg(F.min(order).alias("group_key")))
     return lookup_join(df.select(group, order, *card), first, [group], "inner", rows_per_task)
 
 

@@ -5,18 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadastre.operators.skew import ROWS_PER_TASK, lookup_join
-
-
-def _segments(c) -> Column:
-    return F.size(F.split(c, "/")) - 1
+from cadastre.operators.skew import ROWS_PER_TASK, fits_broadcast, lookup_join
+from cadastre.sources.scratch import settle
 
 
 def resolve_routes(
     requests: DataFrame,
     routes: DataFrame,
     path: str,
-    depth: int | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add ``route``: ``(reg_key, endpoint, mount_at)`` of the winning route, null if none.
@@ -30,32 +26,39 @@ def resolve_routes(
     """
     if "exact" not in routes.columns:
         routes = routes.withColumn("exact", F.lit(False))
-    best = routes.groupBy("mount_at", "exact").agg(
-        F.min(F.struct("reg_key", "endpoint", "mount_at")).alias("_route")
+    best = settle(
+        routes.groupBy("mount_at", "exact")
+        .agg(F.min(F.struct("reg_key", "endpoint", "mount_at")).alias("_route"))
+        .withColumn("depth", F.size(F.split("mount_at", "/")) - 1)
     )
-    if depth is None:
-        depth = routes.filter(~F.col("exact")).agg(F.max(_segments("mount_at"))).first()[0] or 0
+    small = fits_broadcast(best)
+    depths = best.groupBy().agg(
+        F.max(F.when(~F.col("exact"), F.col("depth"))).alias("below"), F.max("exact").alias("whole")
+    )
+    limits = depths.first()
     out, found = requests, []
     parts = F.split(F.col(path), "/")
-    for level in range(1, depth + 1):
+
+    def match(prefix: Column, side: DataFrame, name: str) -> DataFrame:
+        side = side.select(F.col("mount_at").alias("_prefix"), F.col("_route").alias(name))
+        asked = out.withColumn("_prefix", prefix)
+        found.append(name)
+        return lookup_join(asked, side, ["_prefix"], "left", rows_per_task, small=small).drop("_prefix")
+
+    for level in range(1, (limits["below"] or 0) + 1):
         # A shorter path gets a value no mount has; null would gather all of them in one task.
         prefix = F.when(
             F.size(parts) > level, F.array_join(F.slice(parts, 1, level + 1), "/")
         ).otherwise(F.concat(F.col(path), F.lit("/")))
-        side = best.filter(~F.col("exact") & (_segments("mount_at") == level))
-        out = _match(out.withColumn("_prefix", prefix), side, f"_route_{level}", rows_per_task)
-        found.append(f"_route_{level}")
-    exact = best.filter("exact")
-    out = _match(out.withColumn("_prefix", F.col(path)), exact, "_route_exact", rows_per_task)
-    found.append("_route_exact")
+        side = best.filter(~F.col("exact") & (F.col("depth") == level))
+        out = match(prefix, side, f"_route_{level}")
+    if limits["whole"]:
+        out = match(F.col(path), best.filter("exact"), "_route_exact")
+    if not found:
+        return out.withColumn("route", F.lit(None).cast(best.schema["_route"].dataType))
     return out.withColumn("route", F.array_min(F.array(*found))).drop(*found)
 
 
-def _match(requests: DataFrame, side: DataFrame, name: str, rows_per_task: int) -> DataFrame:
-    side = side.select(F.col("mount_at").alias("_prefix"), F.col("_route").alias(name))
-    return lookup_join(requests, side, ["_prefix"], "left", rows_per_task).drop("_prefix")
-
-
 def catalogue_routes(endpoints: DataFrame, order: str) -> DataFrame:
     """Routes of a catalogue in registration order.
 

@@ -75,34 +75,35 @@ def lookup_join(
     how: str = "left",
     rows_per_task: int = ROWS_PER_TASK,
     max_rows: int = BROADCAST_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
-    """Equi join to a side with one row per key.
+    """Equi join to a side with one row per key; settle that side first if it is costly to derive.
 
-    Broadcast when the side was measured to be small.  Otherwise both sides are shuffled; rows of
-    a hot key, null included, are spread over several salts and the one matching row is repeated
-    for each salt.
-    The salt is a hash of the row, so a task that is run again gives the same rows.
+    Broadcast when the side was measured to be small (``small`` gives an earlier measurement).
+    Otherwise both sides are shuffled; rows of a hot key, null included, are spread over several
+    salts and the one matching row is repeated for each salt.  The salt is a hash of the row, so a
+    task that is run again gives the same rows.
     """
-    if fits_broadcast(dim, max_rows):
+    if small is None:
+        small = fits_broadcast(dim, max_rows)
+    if small:
         return df.join(F.broadcast(dim), on, how)
     if df.isStreaming:
         return df.join(dim, on, how)
     hot = hot_keys(df, on, rows_per_task).withColumn(
         "_salts", F.ceil(F.col("_n") / rows_per_task).cast("int")
     )
+    hot = hot.drop("_n")
     found = hot.limit(max_rows + 1).count()
     if not found:
         return df.join(dim, on, how)
-    hot = hot.drop("_n")
-    spread = attach(df, hot, on, found <= max_rows).withColumn(
-        "_salt", F.coalesce(F.pmod(F.xxhash64(*df.columns), F.col("_salts")), F.lit(0)).cast("int")
-    )
-    copies = attach(dim, hot, on, found <= max_rows).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
-    )
-    return (
-        spread.drop("_salts").join(copies.drop("_salts"), [*on, "_salt"], how).drop("_salt")
-    )
+    salt = F.pmod(F.xxhash64(*df.columns), F.col("_salts"))
+    spread = attach(df, hot, on, found <= max_rows)
+    spread = spread.withColumn("_salt", F.coalesce(salt, F.lit(0)).cast("int")).drop("_salts")
+    last = F.coalesce(F.col("_salts"), F.lit(1)) - 1
+    copies = attach(dim, hot, on, found <= max_rows)
+    copies = copies.withColumn("_salt", F.explode(F.sequence(F.lit(0), last))).drop("_salts")
+    return spread.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
 def _scale(df: DataFrame, column: str) -> Column | None:

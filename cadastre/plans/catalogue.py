@@ -17,7 +17,7 @@ from cadastre.operators.catalogue import (
 from cadastre.operators.routes import catalogue_routes
 from cadastre.operators.skew import ROWS_PER_TASK
 from cadastre.sources.manifests import decode_records, manifest_scan
-from cadastre.sources.scratch import scratch_folder
+from cadastre.sources.scratch import settle
 
 
 class CatalogueError(ValueError):
@@ -42,8 +42,11 @@ def typed_records(decoded: DataFrame) -> DataFrame:
 
 
 def load_records(spark: SparkSession, root: str, fmt: str = "yaml") -> DataFrame:
-    """Scan, decode and check; every file gives a row, good or bad."""
-    return typed_records(decode_records(manifest_scan(spark, root), fmt))
+    """Scan, decode and check; every file gives a row, good or bad.
+
+    The files are decoded once, for all that is asked of the records later.
+    """
+    return settle(typed_records(decode_records(manifest_scan(spark, root), fmt)))
 
 
 def violation_text() -> Column:
@@ -109,13 +112,6 @@ def require_clean(records: DataFrame, order: str = "path_parts", path: str = "pa
             raise CatalogueError(bad["message"])
 
 
-def keep_as_table(df: DataFrame) -> DataFrame:
-    """Write to the shared folder and read back, for a table that several results start from."""
-    folder = scratch_folder(df.sparkSession)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
 def build_catalogue(
     records: DataFrame,
     modules: DataFrame,
@@ -138,7 +134,8 @@ def status_on_row() -> Column:
 def catalogue_index(
     catalogue: DataFrame, order: str = "path_parts", rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
-    return grouped_index(catalogue, order, rows_per_task=rows_per_task)
+    """Cards of the catalogue, which is built once for the groups and the cards."""
+    return grouped_index(settle(catalogue), order, rows_per_task=rows_per_task)
 
 
 def routes_of(catalogue: DataFrame, order: str = "path_parts") -> DataFrame:

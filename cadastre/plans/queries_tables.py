@@ -191,7 +191,7 @@ def j5_catalogue_routes(spark, sf_dir):
     requests = v.catalog(spark, sf_dir).select(
         v.KEY, F.concat(text.canonical_path("group", "slug"), rest).alias("path")
     )
-    return resolve_routes(requests, routes_of(_built(spark, sf_dir), v.KEY), "path", 3).select(
+    return resolve_routes(requests, routes_of(_built(spark, sf_dir), v.KEY), "path").select(
         v.KEY, "path", "route.mount_at", "route.endpoint"
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastre.functions.text import canonical_path, slug_to_module
+from cadastre.sources.scratch import settle
 
 KEY = "o_orderkey"
 
@@ -199,7 +200,8 @@ def first_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = table(spark, sf_dir, "documents").select(
         "doc_id", F.explode(F.split("text", r"[ \n]")).alias("word")
     )
-    return words.filter("word <> ''").groupBy("word").agg(F.min("doc_id").alias("first_doc"))
+    words = words.filter("word <> ''")
+    return settle(words.groupBy("word").agg(F.min("doc_id").alias("first_doc")))
 
 
 def changed_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,11 +220,12 @@ def unit_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = F.split(F.parse_url("url", F.lit("PATH")), "/")
     pages = table(spark, sf_dir, "pages").filter(F.col("url").startswith("https:"))
     name = F.coalesce(F.try_element_at(parts, F.lit(3)), F.lit(""))
-    return pages.groupBy(
-        F.concat(F.try_element_at(parts, F.lit(2)), F.lit("/"), name).alias("unit")
-    ).agg(
-        F.max(F.col("url").contains("?")).alias("pytest"),
-        F.max(F.col("url").contains("#")).alias("mypy"),
+    unit = F.concat(F.try_element_at(parts, F.lit(2)), F.lit("/"), name).alias("unit")
+    return settle(
+        pages.groupBy(unit).agg(
+            F.max(F.col("url").contains("?")).alias("pytest"),
+            F.max(F.col("url").contains("#")).alias("mypy"),
+        )
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
@@ -23,3 +23,14 @@ def scratch_folder(spark: SparkSession) -> str:
         base = tempfile.mkdtemp(prefix="cadastre-")
         spark.conf.set(SETTING, base)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write a derived table to the shared folder and read it back.
+
+    For a table that is measured before it is joined, or that several results start from: its
+    lineage runs once, its size is known, and it outlives the executors that made it.
+    """
+    folder = scratch_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

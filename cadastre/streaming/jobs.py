@@ -37,11 +37,10 @@ def route_stream(
     requests: DataFrame,
     routes: DataFrame,
     path: str,
-    depth: int | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Requests as a stream against a static table of routes."""
-    return resolve_routes(requests, routes, path, depth, rows_per_task)
+    return resolve_routes(requests, routes, path, rows_per_task)
 
 
 def run_available(stream: DataFrame, folder: str) -> DataFrame:
