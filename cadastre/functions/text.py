@@ -115,22 +115,12 @@ def bounded_index(fragment, n, default=0) -> Column:
     return F.when(index.between(0, n - 1), index).otherwise(F.lit(default).cast("bigint"))
 
 
-def json_document(c) -> Column:
-    """JSON text as a variant; null when malformed, also when text follows the value.
+def json_array(c) -> Column:
+    """JSON array text as ``array<string>``; malformed or non-array text gives an empty array.
 
-    Spark's parsers stop after the first value, so the text is parsed as the first item of a
-    two-item array whose second item must still be there.
+    Spark's parser stops after the first value, so the text is also parsed as the first item of a
+    two-item array, whose second item is lost if anything follows the text.
     """
-    wrapped = F.try_parse_json(F.concat(F.lit("["), _col(c), F.lit(f',"{_JSON_END}"]')))
-    end = F.try_variant_get(wrapped, "$[1]", "string")
-    more = F.try_variant_get(wrapped, "$[2]", "variant")
-    return F.when(
-        (end == _JSON_END) & more.isNull(), F.try_variant_get(wrapped, "$[0]", "variant")
-    )
-
-
-def json_array(c) -> Column:
-    """JSON array text as ``array<string>``; malformed or non-array text gives an empty array."""
     c = _col(c)
     empty = F.array().cast("array<string>")
     wrapped = F.from_json(

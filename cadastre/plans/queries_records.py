@@ -43,7 +43,7 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
 )
 def s1_manifest_scan(spark, sf_dir):
     """Every supplier's manifest is written as one file of a two-level tree, then scanned."""
-    supplier = v.table(spark, sf_dir, "supplier").join(
+    supplier = v.spread(v.table(spark, sf_dir, "supplier")).join(
         v.table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
     )
     group = F.concat(F.lit("nation-"), F.col("s_nationkey").cast("string"))
@@ -270,7 +270,7 @@ def e6_zero_pad(spark, sf_dir):
 FROM documents""",
 )
 def e7_strip_suffix(spark, sf_dir):
-    return v.table(spark, sf_dir, "documents").select(
+    return v.documents(spark, sf_dir).select(
         "doc_id",
         text.strip_suffix("text", ",").alias("head"),
         text.strip_suffix(F.concat_ws(" · ", "source", "text")).alias("kicker"),
@@ -349,7 +349,7 @@ def e11_json_array(spark, sf_dir):
         .when(lang == "es", F.concat(lines, F.lit("]")))
         .otherwise(F.col("text"))
     )
-    documents = v.table(spark, sf_dir, "documents").select(
+    documents = v.documents(spark, sf_dir).select(
         "doc_id", text.json_array(json).alias("items")
     )
     return documents.select(

@@ -281,7 +281,7 @@ FROM conversations c LEFT JOIN documents d ON d.doc_id = c.conv_id""",
 def j8_positional_join(spark, sf_dir):
     """The turns of a conversation with the lines of the document of the same number."""
     turns = v.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
-    notes = v.table(spark, sf_dir, "documents").select(
+    notes = v.documents(spark, sf_dir).select(
         F.col("doc_id").alias("conv_id"), F.to_json(F.split("text", "\n")).alias("notes")
     )
     return lookup.positional_join(turns, notes, "conv_id", "turn", "notes")

@@ -18,6 +18,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for costly work per row on a scan that has fewer partitions than cores.
+
+    A file of one row group is one partition.  A scan with partitions enough is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def _every(n: int) -> Column:
     return F.col(KEY) % n == 0
 
@@ -37,7 +46,7 @@ def catalog(
     orders: DataFrame | None = None,
 ) -> DataFrame:
     """One record per order; orders of one customer share a path, so keys repeat."""
-    orders = table(spark, sf_dir, "orders") if orders is None else orders
+    orders = spread(table(spark, sf_dir, "orders")) if orders is None else orders
     customer = table(spark, sf_dir, "customer")
     rows = orders.join(customer, orders["o_custkey"] == customer["c_custkey"]).select(
         KEY,
@@ -195,9 +204,13 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def first_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every word of the documents with the first document that has it."""
-    words = table(spark, sf_dir, "documents").select(
+    words = documents(spark, sf_dir).select(
         "doc_id", F.explode(F.split("text", r"[ \n]")).alias("word")
     )
     words = words.filter("word <> ''")
@@ -231,6 +244,6 @@ def unit_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every document with its position."""
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         "doc_id", "source", F.posexplode(F.split("text", "\n")).alias("position", "text")
     )

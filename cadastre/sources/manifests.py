@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadastre.functions.rules import FIELDS
-from cadastre.functions.text import json_document
 
 MANIFEST_GLOB = "*/*/project.yaml"
 
@@ -20,7 +19,9 @@ FALSE_TEXT = ("0", "off", "f", "false", "n", "no")
 TEXT_FIELDS = ("name", "slug", "description", "group", "mount_path")
 OPTIONAL_TEXT = ("entry", "static_dir")
 CHECKS = ("pytest", "mypy")
+_END = "end of text"
 
+TYPE_ERRORS = "array<struct<field:string,code:string>>"
 YAML_RESULT = T.StructType(
     [T.StructField("json", T.StringType()), T.StructField("error", T.StringType())]
 )
@@ -103,6 +104,23 @@ def yaml_to_json(content: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["json", "error"])
 
 
+def _json_fields(text: Column) -> Column:
+    """The known fields of a JSON mapping, each as a variant; null when the text is malformed.
+
+    An explicit null stays a variant, so it differs from an absent field.  The parser stops after
+    the first value; with the text inside another mapping, anything that follows it is an error.
+    """
+    known = ", ".join(f"`{f}` variant" for f in FIELDS)
+    outer = F.from_json(
+        F.concat(F.lit('{"doc":'), text, F.lit(f',"end":"{_END}"}}')),
+        f"doc struct<{known}>, end string, malformed string",
+        {"columnNameOfCorruptRecord": "malformed", "allowSingleQuotes": "false"},
+    )
+    return F.when(
+        outer["malformed"].isNull() & (outer["end"] == _END), outer["doc"]
+    )
+
+
 def _json_type(v) -> Column:
     """Type of a JSON value; null when the field is absent, VOID for an explicit null."""
     return F.schema_of_variant(v)
@@ -144,17 +162,21 @@ def _type_errors() -> Column:
     for f in OPTIONAL_TEXT:
         text[f] = _error(~tag[f].isin("STRING", "VOID"), f, "string_type")
     is_list, is_map = tag["members"].startswith("ARRAY"), tag["checks"].startswith("OBJECT")
-    members = F.when(
-        is_list,
-        F.transform(
-            F.try_variant_get("_v_members", "$", "array<variant>"),
-            lambda v, i: _error(
-                _json_type(v) != "STRING",
-                F.concat(F.lit("members."), i.cast("string")),
-                "string_type",
+    members = (
+        F.when(tag["members"] == "ARRAY<STRING>", F.array().cast(TYPE_ERRORS))
+        .when(
+            is_list,
+            F.transform(
+                F.try_variant_get("_v_members", "$", "array<variant>"),
+                lambda v, i: _error(
+                    _json_type(v) != "STRING",
+                    F.concat(F.lit("members."), i.cast("string")),
+                    "string_type",
+                ),
             ),
-        ),
-    ).otherwise(F.array(_error(tag["members"].isNotNull(), "members", "list_type")))
+        )
+        .otherwise(F.array(_error(tag["members"].isNotNull(), "members", "list_type")))
+    )
     return F.array_compact(
         F.concat(
             F.array(*[text[f] for f in ("name", "slug", "description", "group")]),
@@ -200,22 +222,15 @@ def decode_records(df: DataFrame, fmt: str = "yaml", content: str = "content") -
         text, problem = F.col(content), F.lit(None).cast("string")
     else:
         raise ValueError(f"unknown format {fmt!r}")
-    df = df.withColumn("_doc", json_document(text)).withColumn("_root", _json_type("_doc"))
-    paths = {f: f"$.{f}" for f in FIELDS} | {c: f"$.checks.{c}" for c in CHECKS}
-    df = df.withColumns(
-        {f"_v_{f}": F.try_variant_get("_doc", path, "variant") for f, path in paths.items()}
-    )
-    df = df.withColumns({f"_t_{f}": _json_type(f"_v_{f}") for f in paths})
+    df = df.withColumn("_doc", _json_fields(text))
+    fields = {f: F.col(f"_doc.{f}") for f in FIELDS}
+    fields |= {c: F.try_variant_get("_doc.checks", f"$.{c}", "variant") for c in CHECKS}
+    df = df.withColumns({f"_v_{f}": v for f, v in fields.items()})
+    df = df.withColumns({f"_t_{f}": _json_type(f"_v_{f}") for f in fields})
     df = df.withColumns({f"_b_{f}": _as_bool(f) for f in ("enabled", *CHECKS)})
-    error = F.coalesce(
-        problem,
-        F.when(F.col("_root").isNull(), "malformed text"),
-        F.when(
-            ~F.col("_root").startswith("OBJECT"),
-            F.concat(F.lit("a mapping is needed, found "), "_root"),
-        ),
-    )
-    ok = error.isNull()
+    broken = F.when(F.col("_doc").isNull(), "malformed text or not a mapping")
+    df = df.withColumn("decode_error", F.coalesce(problem, broken))
+    ok = F.col("decode_error").isNull()
     present = F.array_compact(
         F.array(*[F.when(F.col(f"_t_{f}").isNotNull(), F.lit(f)) for f in FIELDS])
     )
@@ -223,8 +238,8 @@ def decode_records(df: DataFrame, fmt: str = "yaml", content: str = "content") -
         F.when(ok, _record()).alias("rec"),
         F.when(ok, present).alias("present_fields"),
         F.when(ok, _type_errors()).alias("type_errors"),
-        error.alias("decode_error"),
+        "decode_error",
     )
     # As the output of a generator the record is computed once: a later filter on it is not
     # pushed below, where it would parse the text again.
-    return df.select(*keep, F.inline(F.array(decoded)))
+    return df.withColumn("_decoded", decoded).select(*keep, F.inline(F.array("_decoded")))
