@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from cadastre.functions import rules, text
@@ -22,6 +23,11 @@ from cadastre.sources.scratch import scratch_folder
 QUERIES, ORACLE = {}, {}
 
 
+def as_text(c) -> Column:
+    """An optional flag or number as text, empty when null."""
+    return F.coalesce(F.col(c).cast("string"), F.lit(""))
+
+
 def register(name, sql=None):
     def add(fn):
         QUERIES[name] = fn
@@ -76,8 +82,8 @@ def _decoded(rows):
         F.array_join("rec.members", "|").alias("members"),
         "rec.kind",
         "rec.entry",
-        "rec.enabled",
-        "rec.checks.pytest",
+        as_text("rec.enabled").alias("enabled"),
+        as_text("rec.checks.pytest").alias("pytest"),
         F.array_join(
             F.transform("type_errors", lambda e: F.concat_ws(" ", e["field"], e["code"])), "; "
         ).alias("wrong_types"),
@@ -99,9 +105,9 @@ def _decoded(rows):
        WHEN o_orderkey % 41 = 0 THEN NULL ELSE name END AS members,
   CASE WHEN failed THEN NULL WHEN o_orderkey % 43 = 0 THEN 'other' ELSE kind END AS kind,
   CASE WHEN NOT failed THEN entry END AS entry,
-  CASE WHEN failed OR o_orderkey % 47 = 0 OR o_orderkey % 53 = 0 THEN NULL
-       ELSE o_orderstatus <> 'P' END AS enabled,
-  CASE WHEN failed THEN NULL ELSE o_orderkey % 59 <> 0 AND o_orderstatus = 'F' END AS pytest,
+  CASE WHEN failed OR o_orderkey % 47 = 0 OR o_orderkey % 53 = 0 THEN ''
+       WHEN o_orderstatus <> 'P' THEN 'true' ELSE 'false' END AS enabled,
+  CASE WHEN failed THEN '' WHEN o_orderkey % 59 <> 0 AND o_orderstatus = 'F' THEN 'true' ELSE 'false' END AS pytest,
   CASE WHEN NOT failed THEN concat_ws('; ', CASE WHEN o_orderkey % 23 = 0 THEN 'slug string_type' END,
     CASE WHEN o_orderkey % 29 = 0 THEN 'description string_type' END,
     CASE WHEN o_orderkey % 31 = 0 THEN NULL
@@ -129,8 +135,8 @@ def s2_decode_json(spark, sf_dir):
   CASE WHEN NOT failed THEN name END AS members,
   CASE WHEN NOT failed THEN kind END AS kind,
   CASE WHEN NOT failed THEN entry END AS entry,
-  CASE WHEN NOT failed THEN o_orderstatus <> 'P' END AS enabled,
-  CASE WHEN NOT failed THEN o_orderstatus = 'F' END AS pytest,
+  CASE WHEN failed THEN '' WHEN o_orderstatus <> 'P' THEN 'true' ELSE 'false' END AS enabled,
+  CASE WHEN failed THEN '' WHEN o_orderstatus = 'F' THEN 'true' ELSE 'false' END AS pytest,
   CASE WHEN NOT failed THEN concat_ws('; ', CASE WHEN o_orderkey % 23 = 0 THEN 'slug string_type' END,
     CASE WHEN o_orderkey % 29 = 0 THEN 'description string_type' END) END AS wrong_types
 FROM catalog""",
@@ -220,7 +226,7 @@ def e3_entry_split(spark, sf_dir):
 
 @register(
     "e4_defaults",
-    """SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN true WHEN 'O' THEN false END AS enabled FROM orders""",
+    """SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'true' WHEN 'O' THEN 'false' ELSE '' END AS enabled FROM orders""",
 )
 def e4_defaults(spark, sf_dir):
     """F: field absent; O: present and false; P: present and null."""
@@ -229,8 +235,9 @@ def e4_defaults(spark, sf_dir):
         F.array(F.lit("name"), F.lit("enabled"))
     )
     value = F.when(status == "O", F.lit(False))
-    return v.table(spark, sf_dir, "orders").select(
-        v.KEY, text.default_if_absent(value, present, "enabled", True).alias("enabled")
+    enabled = text.default_if_absent(value, present, "enabled", True).alias("enabled")
+    return v.table(spark, sf_dir, "orders").select(v.KEY, enabled).withColumn(
+        "enabled", as_text("enabled")
     )
 
 
@@ -412,8 +419,8 @@ def e14_link_or_badge(spark, sf_dir):
     "e15_diagnostic_lines",
     q.with_tables(q.LINES)
     + """SELECT doc_id, position::INTEGER AS position,
-  CASE WHEN position > 0 THEN source END AS file, CASE WHEN position > 0 THEN position::INTEGER END AS line,
-  CASE WHEN position > 0 THEN length(text)::INTEGER END AS col,
+  CASE WHEN position > 0 THEN source END AS file, CASE WHEN position > 0 THEN position::VARCHAR ELSE '' END AS line,
+  CASE WHEN position > 0 THEN length(text)::VARCHAR ELSE '' END AS col,
   CASE WHEN position > 0 THEN text END AS message FROM lines""",
 )
 def e15_diagnostic_lines(spark, sf_dir):
@@ -423,7 +430,14 @@ def e15_diagnostic_lines(spark, sf_dir):
     return (
         v.document_lines(spark, sf_dir)
         .withColumn("parsed", text.diagnostic(raw))
-        .select("doc_id", "position", "parsed.*")
+        .select(
+            "doc_id",
+            "position",
+            "parsed.file",
+            as_text("parsed.line").alias("line"),
+            as_text("parsed.col").alias("col"),
+            "parsed.message",
+        )
     )
 
 

@@ -12,6 +12,7 @@ from cadastre.operators.routes import resolve_routes
 from cadastre.plans import oracle as q
 from cadastre.plans import views as v
 from cadastre.plans.catalogue import build_catalogue, catalogue_index, routes_of
+from cadastre.plans.queries_records import as_text
 from cadastre.sources.scratch import scratch_folder
 from cadastre.streaming import jobs
 
@@ -120,12 +121,15 @@ def j1_ref_integrity(spark, sf_dir):
 @register(
     "j1_missing_targets",
     q.with_tables(q.CATALOG, q.TARGETS.format(rows="catalog"))
-    + """SELECT o_orderkey, mount_path, module_ok, static_ok FROM targeted
+    + """SELECT o_orderkey, mount_path, coalesce(module_ok::VARCHAR, '') AS module_ok, coalesce(static_ok::VARCHAR, '') AS static_ok FROM targeted
 WHERE enabled AND (NOT coalesce(module_ok, true) OR NOT coalesce(static_ok, true))""",
 )
 def j1_missing_targets(spark, sf_dir):
     return cat.broken_records(_targeted(spark, sf_dir)).select(
-        v.KEY, "mount_path", "module_ok", "static_ok"
+        v.KEY,
+        "mount_path",
+        as_text("module_ok").alias("module_ok"),
+        as_text("static_ok").alias("static_ok"),
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastre.functions.text import canonical_path, slug_to_module
+from cadastre.operators.skew import lookup_join
 from cadastre.sources.scratch import settle
 
 KEY = "o_orderkey"
@@ -47,8 +48,10 @@ def catalog(
 ) -> DataFrame:
     """One record per order; orders of one customer share a path, so keys repeat."""
     orders = spread(table(spark, sf_dir, "orders")) if orders is None else orders
-    customer = table(spark, sf_dir, "customer")
-    rows = orders.join(customer, orders["o_custkey"] == customer["c_custkey"]).select(
+    customer = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment"
+    )
+    rows = lookup_join(orders, customer, ["o_custkey"], "inner").select(
         KEY,
         F.col("c_name").alias("name"),
         F.concat(F.lit("c-"), F.col("o_custkey").cast("string")).alias("slug"),
