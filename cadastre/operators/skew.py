@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cadastre.sources.scratch import settle
+
 ROWS_PER_TASK = 2_000_000
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
@@ -90,11 +92,10 @@ def lookup_join(
         return df.join(F.broadcast(dim), on, how)
     if df.isStreaming:
         return df.join(dim, on, how)
-    hot = hot_keys(df, on, rows_per_task).withColumn(
-        "_salts", F.ceil(F.col("_n") / rows_per_task).cast("int")
-    )
-    hot = hot.drop("_n")
-    found = hot.limit(max_rows + 1).count()
+    hot = hot_keys(df, on, rows_per_task)
+    salts = F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_salts")
+    hot = settle(hot.select(*on, salts))
+    found = hot.count()
     if not found:
         return df.join(dim, on, how)
     salt = F.pmod(F.xxhash64(*df.columns), F.col("_salts"))
@@ -165,19 +166,23 @@ def ordered_lists(
     scale = _scale(df, order[0])
     if scale is None:
         return Lists(df, keys, order)
-    width = F.col("_hi") - F.col("_lo") + 1
+    # As doubles: rounding keeps the order, and differences cannot overflow.
+    scale = scale.cast("double")
     hot = hot_keys(
         df, keys, rows_per_task, F.min(scale).alias("_lo"), F.max(scale).alias("_hi")
-    ).withColumn("_slices", F.ceil(F.col("_n") / rows_per_task))
+    )
+    hot = settle(hot.withColumn("_slices", F.ceil(F.col("_n") / rows_per_task)).drop("_n"))
     total = hot.agg(F.coalesce(F.sum("_slices"), F.lit(0)).alias("n")).first()["n"]
     if not total:
         return Lists(df, keys, order)
     bounded = total <= BROADCAST_ROWS
+    share = (scale - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1)
+    last = F.isnan(share) | (share >= 1)  # infinite or undefined order values sort last
     cut = attach(df, hot, keys, bounded)
-    cut = cut.withColumn("_hot", F.col("_n").isNotNull()).withColumn(
+    cut = cut.withColumn("_hot", F.col("_slices").isNotNull()).withColumn(
         "_slice",
-        F.coalesce(
-            F.floor((scale - F.col("_lo")) * F.col("_slices") / width).cast("bigint"), F.lit(0)
-        ),
+        F.when(last, F.col("_slices"))
+        .when(share.isNotNull(), F.floor(share * F.col("_slices")).cast("bigint"))
+        .otherwise(F.lit(0)),
     )
-    return Lists(cut.drop("_n", "_lo", "_hi", "_slices"), keys, order, True, bounded)
+    return Lists(cut.drop("_lo", "_hi", "_slices"), keys, order, True, bounded)

@@ -155,3 +155,25 @@ def test_row_order_does_not_matter(events):
         plain = seq.renumber(events, KEY, ORDER, F.lit("x"), per_task)
         other = seq.renumber(events.orderBy(F.desc("id")), KEY, ORDER, F.lit("x"), per_task)
         assert by_id(plain, "position") == by_id(other, "position")
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        [float(i) for i in range(100)] + [float("inf")] * 20 + [float("nan")] * 20,
+        [float("-inf")] * 20 + [float(i) for i in range(100)],
+        [None] * 20 + [1e300 * i for i in range(100)],
+    ],
+)
+def test_extreme_order_values(spark, values):
+    frame = spark.createDataFrame([(i, 1, x) for i, x in enumerate(values)], "id int, u int, at double")
+    assert ordered_lists(frame, KEY, ORDER, 10).split
+    got = by_id(seq.renumber(frame, KEY, ORDER, F.lit(""), 10), "position")
+    assert got == {i: (i,) for i in range(len(values))}
+
+
+def test_wide_integers_do_not_overflow(spark):
+    values = [-(2**63), -5, 0, 7, 2**63 - 1] * 10
+    frame = spark.createDataFrame([(i, 1, x) for i, x in enumerate(values)], "id int, u int, at bigint")
+    want = {e[0]: (n,) for n, e in enumerate(sorted(enumerate(values), key=lambda e: (e[1], e[0])))}
+    assert by_id(seq.renumber(frame, KEY, ORDER, F.lit(""), 5), "position") == want
