@@ -12,9 +12,14 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000\ufeff"
 )
 LINE_ENDS = "\n\r\u2028\u2029"
+
+# Fixed values of labels, entries and directories.
 SEPARATOR = "·"
 DEFAULT_LABEL = "Slide"
 HEADING_CHARS = 40
+MODULE_ROOT = "apps."
+MODULE_APP = ".main:app"
+STATIC_DIR = "dist"
 
 _SPACE_CLASS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE) + "]"
 _NOT_LINE_END = "[^" + "".join(f"\\x{{{ord(c):x}}}" for c in LINE_ENDS) + "]"
@@ -22,6 +27,10 @@ _JSON_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 _JSON_END = "end of text"
 
 
+# Fixed format of a diagnostic line: file, line, column, message.
+_DIAGNOSTIC = r"\A([^:\n]+):([0-9]+):([0-9]+): ([^\n]*)\z"
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -61,14 +70,14 @@ def default_if_absent(value, present, field: str, default) -> Column:
 def default_entry(kind, group, slug) -> Column:
     """Entry point a new backend or fullstack record gets."""
     module = F.concat(
-        F.lit("apps."), slug_to_module(group), F.lit("."), slug_to_module(slug), F.lit(".main:app")
+        F.lit(MODULE_ROOT), slug_to_module(group), F.lit("."), slug_to_module(slug), F.lit(MODULE_APP)
     )
     return F.when(_col(kind).isin("backend", "fullstack"), module)
 
 
 def default_static_dir(kind) -> Column:
     """Static directory a new frontend or fullstack record gets."""
-    return F.when(_col(kind).isin("frontend", "fullstack"), F.lit("dist"))
+    return F.when(_col(kind).isin("frontend", "fullstack"), F.lit(STATIC_DIR))
 
 
 def zero_pad(c, width: int = 2) -> Column:
@@ -152,9 +161,6 @@ def badge(status) -> Column:
     return F.when(_col(status) != "online", _col(status))
 
 
-_DIAGNOSTIC = r"\A([^:\n]+):([0-9]+):([0-9]+): ([^\n]*)\z"
-
-
 def diagnostic(c) -> Column:
     """``file:line:col: message`` as a struct; all four fields are null when it does not parse."""
     c = _col(c)

@@ -9,6 +9,14 @@ from cadastre.operators.skew import ROWS_PER_TASK, fits_broadcast, lookup_join
 from cadastre.sources.scratch import settle
 
 
+# Fixed values: (phase, step, path, endpoint, matched whole); records' endpoints are phase 1.
+FIXED_ROUTES = [
+    (0, 0, "/static", "static", False),
+    (2, 0, "/health", "health", True),
+    (2, 1, "/", "index", True),
+]
+
+
 def resolve_routes(
     requests: DataFrame,
     routes: DataFrame,
@@ -68,8 +76,7 @@ def catalogue_routes(endpoints: DataFrame, order: str) -> DataFrame:
     spark = endpoints.sparkSession
     place = endpoints.schema[order].dataType.simpleString()
     fixed = spark.createDataFrame(
-        [(0, 0, "/static", "static", False), (2, 0, "/health", "health", True), (2, 1, "/", "index", True)],
-        "phase int, step int, mount_at string, endpoint string, exact boolean",
+        FIXED_ROUTES, "phase int, step int, mount_at string, endpoint string, exact boolean"
     )
     # null sorts first within a phase, and only the middle phase has places.
     fixed = fixed.select(

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from cadastre.functions.text import clamp, direction, zero_pad
 from cadastre.operators.skew import ROWS_PER_TASK, Lists, ordered_lists
 
+# Where a list starts, and what stands for no previous item.
 INITIAL_INDEX = 0
 NO_PREVIOUS = -1
+
 PART_ROWS = 100_000
 _HELPERS = ("_hot", "_slice")
 

@@ -20,6 +20,11 @@ from cadastre.sources.manifests import decode_records, manifest_scan
 from cadastre.sources.scratch import settle
 
 
+# Fixed values of the messages.
+INVALID = "Invalid manifest "
+DUPLICATE = "duplicate mount_path '"
+
+
 class CatalogueError(ValueError):
     """Strict loading met a bad record; the message names the first one in path order."""
 
@@ -60,7 +65,7 @@ def invalid_problems(records: DataFrame, order: str, path: str) -> DataFrame:
         F.lit(0).alias("severity"),
         F.col(order).alias("place"),
         F.concat(
-            F.lit("Invalid manifest "), F.col(path).cast("string"), F.lit(": "), violation_text()
+            F.lit(INVALID), F.col(path).cast("string"), F.lit(": "), violation_text()
         ).alias("message"),
     )
 
@@ -79,7 +84,7 @@ def duplicate_problems(
         F.lit(1).alias("severity"),
         F.col(order).alias("place"),
         F.concat(
-            F.lit("duplicate mount_path '"),
+            F.lit(DUPLICATE),
             "mount_path",
             F.lit("' in "),
             F.concat_ws("/", "group", "slug"),

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from cadastre.functions.rules import FIELDS
 
+# Fixed value: where manifests are.
 MANIFEST_GLOB = "*/*/project.yaml"
 
 # Text accepted as a boolean, whatever its case.
