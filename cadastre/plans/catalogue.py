@@ -61,11 +61,14 @@ def violation_text() -> Column:
 
 
 def invalid_problems(records: DataFrame, order: str, path: str) -> DataFrame:
+    detail = violation_text()
+    if "decode_error" in records.columns:
+        detail = F.coalesce("decode_error", detail)
     return records.filter(~is_valid()).select(
         F.lit(0).alias("severity"),
         F.col(order).alias("place"),
         F.concat(
-            F.lit(INVALID), F.col(path).cast("string"), F.lit(": "), violation_text()
+            F.lit(INVALID), F.col(path).cast("string"), F.lit(": "), detail
         ).alias("message"),
     )
 

@@ -12,6 +12,7 @@ from cadastre.operators.routes import resolve_routes
 from cadastre.plans import oracle as q
 from cadastre.plans import views as v
 from cadastre.plans.catalogue import build_catalogue, catalogue_index, routes_of
+from cadastre.plans.page import page_cards
 from cadastre.plans.queries_records import as_text
 from cadastre.sources.scratch import scratch_folder
 from cadastre.streaming import jobs
@@ -250,8 +251,9 @@ def j4_dimension_lookup(spark, sf_dir):
     return _placed(spark, sf_dir).select("c_custkey", "n_name", "r_name")
 
 
-def _placed(spark, sf_dir):
-    customer = v.table(spark, sf_dir, "customer").withColumnRenamed("c_nationkey", "n_nationkey")
+def _placed(spark, sf_dir, customer=None):
+    customer = v.table(spark, sf_dir, "customer") if customer is None else customer
+    customer = customer.withColumnRenamed("c_nationkey", "n_nationkey")
     rows = lookup.dimension_lookup(customer, v.table(spark, sf_dir, "nation"), ["n_nationkey"])
     rows = rows.withColumnRenamed("n_regionkey", "r_regionkey")
     return lookup.dimension_lookup(rows, v.table(spark, sf_dir, "region"), ["r_regionkey"])
@@ -277,6 +279,23 @@ def a3_ordered_concat(spark, sf_dir):
     return lookup.ordered_concat(_links(spark, sf_dir), ["page_id"], "position", card, "cards")
 
 
+@register(
+    "page_cards",
+    q.with_tables(FIRST_WORDS)
+    + """SELECT page_id, string_agg('[' || CASE WHEN length(position::VARCHAR) < 2 THEN '0' ELSE '' END || position || ' '
+  || l.word || ' (' || source || ')]', '' ORDER BY position) AS cards
+FROM links l JOIN words w ON l.word = w.word JOIN documents d ON d.doc_id = w.first_doc GROUP BY page_id""",
+)
+def page_cards_query(spark, sf_dir):
+    """Navigation words of every page with the source of the first document that has them."""
+    words = v.first_words(spark, sf_dir).withColumn("title", F.col("word"))
+    sources = v.table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "first_doc")
+    return page_cards(
+        v.page_links(spark, sf_dir), "page_id", "links", words, "word", "title", sources,
+        "first_doc", "source",
+    )
+
+
 @register(
     "j8_positional_join",
     """SELECT conv_id, turn, role, string_split(d.text, chr(10))[turn + 1] AS note
@@ -522,3 +541,11 @@ def stream_endpoints(spark, sf_dir):
     return jobs.run_available(
         cat.expand_endpoints(rows).select(v.KEY, "role", "mount_at"), scratch_folder(spark)
     )
+
+
+@register("stream_lookup", ORACLE["j4_dimension_lookup"])
+def stream_lookup(spark, sf_dir):
+    """Customers arrive as a stream and get the names of their nation and region."""
+    customers = jobs.stream_table(spark, sf_dir, "customer")
+    rows = _placed(spark, sf_dir, customers).select("c_custkey", "n_name", "r_name")
+    return jobs.run_available(rows, scratch_folder(spark))

@@ -23,44 +23,64 @@ CHECKS = ("pytest", "mypy")
 _END = "end of text"
 
 TYPE_ERRORS = "array<struct<field:string,code:string>>"
+BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 YAML_RESULT = T.StructType(
     [T.StructField("json", T.StringType()), T.StructField("error", T.StringType())]
 )
 
 
-def _with_parts(files: DataFrame, levels: int) -> DataFrame:
-    # file_path is a URI; '+' is literal there, url_decode would make it a space.
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    parts = F.slice(F.split(path, "/"), -levels, levels)
+def _parts(uri: Column, levels: int) -> Column:
+    """The last components of a file URI, decoded; '+' is literal in the path of a URI."""
+    path = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+    return F.slice(F.split(path, "/"), -levels, levels).alias("path_parts")
+
+
+def _with_path(files: DataFrame) -> DataFrame:
     return files.select(
-        F.array_join(parts, "/").alias("path"),
-        parts.alias("path_parts"),
-        F.col("value").alias("content"),
+        F.array_join("path_parts", "/").alias("path"), "path_parts", "content"
     )
 
 
+def _text() -> Column:
+    """File content as text; null when it is not UTF-8, so that one file cannot stop the job."""
+    return F.try_validate_utf8(F.col("content").cast("string"))
+
+
 def manifest_scan(spark: SparkSession, root: str, depth_glob: str = MANIFEST_GLOB) -> DataFrame:
     """One row per file at ``root/depth_glob``; no match gives an empty table.
 
     ``path`` is relative to the root; ``path_parts`` is its sort key.
+
+    File sources skip files without bytes, but an empty manifest is a record to report.  They are
+    the listed files that the scan does not return; finding them reads names only, no content.
     """
     levels = depth_glob.count("/") + 1
     try:
-        files = spark.read.text(f"{root.rstrip('/')}/{depth_glob}", wholetext=True)
+        files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{depth_glob}")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], "path string, path_parts array<string>, content string")
-    return _with_parts(files, levels)
+    parts = _parts(F.col("_metadata.file_path"), levels)
+    listed = spark.createDataFrame([(f,) for f in files.inputFiles()], "uri string")
+    listed = listed.select(_parts(F.col("uri"), levels))
+    empty = listed.join(files.select(parts), "path_parts", "left_anti")
+    found = files.select(parts, _text().alias("content"))
+    return _with_path(found.unionByName(empty.withColumn("content", F.lit(""))))
 
 
 def manifest_stream(
     spark: SparkSession, root: str, depth_glob: str = MANIFEST_GLOB
 ) -> DataFrame:
-    """The same rows as a stream: each trigger brings the files that are new."""
+    """The same rows as a stream: each trigger brings the files that are new.
+
+    A stream does not see files without bytes.
+    """
     levels = depth_glob.count("/") + 1
-    reader = spark.readStream.format("text").option("wholetext", True)
-    return _with_parts(reader.load(f"{root.rstrip('/')}/{depth_glob}"), levels)
+    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE)
+    files = reader.load(f"{root.rstrip('/')}/{depth_glob}")
+    parts = _parts(F.col("_metadata.file_path"), levels)
+    return _with_path(files.select(parts, _text().alias("content")))
 
 
 def _plain(value):
@@ -85,8 +105,10 @@ def _yaml_row(text: str | None, load) -> tuple[str | None, str | None]:
 
     import yaml
 
+    if text is None:
+        return None, "not UTF-8 text"
     try:
-        raw = load(text or "")
+        raw = load(text)
         if not isinstance(raw, dict):
             return None, f"a mapping is needed, found {type(raw).__name__}"
         if not all(isinstance(k, str) for k in raw):

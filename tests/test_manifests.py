@@ -1,4 +1,3 @@
-import datetime
 import json
 
 import pytest
@@ -165,6 +164,19 @@ def test_scan_takes_exactly_two_levels(spark, write_manifest):
     ]
 
 
+def test_empty_and_unreadable_files_are_rows(spark, write_manifest):
+    write_manifest("alpha", "one")
+    write_manifest("é +%", "empty", text="")
+    write_manifest("beta", "bytes")
+    (write_manifest("beta", "bytes") / "project.yaml").write_bytes(b"name: \xff\xfe\n")
+    found = load_records(spark, write_manifest.root).collect()
+    assert {r["path"]: r["decode_error"] for r in found} == {
+        "alpha/one/project.yaml": None,
+        "é +%/empty/project.yaml": "a mapping is needed, found NoneType",
+        "beta/bytes/project.yaml": "not UTF-8 text",
+    }
+
+
 def test_several_groups_load_clean(spark, write_manifest):
     for group, slug in (("alpha", "one"), ("alpha", "two"), ("beta", "chat-bot")):
         write_manifest(group, slug)
@@ -183,6 +195,12 @@ def test_strict_names_the_first_invalid_record_in_path_order(spark, write_manife
         require_clean(load_records(spark, write_manifest.root))
 
 
+def test_strict_gives_the_reason_of_an_unreadable_file(spark, write_manifest):
+    write_manifest("alpha", "one", text="")
+    with pytest.raises(CatalogueError, match="alpha/one/project.yaml: a mapping is needed"):
+        require_clean(load_records(spark, write_manifest.root))
+
+
 def test_strict_names_duplicates_after_invalid_records(spark, write_manifest):
     write_manifest("alpha", "one")
     write_manifest("alpha", "one", folder="beta/one")
