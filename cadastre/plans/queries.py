@@ -1,6 +1,6 @@
-"""All registered queries and the SQL that states their results."""
+"""All registered queries; importing the two modules registers them."""
 
-from cadastre.plans import queries_records, queries_tables
+from cadastre.plans import queries_records, queries_tables  # noqa: F401
+from cadastre.plans.registry import ORACLE, QUERIES
 
-QUERIES = {**queries_records.QUERIES, **queries_tables.QUERIES}
-ORACLE = {**queries_records.ORACLE, **queries_tables.ORACLE}
+__all__ = ["ORACLE", "QUERIES"]

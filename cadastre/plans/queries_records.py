@@ -16,28 +16,16 @@ from cadastre.plans.catalogue import (
     invalid_problems,
     typed_records,
 )
+from cadastre.plans.registry import register
 from cadastre.sources.manifests import decode_records, manifest_scan
 from cadastre.sources.register import new_records, refusal_by_rule, register_records
 from cadastre.sources.scratch import scratch_folder
 
-QUERIES, ORACLE = {}, {}
-
-
 def as_text(c) -> Column:
     """An optional flag or number as text, empty when null."""
     return F.coalesce(F.col(c).cast("string"), F.lit(""))
 
 
-def register(name, sql=None):
-    def add(fn):
-        QUERIES[name] = fn
-        if sql:
-            ORACLE[name] = sql
-        return fn
-
-    return add
-
-
 # --- sources -----------------------------------------------------------------------------------
 
 

@@ -14,22 +14,10 @@ from cadastre.plans import views as v
 from cadastre.plans.catalogue import build_catalogue, catalogue_index, routes_of
 from cadastre.plans.page import page_cards
 from cadastre.plans.queries_records import as_text
+from cadastre.plans.registry import ORACLE, register
 from cadastre.sources.scratch import scratch_folder
 from cadastre.streaming import jobs
 
-QUERIES, ORACLE = {}, {}
-
-
-def register(name, sql=None):
-    def add(fn):
-        QUERIES[name] = fn
-        if sql:
-            ORACLE[name] = sql
-        return fn
-
-    return add
-
-
 # --- catalogue ---------------------------------------------------------------------------------
 
 VALID = 'valid AS (SELECT * FROM checked WHERE problem IS NULL)'

@@ -14,6 +14,7 @@ from cadastre.functions.text import (
     default_static_dir,
     slug_to_module,
 )
+from cadastre.sources.scratch import settle
 
 
 class RegistrationError(ValueError):
@@ -91,6 +92,7 @@ def rejected(decided: DataFrame) -> DataFrame:
 def append_accepted(decided: DataFrame, path: str, strict: bool = False, mode: str = "append"):
     """Write the accepted rows; ``strict`` writes nothing if any row is refused."""
     if strict:
+        decided = settle(decided)
         bad = rejected(decided).select("refusal").limit(1).collect()
         if bad:
             raise RegistrationError(bad[0]["refusal"])
