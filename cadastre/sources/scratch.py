@@ -2,27 +2,42 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+# A plain session setting: the one above belongs to the context and cannot be set at run time.
+LIBRARY_SETTING = "cadastre.scratch.dir"
 
+_written: list[str] = []
 
-def scratch_folder(spark: SparkSession) -> str:
-    """A new path below the folder the session names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own: other executors could not
-    read it.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the session names in ``spark.checkpoint.dir``, else in ``cadastre.scratch.dir``.
+
+    A local session that names neither gets a temporary folder.  On a cluster the folder must be
+    named, and must not be a path of one machine.
     """
-    base = spark.conf.get(SETTING, None)
+    base = spark.conf.get(SETTING, None) or spark.conf.get(LIBRARY_SETTING, None)
+    local = spark.sparkContext.master.startswith("local")
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not local:
             raise ValueError(f"{SETTING} must name a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="cadastre-")
-        spark.conf.set(SETTING, base)
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+        base = os.path.realpath(tempfile.mkdtemp(prefix="cadastre-"))
+        spark.conf.set(LIBRARY_SETTING, base)
+    if not local and ("://" not in base or base.startswith("file:")):
+        raise ValueError(f"{base!r} is a folder of one machine; name one that executors share")
+    return base.rstrip("/")
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new path below the shared folder, forgotten by ``release``."""
+    folder = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    _written.append(folder)
+    return folder
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -34,3 +49,23 @@ def settle(df: DataFrame) -> DataFrame:
     folder = scratch_folder(df.sparkSession)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``checkpoint()`` in the shared folder: cuts the lineage of a loop or of a costly stage.
+
+    Spark removes the files with the frame if ``spark.cleaner.referenceTracking.cleanCheckpoints``
+    is on.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the folders this process wrote; call it when the frames that read them are done."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)
