@@ -262,9 +262,8 @@ def report(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
     plain = F.filter("pii", lambda s: s["plain"])
     line = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
     joined = lambda x: F.array_join(F.transform(x, line), ",")
-    counts = [
-        F.size(F.filter(plain, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS
-    ]
+    count = lambda k: F.size(F.filter(plain, lambda s: s["kind"] == k)).cast("long")
+    counts = [count(k).alias(f"n_{k}") for k in KINDS]
     return found.select(
         F.col("id").cast(docs.schema[id].dataType).alias(id),
         *counts,
