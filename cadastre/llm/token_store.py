@@ -17,6 +17,7 @@ store.  A keyed read needs one seed, one slot and two offsets.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 
 import numpy as np
@@ -32,11 +33,11 @@ MAGIC = b"TOKSHRD1"
 SHARD_IDS = 1 << 22
 END_ID = 0
 BUCKET_KEYS = 4
-CACHE = 400_000
+CACHE = 600_000
 WIDTHS = {2: "<u2", 4: "<u4"}
 SLOT = np.dtype([("print", "<u4"), ("place", "<u4")])
 
-_tokenizers: dict[str, tuple[Tokenizer, dict[str, bytes]]] = {}
+_encoders: dict[tuple[str, str], Encoder] = {}
 
 
 def _mix(keys: np.ndarray, seed) -> np.ndarray:
@@ -148,38 +149,70 @@ class Shard:
         return self.ids[int(self.offsets[place]) : int(self.offsets[place + 1])]
 
 
-def _encode_all(path: str, texts: list, kind: str) -> list[bytes]:
-    """Ids of whole texts by the tokenizers library, as bytes, without special tokens added.
+# Places that no match of the vocabulary's pattern goes across; Python's class of white space holds
+# every character that other engines call white.
+SPACES = re.compile(r"\s\s")
+SPACE_BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+LINE_END = re.compile(r"(?<=\S)\n(?=\S)")
+SIGN_AFTER_WORD = re.compile("(?<=[A-Za-z\u00df-\u00f6\u00f8-\u00ff])([.,;:!?])(?=[ \n])")
+GLUED, LINE = "\x01", "\x02"  # begins a piece that has no space before it; a line end as a piece
 
-    A text is cut before a single space between two visible characters, where no match of the
-    vocabulary's pattern goes across; pieces seen before are not encoded again.
+
+def _pieces(text: str) -> list[str]:
+    """The text in pieces that can be encoded one by one.
+
+    It is cut at single spaces, which a piece without ``GLUED`` has lost, around single line ends
+    and before a sign that ends a word.
     """
-    if path not in _tokenizers:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _tokenizers[path] = Tokenizer.from_file(path), {}
-    tokenizer, known = _tokenizers[path]
-    cut = [_pieces(t or "") for t in texts]
-    new = list(set().union(*cut) - known.keys())
-    for low in range(0, len(new), 50_000):
-        some = new[low : low + 50_000]
-        for piece, e in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-            known[piece] = np.array(e.ids, kind).tobytes()
-    out = [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
-    if len(known) > CACHE:
-        known.clear()
-    return out
+    text = SIGN_AFTER_WORD.sub(f" {GLUED}\\1", GLUED + text)
+    text = LINE_END.sub(f" {LINE} {GLUED}", text)
+    return SPACE_BETWEEN.split(text) if SPACES.search(text) else text.split(" ")
 
 
-def _pieces(text: str) -> list[str]:
-    words = text.split(" ")
-    out = [words[0]]
-    for word in words[1:]:
-        # Only a space with visible neighbours surely begins a match.
-        if word and out[-1] and not word[0].isspace() and not out[-1][-1].isspace():
-            out.append(" " + word)
-        else:
-            out[-1] += " " + word
-    return out
+class Encoder:
+    """Ids of whole texts by the tokenizers library, without special tokens added.
+
+    The pieces of texts are encoded once and remembered, ``CACHE`` of them and as many before.
+    Texts that name a special token, or hold the marks themselves, go to the library as they are.
+    """
+
+    def __init__(self, path: str, kind: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.tokenizer, self.kind = Tokenizer.from_file(path), kind
+        self.special = [GLUED, LINE, *(t.content for t in self.tokenizer.get_added_tokens_decoder().values())]
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _library(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, self.kind).tobytes() for e in found]
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        texts = [t or "" for t in texts]
+        whole = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
+        cut = [_pieces(t) for t in texts]
+        if len(self.known) > CACHE:
+            self.known, self.older = {}, self.known
+        # Of this batch only: small enough to stay in the processor's cache.
+        here = {}
+        for c in cut:
+            here.update(dict.fromkeys(c))
+        for w in here:
+            here[w] = self.known.get(w) or self.older.get(w)
+        new = [w for w, ids in here.items() if ids is None]
+        plain = ["\n" if w == LINE else w[1:] if w[:1] == GLUED else " " + w for w in new]
+        here.update(zip(new, self._library(plain), strict=True))
+        self.known.update(here)
+        out = [b"".join(map(here.__getitem__, c)) for c in cut]
+        for i, x in zip(whole, self._library([texts[i] for i in whole]), strict=True):
+            out[i] = x
+        return out
+
+
+def _encoder(path: str, kind: str) -> Encoder:
+    if (path, kind) not in _encoders:
+        _encoders[path, kind] = Encoder(path, kind)
+    return _encoders[path, kind]
 
 
 def write_shards(
@@ -208,7 +241,7 @@ def write_shards(
             known = pdf["id"].notna()
             for low in range(0, len(pdf), 1000):
                 part = pdf.iloc[low : low + 1000]
-                encoded = _encode_all(tokenizer_path, list(part["text"]), kind)
+                encoded = _encoder(tokenizer_path, kind).encode(list(part["text"]))
                 for key, has, x in zip(part["id"], known.iloc[low : low + 1000], encoded, strict=True):
                     keys.append(int(key) if has else None)
                     ids.append(x + end)
