@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cadastre.functions.rules import NEEDS_ENTRY, NEEDS_STATIC_DIR
 from cadastre.functions.text import entry_attr, entry_module, slug_to_module
-from cadastre.operators.skew import ROWS_PER_TASK, lookup_join
+from cadastre.operators.skew import lookup_join
 from cadastre.sources.scratch import settle
 
 
@@ -19,13 +19,11 @@ def duplicate_keys(
     df: DataFrame,
     key: str,
     order: str,
-    owner_fields: list[str],
-    rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame:
+    owner_fields: list[str]) -> DataFrame:
     """Rows whose key an earlier row already has, each with ``owner``: the first row's fields."""
     owner = F.min(F.struct(order, *owner_fields)).alias("owner")
     owners = df.groupBy(key).agg(owner, F.count("*").alias("_n")).filter("_n > 1").drop("_n")
-    out = lookup_join(df, settle(owners), [key], "inner", rows_per_task)
+    out = lookup_join(df, settle(owners), [key], "inner")
     return out.filter(F.col(order) > F.col(f"owner.{order}"))
 
 
@@ -36,13 +34,25 @@ def owners_only(df: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def static_path() -> Column:
-    """Where the record's static files are: module directories, then ``static_dir``."""
-    return F.concat_ws("/", slug_to_module("group"), slug_to_module("slug"), F.col("static_dir"))
+    """Where the record's static files are: module directories, then ``static_dir``.
+
+    A null part gives null, since such a record has no directory; an absolute ``static_dir`` is
+    the whole path.
+    """
+    own = F.concat_ws("/", F.lit(""), F.col("static_dir"))
+    below = F.concat(slug_to_module("group"), F.lit("/"), slug_to_module("slug"), own)
+    below = F.when(F.col("static_dir").isNotNull(), below)
+    return normal_path(F.when(F.col("static_dir").startswith("/"), F.col("static_dir")).otherwise(below))
+
+
+def normal_path(path: Column) -> Column:
+    """The path without empty and ``.`` parts, so that ``dist``, ``dist/`` and ``./dist`` are one."""
+    parts = F.filter(F.split(path, "/"), lambda x: ~x.isin("", "."))
+    return F.concat(F.when(path.startswith("/"), "/").otherwise(""), F.array_join(parts, "/"))
 
 
 def missing_targets(
-    df: DataFrame, modules: DataFrame, static_dirs: DataFrame, rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
+    df: DataFrame, modules: DataFrame, static_dirs: DataFrame) -> DataFrame:
     """Add ``module_ok`` and ``static_ok``; null where the record's kind has no such target.
 
     ``modules(module, attr)`` and ``static_dirs(static_path)`` list what exists.
@@ -56,11 +66,12 @@ def missing_targets(
         }
     )
     modules = settle(modules.select("module", "attr").distinct()).withColumn("_module", F.lit(True))
-    static_dirs = settle(static_dirs.select("static_path").distinct()).withColumn(
+    static_dirs = static_dirs.select(normal_path(F.col("static_path")).alias("static_path"))
+    static_dirs = settle(static_dirs.distinct()).withColumn(
         "_static", F.lit(True)
     )
-    rows = lookup_join(rows, modules, ["module", "attr"], "left", rows_per_task)
-    rows = lookup_join(rows, static_dirs, ["static_path"], "left", rows_per_task)
+    rows = lookup_join(rows, modules, ["module", "attr"], "left")
+    rows = lookup_join(rows, static_dirs, ["static_path"], "left")
     return rows.withColumns(
         {
             "module_ok": F.when(needs_entry, F.col("_module").isNotNull()),
@@ -76,19 +87,17 @@ def broken_records(checked: DataFrame) -> DataFrame:
 
 
 def without_reference(
-    df: DataFrame, listing: DataFrame, on: list[str], rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
+    df: DataFrame, listing: DataFrame, on: list[str]) -> DataFrame:
     """Rows whose key is not in the listing."""
     keys = settle(listing.select(*on).distinct())
-    return lookup_join(df, keys, on, "left_anti", rows_per_task)
+    return lookup_join(df, keys, on, "left_anti")
 
 
 def with_status(
-    df: DataFrame, broken: DataFrame, key: str = "mount_path", rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
+    df: DataFrame, broken: DataFrame, key: str = "mount_path") -> DataFrame:
     """Add ``status``: a disabled row is offline even when broken."""
     keys = settle(broken.select(key).distinct()).withColumn("_broken", F.lit(True))
-    rows = lookup_join(df, keys, [key], "left", rows_per_task)
+    rows = lookup_join(df, keys, [key], "left")
     status = (
         F.when(~F.col("enabled"), "offline")
         .when(F.col("_broken").isNotNull(), "broken")
@@ -146,16 +155,14 @@ def grouped_index(
     df: DataFrame,
     order: str,
     group: str = "group",
-    card: tuple[str, ...] = CARD,
-    rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame:
+    card: tuple[str, ...] = CARD) -> DataFrame:
     """Cards with ``group_key``, the place of the group's first row.
 
     The rows stay flat, one per card, so a group may be of any size; sorting by
     ``(group_key, order)`` lists groups by first appearance and cards in source order.
     """
     first = settle(df.groupBy(group).agg(F.min(order).alias("group_key")))
-    return lookup_join(df.select(group, order, *card), first, [group], "inner", rows_per_task)
+    return lookup_join(df.select(group, order, *card), first, [group], "inner")
 
 
 def index_order(df: DataFrame, order: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadastre.operators.skew import ROWS_PER_TASK, lookup_join
+from cadastre.operators.skew import lookup_join
 from cadastre.sources.scratch import settle
 
 # Fixed values of the report.
@@ -28,23 +28,21 @@ def changed_units(paths: DataFrame, path: str = "path") -> DataFrame:
 
 
 def affected_units(
-    paths: DataFrame, manifests: DataFrame, path: str = "path", rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
+    paths: DataFrame, manifests: DataFrame, path: str = "path") -> DataFrame:
     """Changed units that have a manifest, with the columns of ``manifests(unit, ...)``.
 
     Units are made distinct before the join, so a unit that changed very often is one row.
     """
-    return lookup_join(changed_units(paths, path), manifests, ["unit"], "inner", rows_per_task)
+    return lookup_join(changed_units(paths, path), manifests, ["unit"], "inner")
 
 
 def presence_report(
-    paths: DataFrame, manifests: DataFrame, path: str = "path", rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
+    paths: DataFrame, manifests: DataFrame, path: str = "path") -> DataFrame:
     """``(unit, presence, note)`` of every changed unit; one ``none`` row when nothing changed."""
     units = changed_units(paths, path)
     known = settle(manifests.select("unit").distinct()).withColumn("_known", F.lit(True))
     has = F.col("_known").isNotNull()
-    report = lookup_join(units, known, ["unit"], "left", rows_per_task).select(
+    report = lookup_join(units, known, ["unit"], "left").select(
         "unit",
         F.when(has, "present").otherwise("missing").alias("presence"),
         F.when(has, NOTE_PRESENT).otherwise(NOTE_MISSING).alias("note"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadastre.functions.text import json_array
-from cadastre.operators.skew import ROWS_PER_TASK, lookup_join
+from cadastre.operators.skew import lookup_join
 
 
 def array_lookup(
@@ -14,25 +14,21 @@ def array_lookup(
     ids: str,
     dim: DataFrame,
     key: str,
-    keep: list[str],
-    rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame:
+    keep: list[str]) -> DataFrame:
     """One row per array item with ``position``, the looked-up columns and ``is_missing``.
 
     An id without a row is kept and marked, not dropped.
     """
     items = df.select(*keep, F.posexplode(ids).alias("position", key))
     found = lookup_join(
-        items, dim.withColumn("_found", F.lit(True)), [key], "left", rows_per_task
-    )
+        items, dim.withColumn("_found", F.lit(True)), [key], "left")
     return found.withColumn("is_missing", F.col("_found").isNull()).drop("_found")
 
 
 def dimension_lookup(
-    df: DataFrame, dim: DataFrame, on: list[str], rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
+    df: DataFrame, dim: DataFrame, on: list[str]) -> DataFrame:
     """Rows with the attributes of their key; a key without attributes has no row."""
-    return lookup_join(df, dim, on, "inner", rows_per_task)
+    return lookup_join(df, dim, on, "inner")
 
 
 def ordered_concat(

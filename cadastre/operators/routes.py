@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadastre.operators.skew import ROWS_PER_TASK, fits_broadcast, lookup_join
+from cadastre.operators.skew import fits_broadcast, lookup_join
 from cadastre.sources.scratch import settle
 
 
@@ -17,54 +17,68 @@ FIXED_ROUTES = [
 ]
 
 
-def resolve_routes(
-    requests: DataFrame,
-    routes: DataFrame,
-    path: str,
-    rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame:
+def resolve_routes(requests: DataFrame, routes: DataFrame, path: str) -> DataFrame:
     """Add ``route``: ``(reg_key, endpoint, mount_at)`` of the winning route, null if none.
 
     ``routes(mount_at, endpoint, reg_key[, exact])``: a route matches its own path and, unless it
-    is ``exact``, every path below it.  ``reg_key`` is any value that sorts in registration order.
+    is ``exact``, every path below it; a route at ``/`` matches everything then.  ``reg_key`` is
+    any value that sorts in registration order.
 
-    A prefix test as a join condition would compare every request with every route.  Here each
-    segment depth at which routes exist is one equi join, and the winner is picked within the row:
-    no regrouping of the requests, so it also runs on a stream.
+    A prefix test as a join condition would compare every request with every route.  Routes that
+    are few are broadcast, one equi join per depth at which there are routes.  Otherwise the
+    different paths are expanded to their prefixes, joined once, reduced to the winner per path
+    and joined back: the number of shuffles does not depend on the depth, and a path that very many
+    requests have is one row.  A stream, which cannot be reduced, is joined depth by depth.
     """
     if "exact" not in routes.columns:
         routes = routes.withColumn("exact", F.lit(False))
-    best = settle(
-        routes.groupBy("mount_at", "exact")
-        .agg(F.min(F.struct("reg_key", "endpoint", "mount_at")).alias("_route"))
-        .withColumn("depth", F.size(F.split("mount_at", "/")) - 1)
-    )
+    at_root = (F.col("mount_at") == "/") & ~F.col("exact")
+    depth = F.when(at_root, 0).when(~F.col("exact"), F.size(F.split("mount_at", "/")) - 1)
+    first = F.min(F.struct("reg_key", "endpoint", "mount_at")).alias("_route")
+    best = settle(routes.groupBy("mount_at", "exact").agg(first).withColumn("depth", depth))
     small = fits_broadcast(best)
-    depths = best.groupBy().agg(
-        F.max(F.when(~F.col("exact"), F.col("depth"))).alias("below"), F.max("exact").alias("whole")
-    )
-    limits = depths.first()
-    out, found = requests, []
+    kind = best.schema["_route"].dataType
+    # Null, -1 and up: the exact routes, and each depth that has routes.
+    depths = sorted(-1 if r["depth"] is None else r["depth"] for r in best.select("depth").distinct().collect())
+    if not depths:
+        return requests.withColumn("route", F.lit(None).cast(kind))
     parts = F.split(F.col(path), "/")
+    if small or requests.isStreaming:
+        out, found = requests, []
+        for level in depths:
+            name = f"_route_{level + 1}"
+            side = best.filter(F.col("depth") == level if level >= 0 else F.col("depth").isNull())
+            side = side.select(F.col("mount_at").alias("_prefix"), F.col("_route").alias(name))
+            # A shorter path gets a value no mount has; null would gather all of them in one task.
+            asked = F.coalesce(_prefix_of(parts, level), F.concat(F.col(path), F.lit("/")))
+            side_is_one = small or level == 0
+            out = lookup_join(out.withColumn("_prefix", asked), side, ["_prefix"], "left", side_is_one)
+            out = out.drop("_prefix")
+            found.append(F.col(name))
+        return out.withColumn("route", F.array_min(F.array(*found))).drop(*[f"_route_{d + 1}" for d in depths])
+
+    paths = requests.select(F.col(path).alias("_path")).distinct()
+    parts = F.split(F.col("_path"), "/")
+    asked = F.array(
+        *[F.struct(F.lit(d).alias("_depth"), _prefix_of(parts, d).alias("_prefix")) for d in depths]
+    )
+    each = paths.select("_path", F.explode(asked).alias("_ask")).select("_path", "_ask.*").filter("_prefix IS NOT NULL")
+    side = best.select(
+        F.coalesce("depth", F.lit(-1)).alias("_depth"), F.col("mount_at").alias("_prefix"), "_route"
+    )
+    winners = each.join(side, ["_depth", "_prefix"]).groupBy("_path").agg(F.min("_route").alias("route"))
+    winners = settle(winners.withColumnRenamed("_path", "_winner"))
+    side = F.broadcast(winners) if fits_broadcast(winners) else winners
+    return requests.join(side, requests[path] == side["_winner"], "left").drop("_winner")
 
-    def match(prefix: Column, side: DataFrame, name: str) -> DataFrame:
-        side = side.select(F.col("mount_at").alias("_prefix"), F.col("_route").alias(name))
-        asked = out.withColumn("_prefix", prefix)
-        found.append(name)
-        return lookup_join(asked, side, ["_prefix"], "left", rows_per_task, small=small).drop("_prefix")
 
-    for level in range(1, (limits["below"] or 0) + 1):
-        # A shorter path gets a value no mount has; null would gather all of them in one task.
-        prefix = F.when(
-            F.size(parts) > level, F.array_join(F.slice(parts, 1, level + 1), "/")
-        ).otherwise(F.concat(F.col(path), F.lit("/")))
-        side = best.filter(~F.col("exact") & (F.col("depth") == level))
-        out = match(prefix, side, f"_route_{level}")
-    if limits["whole"]:
-        out = match(F.col(path), best.filter("exact"), "_route_exact")
-    if not found:
-        return out.withColumn("route", F.lit(None).cast(best.schema["_route"].dataType))
-    return out.withColumn("route", F.array_min(F.array(*found))).drop(*found)
+def _prefix_of(parts: Column, depth: int) -> Column:
+    """A path's prefix of so many segments, null if it has fewer; -1 is the path itself."""
+    if depth < 0:
+        return F.array_join(parts, "/")
+    if depth == 0:
+        return F.lit("/")
+    return F.when(F.size(parts) > depth, F.array_join(F.slice(parts, 1, depth + 1), "/"))
 
 
 def catalogue_routes(endpoints: DataFrame, order: str) -> DataFrame:

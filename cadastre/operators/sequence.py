@@ -16,7 +16,6 @@ from cadastre.operators.skew import ROWS_PER_TASK, Lists, ordered_lists
 INITIAL_INDEX = 0
 NO_PREVIOUS = -1
 
-PART_ROWS = 100_000
 _HELPERS = ("_hot", "_slice")
 
 
@@ -158,31 +157,9 @@ def suppress_noop(
     return _done(out.filter(~F.col("index").eqNullSafe(state)), "_before")
 
 
-def collect_parts(
-    df: DataFrame, key: list[str], position: str, value: str, name: str, part_rows: int = PART_ROWS
-) -> DataFrame:
-    """A list's values as arrays in position order, ``part_rows`` positions to an array.
-
-    A list that is longer continues in ``part`` 1, 2 and so on: no row is dropped and no task
-    holds an array that grows with the list.
-    """
-    pairs = df.withColumn("part", F.floor(F.col(position) / part_rows).cast("bigint"))
-    pairs = pairs.groupBy(*key, "part").agg(
-        F.array_sort(F.collect_list(F.struct(F.col(position).alias("p"), F.col(value).alias("v"))))
-        .alias("_pairs")
-    )
-    return pairs.withColumn(name, F.transform("_pairs", lambda x: x["v"])).drop("_pairs")
-
-
 def flagged_positions(
-    df: DataFrame,
-    key: list[str],
-    order: list[str],
-    flag: Column,
-    rows_per_task: int = ROWS_PER_TASK,
-    part_rows: int = PART_ROWS,
+    df: DataFrame, key: list[str], order: list[str], flag: Column, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
-    """0-based positions of the flagged rows of each list, as ``(key, part, positions)``."""
+    """0-based positions of the flagged rows of each list, one row ``(key, position)`` each."""
     lists = ordered_lists(df.withColumn("_flag", flag), key, order, rows_per_task)
-    out = _number(lists).filter("_flag").withColumn("_at", F.col("_nth") - 1)
-    return collect_parts(out.select(*key, "_at"), key, "_at", "_at", "positions", part_rows)
+    return _number(lists).filter("_flag").select(*key, (F.col("_nth") - 1).alias("position"))

@@ -2,8 +2,8 @@
 
 A key with more than ``ROWS_PER_TASK`` rows is *hot*.  At most ``rows / ROWS_PER_TASK`` keys can be
 hot, so the table of hot keys stays small however large the input is.  It is found by a count per
-key that is combined map-side and reads the key columns only.  When nothing is hot the plain plan
-is used; otherwise only the hot keys are split.
+key that is combined map-side and reads the key columns only.  Windows use the plain plan when
+nothing is hot and split the hot keys otherwise; joins leave the splitting to adaptive execution.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from cadastre.sources.scratch import settle
 ROWS_PER_TASK = 2_000_000
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
+JOIN_KINDS = ("inner", "left", "left_semi", "left_anti")
 
 
 def _row_bytes(schema: T.StructType) -> Column:
@@ -38,13 +39,11 @@ def _row_bytes(schema: T.StructType) -> Column:
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Measure a lookup side.  Reads no more than ``max_rows + 1`` rows of it."""
-    seen = (
-        df.select(_row_bytes(df.schema).alias("b"))
-        .limit(max_rows + 1)
-        .agg(F.count("*").alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("bytes"))
-        .first()
+    """Measure a lookup side: rows and bytes, summed per partition.  Settle a costly side first."""
+    seen = df.select(_row_bytes(df.schema).alias("b")).agg(
+        F.count("*").alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("bytes")
     )
+    seen = seen.first()
     return seen["n"] <= max_rows and seen["bytes"] <= max_bytes
 
 
@@ -71,64 +70,27 @@ def attach(df: DataFrame, small: DataFrame, keys: list[str], bounded: bool) -> D
 
 
 def lookup_join(
-    df: DataFrame,
-    dim: DataFrame,
-    on: list[str],
-    how: str = "left",
-    rows_per_task: int = ROWS_PER_TASK,
-    max_rows: int = BROADCAST_ROWS,
-    small: bool | None = None,
+    df: DataFrame, dim: DataFrame, on: list[str], how: str = "left", small: bool | None = None
 ) -> DataFrame:
     """Equi join to a side with one row per key; settle that side first if it is costly to derive.
 
-    Broadcast when the side was measured to be small (``small`` gives an earlier measurement).
-    Otherwise both sides are shuffled; rows of a hot key, null included, are spread over several
-    salts and the one matching row is repeated for each salt.  The salt is a hash of the row, so a
-    task that is run again gives the same rows.
+    Broadcast when the side was measured to be small (``small`` gives an earlier measurement);
+    otherwise both sides are shuffled, and adaptive execution splits the left rows of a hot key by
+    the map tasks that wrote them, whatever their columns are.  It does so for these four kinds of
+    join only, with ``spark.sql.adaptive.skewJoin.enabled`` on (the default), for partitions above
+    ``skewedPartitionThresholdInBytes`` and ``skewedPartitionFactor`` times the median.  On a
+    stream nothing is split: a batch should be small enough for one key of it to fit a task.
     """
+    if how not in JOIN_KINDS:
+        raise ValueError(f"{how!r} is not one of {', '.join(JOIN_KINDS)}")
     if small is None:
-        small = fits_broadcast(dim, max_rows)
-    if small:
-        return df.join(F.broadcast(dim), on, how)
-    if df.isStreaming:
-        return df.join(dim, on, how)
-    hot = hot_keys(df, on, rows_per_task)
-    salts = F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_salts")
-    hot = settle(hot.select(*on, salts))
-    found = hot.count()
-    if not found:
-        return df.join(dim, on, how)
-    salt = F.pmod(F.xxhash64(*df.columns), F.col("_salts"))
-    spread = attach(df, hot, on, found <= max_rows)
-    spread = spread.withColumn("_salt", F.coalesce(salt, F.lit(0)).cast("int")).drop("_salts")
-    last = F.coalesce(F.col("_salts"), F.lit(1)) - 1
-    copies = attach(dim, hot, on, found <= max_rows)
-    copies = copies.withColumn("_salt", F.explode(F.sequence(F.lit(0), last))).drop("_salts")
-    return spread.join(copies, [*on, "_salt"], how).drop("_salt")
-
-
-def _scale(df: DataFrame, column: str) -> Column | None:
-    """A number that never falls while the column rises, or None for types that have none."""
-    kind, c = df.schema[column].dataType, F.col(column)
-    if isinstance(kind, T.NumericType):
-        return c
-    if isinstance(kind, T.DateType):
-        return F.unix_date(c)
-    if isinstance(kind, T.TimestampType):
-        return F.unix_seconds(c)
-    if isinstance(kind, T.TimestampNTZType):
-        return (
-            F.unix_date(c.cast("date")).cast("bigint") * 86400
-            + F.hour(c) * 3600
-            + F.minute(c) * 60
-            + F.second(c)
-        )
-    return None
+        small = fits_broadcast(dim)
+    return df.join(F.broadcast(dim) if small else dim, on, how)
 
 
 @dataclass
 class Lists:
-    """Ordered lists whose hot keys are cut into consecutive slices of the order column."""
+    """Ordered lists whose hot keys are cut into consecutive slices of nearly equal numbers of rows."""
 
     df: DataFrame
     keys: list[str]
@@ -159,30 +121,22 @@ def ordered_lists(
 ) -> Lists:
     """Prepare a window over ``keys`` ordered by ``order`` (together unique within a key).
 
-    A window puts all rows of a key into one task.  A hot key is therefore cut into slices of
-    equal width of its first order column, the window runs per slice, and the few values that
-    cross slices are carried over a table with one row per slice.
+    A window puts all rows of a key into one task.  The rows of hot keys are therefore dealt out
+    by ranges of the whole order, whatever its types, and each range of a key is a slice.  The
+    window runs per slice, and the few values that cross slices are carried over a table with one
+    row per slice.
     """
-    scale = _scale(df, order[0])
-    if scale is None:
-        return Lists(df, keys, order)
-    # As doubles: rounding keeps the order, and differences cannot overflow.
-    scale = scale.cast("double")
-    hot = hot_keys(
-        df, keys, rows_per_task, F.min(scale).alias("_lo"), F.max(scale).alias("_hi")
-    )
-    hot = settle(hot.withColumn("_slices", F.ceil(F.col("_n") / rows_per_task)).drop("_n"))
-    total = hot.agg(F.coalesce(F.sum("_slices"), F.lit(0)).alias("n")).first()["n"]
+    hot = settle(hot_keys(df, keys, rows_per_task))
+    total = hot.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).first()["n"]
     if not total:
         return Lists(df, keys, order)
-    bounded = total <= BROADCAST_ROWS
-    share = (scale - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1)
-    last = F.isnan(share) | (share >= 1)  # infinite or undefined order values sort last
-    cut = attach(df, hot, keys, bounded)
-    cut = cut.withColumn("_hot", F.col("_slices").isNotNull()).withColumn(
-        "_slice",
-        F.when(last, F.col("_slices"))
-        .when(share.isNotNull(), F.floor(share * F.col("_slices")).cast("bigint"))
-        .otherwise(F.lit(0)),
-    )
-    return Lists(cut.drop("_lo", "_hi", "_slices"), keys, order, True, bounded)
+    bounded = fits_broadcast(hot)
+    marked = attach(df, hot.select(*keys, F.lit(True).alias("_hot")), keys, bounded)
+    ranges = -(-total // rows_per_task)
+    cut = marked.filter("_hot").repartitionByRange(ranges, *keys, *order)
+    cut = settle(cut.withColumn("_slice", F.spark_partition_id()))
+    rest = marked.filter("_hot is null").withColumn("_hot", F.lit(False))
+    # A slice of a key and a range that begins with it: at most one slice more than keys and ranges.
+    bounded = bounded and ranges <= BROADCAST_ROWS // 2
+    rows = cut.unionByName(rest.withColumn("_slice", F.lit(-1)))
+    return Lists(rows, keys, order, True, bounded)

@@ -15,7 +15,6 @@ from cadastre.operators.catalogue import (
     owners_only,
 )
 from cadastre.operators.routes import catalogue_routes
-from cadastre.operators.skew import ROWS_PER_TASK
 from cadastre.sources.manifests import decode_records, manifest_scan
 from cadastre.sources.scratch import settle
 
@@ -74,15 +73,12 @@ def invalid_problems(records: DataFrame, order: str, path: str) -> DataFrame:
 
 
 def duplicate_problems(
-    records: DataFrame, order: str, rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
+    records: DataFrame, order: str) -> DataFrame:
     found = duplicate_keys(
         records.filter(is_valid()).select(order, "group", "slug", "mount_path"),
         "mount_path",
         order,
-        ["group", "slug"],
-        rows_per_task,
-    )
+        ["group", "slug"])
     return found.select(
         F.lit(1).alias("severity"),
         F.col(order).alias("place"),
@@ -98,11 +94,10 @@ def duplicate_problems(
 
 
 def problems(
-    records: DataFrame, order: str, path: str, rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
+    records: DataFrame, order: str, path: str) -> DataFrame:
     """``(severity, place, message)`` of every invalid row and every later row of a taken key."""
     return invalid_problems(records, order, path).unionByName(
-        duplicate_problems(records, order, rows_per_task)
+        duplicate_problems(records, order)
     )
 
 
@@ -124,12 +119,10 @@ def build_catalogue(
     records: DataFrame,
     modules: DataFrame,
     static_dirs: DataFrame,
-    order: str = "path_parts",
-    rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame:
+    order: str = "path_parts") -> DataFrame:
     """Valid owners of their key with ``module_ok``, ``static_ok`` and ``status``."""
     owners = owners_only(records.filter(is_valid()), "mount_path", order)
-    checked = missing_targets(owners, modules, static_dirs, rows_per_task)
+    checked = missing_targets(owners, modules, static_dirs)
     return checked.withColumn("status", status_on_row())
 
 
@@ -139,11 +132,9 @@ def status_on_row() -> Column:
     return F.when(~F.col("enabled"), "offline").when(~ok, "broken").otherwise("online")
 
 
-def catalogue_index(
-    catalogue: DataFrame, order: str = "path_parts", rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
+def catalogue_index(catalogue: DataFrame, order: str = "path_parts") -> DataFrame:
     """Cards of the catalogue, which is built once for the groups and the cards."""
-    return grouped_index(settle(catalogue), order, rows_per_task=rows_per_task)
+    return grouped_index(settle(catalogue), order)
 
 
 def routes_of(catalogue: DataFrame, order: str = "path_parts") -> DataFrame:

@@ -28,7 +28,8 @@ TARGETS = """listed_modules AS (
   FROM customer WHERE c_acctbal >= 0),
 listed_dirs AS (
   SELECT lower(c_mktsegment) || '/c_' || c_custkey || '/dist' AS static_path
-  FROM customer WHERE c_acctbal < 8000),
+  FROM customer WHERE c_acctbal < 8000
+  UNION ALL SELECT lower(c_mktsegment) || '/c_' || c_custkey FROM customer),
 targeted AS (
   SELECT *,
     CASE WHEN kind IN ('backend', 'fullstack') THEN

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from cadastre.functions.text import zero_pad
 from cadastre.operators.lookup import array_lookup, dimension_lookup, ordered_concat
-from cadastre.operators.skew import ROWS_PER_TASK
 
 
 def page_cards(
@@ -19,16 +18,14 @@ def page_cards(
     title: str,
     layers: DataFrame,
     layer: str,
-    layer_name: str,
-    rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame:
+    layer_name: str) -> DataFrame:
     """``(page, cards)``: per page its blocks in array order, each as ``[NN title (layer)]``.
 
     ``blocks`` has one row per ``block`` with ``title`` and ``layer``; ``layers`` names the layers.
     A block that does not exist has no card.
     """
-    items = array_lookup(pages, ids, blocks, block, [page], rows_per_task).filter("NOT is_missing")
-    items = dimension_lookup(items, layers.select(layer, layer_name), [layer], rows_per_task)
+    items = array_lookup(pages, ids, blocks, block, [page]).filter("NOT is_missing")
+    items = dimension_lookup(items, layers.select(layer, layer_name), [layer])
     card = F.concat(
         F.lit("["), zero_pad("position"), F.lit(" "), F.col(title).cast("string"), F.lit(" ("),
         F.col(layer_name), F.lit(")]"),

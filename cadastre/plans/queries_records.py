@@ -437,9 +437,9 @@ def _json_records(spark, sf_dir):
 
 
 def _violations(rows):
-    return rows.select(v.KEY, F.explode("violations").alias("_v")).select(
-        v.KEY, "_v.stage", "_v.field", "_v.code"
-    )
+    # The outer form: for the plain one Spark would work out the violations once more, in a filter.
+    each = rows.select(v.KEY, F.explode_outer("violations").alias("_v")).filter("_v IS NOT NULL")
+    return each.select(v.KEY, "_v.stage", "_v.field", "_v.code")
 
 
 READABLE = f"FROM orders WHERE NOT {q.UNREADABLE} AND "

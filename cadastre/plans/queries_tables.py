@@ -149,7 +149,7 @@ def j2_status(spark, sf_dir):
   CASE WHEN kind = 'fullstack' THEN mount_path || '/api' ELSE mount_path END AS mount_at, entry AS target
 FROM catalog WHERE kind <> 'frontend'
 UNION ALL SELECT o_orderkey, 1, 'static', mount_path,
-  concat_ws('/', "group", replace(slug, '-', '_'), static_dir) FROM catalog WHERE kind <> 'backend'""",
+  "group" || '/' || replace(slug, '-', '_') || '/' || static_dir FROM catalog WHERE kind <> 'backend'""",
 )
 def g1_endpoint_expand(spark, sf_dir):
     return cat.expand_endpoints(v.catalog(spark, sf_dir)).select(
@@ -404,14 +404,10 @@ def _skip():
 @register(
     "a4_flagged_positions",
     q.with_tables(q.SEQ)
-    + """SELECT user_id, position // 100000 AS part, string_agg(position::VARCHAR, ',' ORDER BY position) AS positions
-FROM seq WHERE skip GROUP BY ALL""",
+    + "SELECT user_id, position FROM seq WHERE skip",
 )
 def a4_flagged_positions(spark, sf_dir):
-    found = sequence.flagged_positions(_events(spark, sf_dir), *LIST, _skip())
-    return found.withColumn(
-        "positions", F.array_join(F.col("positions").cast("array<string>"), ",")
-    )
+    return sequence.flagged_positions(_events(spark, sf_dir), *LIST, _skip())
 
 
 @register(

@@ -89,13 +89,16 @@ def module_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def static_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Static directories that exist: those of customers with a balance below 8000."""
-    c = table(spark, sf_dir, "customer").filter("c_acctbal < 8000")
-    return c.select(
-        F.concat(
-            F.lower("c_mktsegment"), F.lit("/c_"), F.col("c_custkey").cast("string"), F.lit("/dist")
-        ).alias("static_path")
-    )
+    """Directories that exist: every project's own, and ``dist`` where the balance is below 8000.
+
+    The latter are written in three ways that mean the same.
+    """
+    c = table(spark, sf_dir, "customer")
+    own = F.concat(F.lower("c_mktsegment"), F.lit("/c_"), F.col("c_custkey").cast("string"))
+    ways = F.array(F.lit("/dist"), F.lit("/dist/"), F.lit("/./dist"))
+    dist = F.concat(own, F.get(ways, (F.col("c_custkey") % 3).cast("int")))
+    dist = F.when(F.col("c_acctbal") < 8000, dist)
+    return c.select(F.explode(F.array_compact(F.array(own, dist))).alias("static_path"))
 
 
 def _quoted(c: Column) -> Column:

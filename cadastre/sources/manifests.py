@@ -83,19 +83,25 @@ def manifest_stream(
     return _with_path(files.select(parts, _text().alias("content")))
 
 
-def _plain(value):
+def _plain(value, depth=2):
     """YAML value as a JSON value.  Dates, NaN and undecodable bytes fit no field of the record;
-    they become a fraction, which no field accepts either."""
+    they become a fraction, which no field accepts either.
+
+    Typing looks ``depth`` levels deep.  Below, a collection is written empty: YAML lets a short
+    text name the same collection again and again at every level.
+    """
     if isinstance(value, dict):
-        return {str(k): _plain(v) for k, v in value.items()}
+        return {str(k): _plain(v, depth - 1) for k, v in value.items()} if depth else {}
     if isinstance(value, list | tuple | set):
-        return [_plain(v) for v in value]
+        return [_plain(v, depth - 1) for v in value] if depth else []
     if isinstance(value, bytes):
         try:
             return value.decode()
         except UnicodeDecodeError:
             return 0.5
     if isinstance(value, float):
+        if value.is_integer():
+            return value if abs(value) < 1e15 else 2.0  # whole, and not 0 or 1, as it was
         return value if abs(value) < 1e15 else 0.5
     return value if value is None or isinstance(value, str | bool | int) else 0.5
 
@@ -103,8 +109,6 @@ def _plain(value):
 def _yaml_row(text: str | None, load) -> tuple[str | None, str | None]:
     import json
 
-    import yaml
-
     if text is None:
         return None, "not UTF-8 text"
     try:
@@ -113,8 +117,9 @@ def _yaml_row(text: str | None, load) -> tuple[str | None, str | None]:
             return None, f"a mapping is needed, found {type(raw).__name__}"
         if not all(isinstance(k, str) for k in raw):
             return None, "field names must be text"
-        return json.dumps(_plain(raw)), None
-    except (yaml.YAMLError, RecursionError, ValueError) as e:
+        known = {k: v for k, v in raw.items() if k in FIELDS or not isinstance(v, dict | list | tuple | set)}
+        return json.dumps(_plain(known)), None
+    except Exception as e:  # constructors of tags raise whatever they meet
         return None, f"{type(e).__name__}: {' '.join(str(e).split())}"
 
 

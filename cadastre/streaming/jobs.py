@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cadastre.functions.rules import check_records
 from cadastre.operators.routes import resolve_routes
-from cadastre.operators.skew import ROWS_PER_TASK
 from cadastre.plans.catalogue import typed_records
 from cadastre.sources.manifests import decode_records, manifest_stream
 
@@ -36,11 +35,9 @@ def check_stream(records: DataFrame) -> DataFrame:
 def route_stream(
     requests: DataFrame,
     routes: DataFrame,
-    path: str,
-    rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame:
+    path: str) -> DataFrame:
     """Requests as a stream against a static table of routes."""
-    return resolve_routes(requests, routes, path, rows_per_task)
+    return resolve_routes(requests, routes, path)
 
 
 def run_available(stream: DataFrame, folder: str) -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from cadastre.operators import catalogue as cat
 from cadastre.operators import changes, lookup, overlay
 from cadastre.operators.routes import catalogue_routes, resolve_routes
-from cadastre.operators.sequence import collect_parts
 from cadastre.operators.skew import fits_broadcast, lookup_join
 from cadastre.plans.catalogue import build_catalogue, catalogue_index, routes_of
 from cadastre.sources.register import (
@@ -36,20 +35,42 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-@pytest.mark.parametrize("per_task,max_rows", [(20, 100), (20, 1), (10**6, 1), (20, 10**6)])
-def test_lookup_join_ways_agree(spark, skewed, how, per_task, max_rows):
+@pytest.mark.parametrize("small", [True, False, None])
+def test_lookup_join_ways_agree(spark, skewed, how, small):
     dim = spark.createDataFrame([(k, k * 10) for k in range(1, 40)], "k int, d int")
-    got = lookup_join(skewed, dim, ["k"], how, per_task, max_rows)
+    got = lookup_join(skewed, dim, ["k"], how, small)
     want = skewed.join(dim, ["k"], how)
     assert got.columns == want.columns
     assert rows(got) == rows(want)
 
 
-def test_hot_key_is_spread(spark, skewed):
-    dim = spark.createDataFrame([(k, k) for k in range(60)], "k int, d int")
-    joined = lookup_join(skewed, dim, ["k"], "left", 20, 10)
-    plan = joined._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" in plan and "xxhash64" in plan
+@pytest.mark.parametrize("how", ["right", "full", "cross"])
+def test_lookup_join_refuses_kinds_that_cannot_be_split(spark, skewed, how):
+    with pytest.raises(ValueError):
+        lookup_join(skewed, skewed.select("k").distinct(), ["k"], how)
+
+
+def test_hot_key_of_equal_rows_with_a_map_is_split(spark):
+    """What the docstring says of adaptive execution, with its limits lowered."""
+    limits = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k) for k in limits}
+    try:
+        for k, x in limits.items():
+            spark.conf.set(k, x)
+        hot = spark.range(0, 20000, 1, 8).selectExpr("if(id % 2 = 0, 1, id) AS k", "map('a', 1) AS m")
+        dim = spark.range(0, 3000, 1, 4).selectExpr("id AS k", "id AS d")
+        joined = lookup_join(hot, dim, ["k"], "left", small=False)
+        assert len(joined.collect()) == 20000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, x in before.items():
+            spark.conf.set(k, x)
 
 
 def test_broadcast_is_bounded_by_rows_and_bytes(spark):
@@ -66,19 +87,20 @@ def first_match(routes, path):
     hits = [
         (key, endpoint)
         for mount, endpoint, key, exact in routes
-        if path == mount or (not exact and path.startswith(mount + "/"))
+        if path == mount or (not exact and (mount == "/" or path.startswith(mount + "/")))
     ]
     return min(hits)[1] if hits else None
 
 
-@pytest.mark.parametrize("per_task", [5, 10**6])
-def test_first_registered_route_wins(spark, per_task, monkeypatch):
-    if per_task == 5:
+@pytest.mark.parametrize("small", [True, False])
+@pytest.mark.parametrize("root", [True, False])
+def test_first_registered_route_wins(spark, small, root, monkeypatch):
+    if not small:
         monkeypatch.setattr("cadastre.operators.routes.fits_broadcast", lambda d: False)
     routes = [
         ("/en/25", "early", 0, False), ("/en", "en", 1, False), ("/en/25", "late", 2, False),
         ("/en/30", "shadowed", 3, False), ("/e", "segment", 4, False), ("/a/b/c", "deep", 5, False),
-        ("/a", "a", 6, False), ("/health", "health", 7, True), ("/", "index", 8, True),
+        ("/a", "a", 6, False), ("/health", "health", 7, True), ("/", "index", 8, root),
     ]
     paths = ["/en/25", "/en/25/x", "/en/30", "/en/250", "/en", "/enx", "/e/1", "/a/b/c/d", "/a/b",
              "/health", "/health/x", "/", "", "/zz/1/2/3/4", "/en//x", "/en/"] + ["/en/7"] * 20
@@ -86,12 +108,24 @@ def test_first_registered_route_wins(spark, per_task, monkeypatch):
     table = spark.createDataFrame(
         routes, "mount_at string, endpoint string, reg_key int, exact boolean"
     )
-    got = resolve_routes(requests, table, "path", per_task).select("i", "route.endpoint")
+    got = resolve_routes(requests, table, "path").select("i", "route.endpoint")
     assert {r["i"]: r["endpoint"] for r in got.collect()} == {
         i: first_match(routes, p) for i, p in enumerate(paths)
     }
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_routes_need_as_many_joins_as_depths_or_two(spark, small, monkeypatch):
+    if not small:
+        monkeypatch.setattr("cadastre.operators.routes.fits_broadcast", lambda d: False)
+    mounts = [("/a", "x", 0), ("/" + "/".join("abcdefghij"), "y", 1)]
+    table = spark.createDataFrame(mounts, "mount_at string, endpoint string, reg_key int")
+    found = resolve_routes(spark.createDataFrame([("/a/b",)], "path string"), table, "path")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == (2 if small else 1)  # the other one is settled
+    assert found.first()["route"]["endpoint"] == "x"
+
+
 def test_no_routes(spark):
     requests = spark.createDataFrame([("/a",)], "path string")
     table = spark.createDataFrame([], "mount_at string, endpoint string, reg_key int")
@@ -193,19 +227,15 @@ def test_disabled_outranks_broken_and_key_is_shared(spark):
     assert [r["status"] for r in sorted(got)] == ["broken", "offline", "online", "online"]
 
 
-@pytest.mark.parametrize("per_task", [5, 10**6])
-def test_duplicates_and_owners(spark, skewed, per_task, monkeypatch):
-    if per_task == 5:
-        monkeypatch.setattr("cadastre.operators.skew.BROADCAST_BYTES", 0)
-        monkeypatch.setattr(
-            "cadastre.operators.skew.fits_broadcast", lambda *a, **k: False
-        )
+@pytest.mark.parametrize("small", [True, False])
+def test_duplicates_and_owners(spark, skewed, small, monkeypatch):
+    monkeypatch.setattr("cadastre.operators.skew.fits_broadcast", lambda *a, **k: small)
     frame = skewed.dropna()
     data = sorted((r["i"], r["k"]) for r in frame.collect())
     first = {}
     for i, k in data:
         first.setdefault(k, i)
-    got = cat.duplicate_keys(frame, "k", "i", [], per_task).select("i", "k", "owner.i")
+    got = cat.duplicate_keys(frame, "k", "i", []).select("i", "k", "owner.i")
     assert rows(got) == sorted(((i, k, first[k]) for i, k in data if first[k] != i), key=repr)
     owners = cat.owners_only(frame, "k", "i")
     assert {r["k"]: r["i"] for r in owners.collect()} == first
@@ -232,12 +262,17 @@ def test_positional_join(spark):
     assert rows(got) == [("a", 0, "x"), ("a", 1, None), ("a", 2, None), ("b", 0, None)]
 
 
-def test_collect_parts(spark):
-    frame = spark.createDataFrame([("a", i, f"v{i}") for i in range(10)], "k string, p int, v string")
-    got = collect_parts(frame, ["k"], "p", "v", "vs", 4)
-    assert rows(got) == [
-        ("a", 0, ["v0", "v1", "v2", "v3"]), ("a", 1, ["v4", "v5", "v6", "v7"]), ("a", 2, ["v8", "v9"]),
-    ]
+def test_static_directories(spark):
+    """A null is no directory; ways to write the same directory are one."""
+    data = [(0, None), (1, "dist"), (2, "dist/"), (3, "./dist"), (4, "d//x/."), (5, "."), (6, "/abs/"), (7, "gone")]
+    frame = spark.createDataFrame(data, "i int, static_dir string").selectExpr(
+        "*", "'frontend' AS kind", "'my-group' AS `group`", "'s-1' AS slug", "string(null) AS entry"
+    )
+    paths = [("my_group/s_1",), ("./my_group/s_1/dist/",), ("my_group/s_1/d/x",), ("/abs",)]
+    listing = spark.createDataFrame(paths, "static_path string")
+    modules = spark.createDataFrame([], "module string, attr string")
+    got = cat.missing_targets(frame, modules, listing)
+    assert {r["i"]: r["static_ok"] for r in got.collect()} == {i: 0 < i < 7 for i in range(8)}
 
 
 # --- registration ------------------------------------------------------------------------------
@@ -257,8 +292,8 @@ def decide(spark, new, existing=()):
 
 def test_register(spark):
     new = requests(
-        spark, ("grupo-alpha", "chat-bot", "backend"), ("g", "ui", "frontend"), ("g", "s", "fullstack"),
-        ("g", "s", "backend"), ("g", "Bad Slug", "backend"), ("G", "s", "backend"), ("g", "t", "cli"),
+        spark, ("north-1", "map-view", "backend"), ("g", "panel", "frontend"), ("g", "s", "fullstack"),
+        ("g", "s", "backend"), ("g", "Not_a slug", "backend"), ("G", "s", "backend"), ("g", "t", "cli"),
         ("g", "t", "backend"), ("g", "old", "backend"), ("g", "nl\n", "backend"), (None, "s", "backend"),
     )
     decided = decide(spark, new, ["g/old", "g/old"])
@@ -268,8 +303,8 @@ def test_register(spark):
     }
     assert decided.columns == [*new.columns, "refusal"]
     first = {r["n"]: r for r in accepted(decided).collect()}
-    assert first[0]["mount_path"] == "/grupo-alpha/chat-bot"
-    assert first[0]["entry"] == "apps.grupo_alpha.chat_bot.main:app" and first[0]["static_dir"] is None
+    assert first[0]["mount_path"] == "/north-1/map-view"
+    assert first[0]["entry"] == "apps.north_1.map_view.main:app" and first[0]["static_dir"] is None
     assert first[1]["entry"] is None and first[1]["static_dir"] == "dist"
     assert first[2]["entry"] and first[2]["static_dir"] and first[2]["name"] == "s"
     assert rejected(decided).count() == 7

@@ -256,3 +256,17 @@ def test_yaml_is_read_once_per_row(spark):
     checked = typed_records(decode_records(frame, "yaml")).filter(F.size("violations") > 0)
     plan = checked._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython [") == 1
+
+
+@pytest.mark.parametrize("text", ["slug: !!bool maybe", "slug: !!int ''", "slug: !!float ''", "slug: !!timestamp x"])
+def test_bad_tags_are_rows(spark, write_manifest, text):
+    write_manifest("north", "one", text=f"name: a\n{text}\n")
+    rows = decode_records(manifest_scan(spark, write_manifest.root), "yaml").collect()
+    assert len(rows) == 1 and rows[0]["decode_error"]
+
+
+def test_aliases_do_not_grow(spark, write_manifest):
+    levels = "\n".join(f"a{i}: &a{i} [{', '.join([f'*a{i - 1}'] * 9)}]" for i in range(1, 12))
+    write_manifest("north", "one", text=f"a0: &a0 x\n{levels}\nmembers: *a11\n")
+    rows = typed_records(decode_records(manifest_scan(spark, write_manifest.root), "yaml")).collect()
+    assert len(rows) == 1 and "members.0" in {v["field"] for v in rows[0]["violations"]}

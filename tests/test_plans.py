@@ -5,13 +5,11 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_points
 from cadastre.plans import views as v
+from cadastre.plans.queries import QUERIES
 from cadastre.sources.scratch import SETTING, scratch_folder, settle
 from cadastre.streaming import jobs
 
-QUERIES = entry_points.queries()
-
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()

@@ -124,13 +124,11 @@ def test_suppress_noop_equals_a_replay(spark, per_task):
 
 
 @pytest.mark.parametrize("per_task", SPLITS)
-@pytest.mark.parametrize("part_rows", [7, 100_000])
-def test_flagged_positions(events, per_task, part_rows):
-    found = seq.flagged_positions(events, KEY, ORDER, F.col("skip"), per_task, part_rows)
+def test_flagged_positions(events, per_task):
+    found = seq.flagged_positions(events, KEY, ORDER, F.col("skip"), per_task)
     got = {}
-    for r in sorted(found.collect(), key=lambda r: r["part"]):
-        assert all(p // part_rows == r["part"] for p in r["positions"])
-        got.setdefault(r["u"], []).extend(r["positions"])
+    for r in sorted(found.collect(), key=lambda r: r["position"]):
+        got.setdefault(r["u"], []).append(r["position"])
     want = {u: [i for i, e in enumerate(rows) if e[3]] for u, rows in lists().items()}
     assert got == {u: p for u, p in want.items() if p}
 
@@ -172,6 +170,22 @@ def test_extreme_order_values(spark, values):
     assert got == {i: (i,) for i in range(len(values))}
 
 
+@pytest.mark.parametrize(
+    "at",
+    [
+        "if(id = 0, timestamp'1970-01-01', timestamp'2024-01-01' + make_dt_interval(0, 0, 0, id / 1000))",
+        "id / 1000.0",
+        "if(id = 0, -1000000000, id)",
+        "lpad(id, 6, '0')",
+        "id % 3",
+    ],
+)
+def test_slices_have_rows_not_width(spark, at):
+    frame = spark.range(1000).selectExpr("id", "1 AS u", f"{at} AS at")
+    sizes = [r["count"] for r in ordered_lists(frame, KEY, ORDER, 100).df.groupBy("_slice").count().collect()]
+    assert sum(sizes) == 1000 and max(sizes) <= 200
+
+
 def test_wide_integers_do_not_overflow(spark):
     values = [-(2**63), -5, 0, 7, 2**63 - 1] * 10
     frame = spark.createDataFrame([(i, 1, x) for i, x in enumerate(values)], "id int, u int, at bigint")
