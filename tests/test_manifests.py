@@ -142,7 +142,9 @@ def test_yaml_scalars(spark):
         bad("slug", "string_type"),
     ]
     assert got[6] == [(0, "", "decode")] and got[7] == []
-    assert got[8] == [(0, "", "decode")] and got[9] == [(0, "", "decode")]
+    assert got[8] == [(0, "", "decode")]
+    # A collection that holds itself is read like any field the record does not know.
+    assert {(f, c) for _, f, c in got[9]} >= {("name", "missing"), ("slug", "missing")}
     assert (1, "slug", "string_type") in got[10] and (1, "group", "missing") in got[10]
     assert rows[2]["enabled"] is False
 
