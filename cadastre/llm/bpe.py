@@ -18,7 +18,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadastre.llm.common import ship
+from cadastre.llm.common import in_parts, ship
 
 CHUNK, OVERLAP = 32_768, 512
 ID_TYPE = "<u4"
@@ -60,28 +60,34 @@ def encode(
     text: str = "text",
     chunk: int = CHUNK,
     overlap: int = OVERLAP,
+    decoded: bool = False,
 ) -> DataFrame:
-    """(id, ids) per row: the token ids of the whole text as little-endian 32-bit numbers.
+    """(id, ids[, decoded]) per row: the token ids of the whole text as little-endian 32-bit numbers.
 
     As tiktoken's ``encode_ordinary``: no special tokens.  A null text is empty and gives no ids.
     Repeated rows are kept.  Where two chunks never resynchronise (one word or one run of white
-    space longer than the overlap) the rest of that text is one piece.
+    space longer than the overlap) the rest of that text is one piece.  ``decoded``
+    adds the bytes that the ids stand for, piece by piece as they are made.
     """
     if not 0 < overlap < chunk:
         raise ValueError("the overlap must be shorter than a chunk")
     ship(docs.sparkSession)
     kind = docs.schema[id].dataType.simpleString()
 
-    def ids_of(texts):
+    made = ["ids", "decoded"] if decoded else ["ids"]
+    binary = ", ".join(f"{c} binary" for c in made)
+
+    def with_ids(pdf):
         one = encoding(ranks_path, pattern)
-        return [np.array(one.encode_ordinary(t or ""), ID_TYPE).tobytes() for t in texts]
+        ids = [one.encode_ordinary(t or "") for t in pdf["text"]]
+        out = pdf.drop(columns="text").assign(ids=[np.array(x, ID_TYPE).tobytes() for x in ids])
+        return out.assign(decoded=list(map(one.decode_bytes, ids))) if decoded else out
 
-    def encode_whole(batches):
-        for pdf in batches:
-            yield pd.DataFrame({"id": pdf["id"], "ids": ids_of(pdf["text"])})
+    def encode_all(batches):
+        yield from map(with_ids, in_parts(batches))
 
     def cut_up(batches):
-        for pdf in batches:
+        for pdf in in_parts(batches, 64):
             for row, key, t in zip(pdf["row"], pdf["id"], pdf["text"], strict=True):
                 low = range(0, len(t), chunk)
                 parts = [t[i : i + chunk + overlap] for i in low]
@@ -89,23 +95,19 @@ def encode(
 
     def pre_tokenise(batches):
         match = regex.compile(pattern)
-        for pdf in batches:
-            pdf["head"] = [starts(t, match, 0, overlap) for t in pdf["part"]]
-            pdf["tail"] = [[p - chunk for p in starts(t, match, chunk, chunk + overlap)] for t in pdf["part"]]
-            yield pdf
-
-    def encode_spans(batches):
-        for pdf in batches:
-            yield pdf.drop(columns="text").assign(ids=ids_of(pdf["text"]))
+        for pdf in in_parts(batches, 64):
+            head = [starts(t, match, 0, overlap) for t in pdf["part"]]
+            tail = [[p - chunk for p in starts(t, match, chunk, chunk + overlap)] for t in pdf["part"]]
+            yield pdf.assign(head=head, tail=tail)
 
     def put_together(batches):
-        for pdf in batches:
-            pdf["ids"] = [b"".join(p["ids"] for p in parts) for parts in pdf["parts"]]
-            yield pdf[["id", "ids"]]
+        for pdf in in_parts(batches, 64):
+            joined = {c: [b"".join(p[c] for p in parts) for parts in pdf["parts"]] for c in made}
+            yield pdf[["id"]].assign(**joined)
 
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     is_long = F.coalesce(F.length("text") > chunk, F.lit(False))
-    short = rows.filter(~is_long).mapInPandas(encode_whole, f"id {kind}, ids binary")
+    short = rows.filter(~is_long).mapInPandas(encode_all, f"id {kind}, {binary}")
 
     # Rows are told apart by their place in the scan, since ids may repeat or be null.
     many = rows.filter(is_long).withColumn("row", F.monotonically_increasing_id())
@@ -135,12 +137,12 @@ def encode(
     spans = spans.groupBy("row", "id", "span").agg(F.array_sort(F.collect_list("piece")).alias("pieces"))
     spans = spans.select("row", "id", "span", F.array_join("pieces.text", "").alias("text"))
     spans = spans.repartition("row", "span").mapInPandas(
-        encode_spans, f"row long, id {kind}, span int, ids binary"
+        encode_all, f"row long, id {kind}, span int, {binary}"
     )
     whole = spans.groupBy("row", "id").agg(
-        F.array_sort(F.collect_list(F.struct("span", "ids"))).alias("parts")
+        F.array_sort(F.collect_list(F.struct("span", *made))).alias("parts")
     )
-    whole = whole.select("id", "parts").mapInPandas(put_together, f"id {kind}, ids binary")
+    whole = whole.select("id", "parts").mapInPandas(put_together, f"id {kind}, {binary}")
     return short.unionByName(whole).withColumnRenamed("id", id)
 
 
@@ -151,17 +153,16 @@ def decode(tokens: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", n
 
     def run(batches):
         of = encoding(ranks_path, pattern).decode_bytes
-        for pdf in batches:
-            pdf[name] = [None if x is None else of(np.frombuffer(x, ID_TYPE).tolist()) for x in pdf[ids]]
-            yield pdf
+        for pdf in in_parts(batches):
+            made = [None if x is None else of(np.frombuffer(x, ID_TYPE).tolist()) for x in pdf[ids]]
+            yield pdf.assign(**{name: made})
 
     return tokens.mapInPandas(run, schema)
 
 
 def digests(docs: DataFrame, ranks_path: str, pattern: str, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document the number of ids and the SHA-256 of the ids and of the decoded bytes."""
-    decoded = decode(encode(docs, ranks_path, pattern, id, text), ranks_path, pattern)
-    return decoded.select(
+    return encode(docs, ranks_path, pattern, id, text, decoded=True).select(
         id,
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -37,6 +37,13 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def in_parts(batches, rows: int = 1024):
+    """The frames of an Arrow stream in smaller ones, so that what is made of them stays small."""
+    for pdf in batches:
+        for low in range(0, len(pdf), rows):
+            yield pdf.iloc[low : low + rows]
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that the frame does not have."""
     taken = {c.lower() for c in df.columns}

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadastre.llm.common import maybe_broadcast, ship
+from cadastre.llm.common import in_parts, maybe_broadcast, ship
 
 BUCKETS = 1 << 16
 MAX_LABELLED = 8_000  # labelled rows the fit takes, those with the smallest hash
@@ -109,7 +109,7 @@ def featurised(docs: DataFrame, text: str = "text", *keep: str, buckets: int = B
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1])
 
     def run(batches):
-        for pdf in batches:
+        for pdf in in_parts(batches):
             found = [features(t, buckets) for t in pdf["_text"]]
             out = pdf.drop(columns="_text")
             out["keys"], out["weights"] = [k for k, _ in found], [w for _, w in found]
@@ -163,7 +163,7 @@ def graded(
 
     def run(batches):
         model = sent.value
-        for pdf in batches:
+        for pdf in in_parts(batches):
             scores = np.array([model.score(*features(t, size)) for t in pdf["text"]], "f8")
             tails = model.tails(scores)
             yield pd.DataFrame(

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadastre.llm.common import fresh, ship
+from cadastre.llm.common import fresh, in_parts, ship
 
 KINDS = ("email", "ip", "card", "phone")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -246,11 +246,11 @@ def detect(docs: DataFrame, text: str = "text", name: str = "pii") -> DataFrame:
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
     def run(batches):
-        for pdf in batches:
-            pdf[name] = [
+        for pdf in in_parts(batches):
+            found = [
                 [{"kind": k, "start": a, "end": b, "plain": p} for k, a, b, p in spans(t)] for t in pdf[text]
             ]
-            yield pdf
+            yield pdf.assign(**{name: found})
 
     return docs.mapInPandas(run, f"{schema}, `{name}` {SPANS}")
 

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadastre.llm.common import fits_broadcast, fresh, maybe_broadcast, ship
+from cadastre.llm.common import fits_broadcast, fresh, in_parts, maybe_broadcast, ship
 from cadastre.sources.scratch import cut
 
 SEED = 42
@@ -66,7 +66,7 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", shingl
     ship(docs.sparkSession)
 
     def run(batches):
-        for pdf in batches:
+        for pdf in in_parts(batches):
             fps = np.array([fingerprint(t, shingle) for t in pdf["text"]], "u8").view("i8")
             yield pd.DataFrame({"id": pdf["id"], "fp": fps})
 

@@ -19,6 +19,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -33,7 +34,7 @@ MAGIC = b"TOKSHRD1"
 SHARD_IDS = 1 << 22
 END_ID = 0
 BUCKET_KEYS = 4
-CACHE = 600_000
+CACHE = 400_000
 WIDTHS = {2: "<u2", 4: "<u4"}
 SLOT = np.dtype([("print", "<u4"), ("place", "<u4")])
 
@@ -153,8 +154,8 @@ class Shard:
 # every character that other engines call white.
 SPACES = re.compile(r"\s\s")
 SPACE_BETWEEN = re.compile(r"(?<=\S) (?=\S)")
-LINE_END = re.compile(r"(?<=\S)\n(?=\S)")
-SIGN_AFTER_WORD = re.compile("(?<=[A-Za-z\u00df-\u00f6\u00f8-\u00ff])([.,;:!?])(?=[ \n])")
+LINE_END = re.compile(r"\n(?=\S)(?<=\S\n)")
+SIGN_AFTER_WORD = re.compile("([.,;:!?])(?=[ \n])(?<=[A-Za-z\u00df-\u00f6\u00f8-\u00ff].)")
 GLUED, LINE = "\x01", "\x02"  # begins a piece that has no space before it; a line end as a piece
 
 
@@ -178,14 +179,15 @@ class Encoder:
 
     def __init__(self, path: str, kind: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer, self.kind = Tokenizer.from_file(path), kind
+        # Arrays of the machine's order, which is little-endian wherever Spark runs.
+        self.tokenizer, self.code = Tokenizer.from_file(path), {"<u2": "H", "<u4": "I"}[kind]
         self.special = [GLUED, LINE, *(t.content for t in self.tokenizer.get_added_tokens_decoder().values())]
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.kind).tobytes() for e in found]
+        return [array(self.code, e.ids).tobytes() for e in found]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         texts = [t or "" for t in texts]
@@ -194,11 +196,8 @@ class Encoder:
         if len(self.known) > CACHE:
             self.known, self.older = {}, self.known
         # Of this batch only: small enough to stay in the processor's cache.
-        here = {}
-        for c in cut:
-            here.update(dict.fromkeys(c))
-        for w in here:
-            here[w] = self.known.get(w) or self.older.get(w)
+        known, older = self.known, self.older
+        here = {w: known.get(w) or older.get(w) for w in set().union(*cut)}
         new = [w for w, ids in here.items() if ids is None]
         plain = ["\n" if w == LINE else w[1:] if w[:1] == GLUED else " " + w for w in new]
         here.update(zip(new, self._library(plain), strict=True))
