@@ -25,6 +25,7 @@ SEED = 7
 # A prime above any number of blocks: slot -> slot * STEP mod blocks is a permutation.
 STEP = 998_244_353
 BITS = 10  # of the hash, per round of the search for a threshold
+CHANGES, STARTS, NEAR = 4, 32, 1e-3  # in fitting the documents of the last class to the target
 FAN = 64  # children a task splits a node into, by halves
 
 
@@ -72,7 +73,7 @@ def _stops(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     ``rows(number, place, size)``, ``wanted(number, part)``.  A document is taken if its place
     begins with less than ``prefix``, or if it begins with ``prefix`` and is in ``chosen``.  Each
     round sums words by the next bits of the place within one class per source, until a class has
-    1,024 places at most; of that class the documents are taken, in order, that still fit.
+    1,024 places at most; of that class the documents are taken, in order, that still fit, and a few exchanged.
     """
     ship(rows.sparkSession)
     zero = F.lit(0).cast("long")
@@ -96,14 +97,35 @@ def _stops(rows: DataFrame, wanted: DataFrame) -> DataFrame:
         size = state.agg(F.max("docs")).first()[0]
         state = state.drop("docs")
 
+    def attempt(words, left, first):
+        """Take what fits, from document ``first`` on; then make a few changes towards the target."""
+        chosen = np.zeros(len(words), bool)
+        for i in np.roll(np.arange(len(words)), -first):
+            if words[i] <= left:
+                left, chosen[i] = left - words[i], True
+        # Put one in (or none, the last row), take one out (or none, the last column).
+        for _ in range(CHANGES):
+            more, less = np.append(np.where(chosen, np.inf, words), 0), np.append(np.where(chosen, words, -np.inf), 0)
+            off = np.abs(left - (more[:, None] - less[None, :]))
+            a, b = np.unravel_index(np.argmin(off), off.shape)
+            if not off[a, b] < abs(left):
+                break
+            left -= more[a] - less[b]
+            for i in {int(a), int(b)} - {len(words)}:
+                chosen[i] = not chosen[i]
+        return abs(left), chosen
+
     def fit(key, pdf):
         pdf = pdf.sort_values("place")
-        left, chosen = pdf["part"].iloc[0] - pdf["below"].iloc[0], []
-        for place, words in zip(pdf["place"], pdf["size"], strict=True):
-            if words <= left:
-                left -= words
-                chosen.append(place)
-        return pd.DataFrame({"number": [key[0]], "prefix": [key[1]], "chosen": [chosen]})
+        words, part = pdf["size"].to_numpy("f8"), pdf["part"].iloc[0]
+        best, chosen = np.inf, None
+        for first in range(min(STARTS, len(words))):
+            off, found = attempt(words, part - pdf["below"].iloc[0], first)
+            if off < best:
+                best, chosen = off, found
+            if best <= NEAR * part:
+                break
+        return pd.DataFrame({"number": [key[0]], "prefix": [key[1]], "chosen": [pdf["place"].to_numpy()[chosen]]})
 
     inside = rows.join(maybe_broadcast(state), "number")
     inside = inside.filter(_ahead(F.col("place"), F.lit(64 - bits)) == F.col("prefix"))
@@ -165,8 +187,8 @@ def mix(
 
     ``mix`` holds size (words), place, source_size, target, copies and shards: the shard of each
     copy.  A document is taken 0 to ``ceil(cap)`` times.  The words taken of a source
-    stay below its target by less than any document left out near the end; rows that are equal in
-    id and text are taken alike.  Null texts have size 0 and a null source is a source.  The result depends on rows and seed only.
+    are as near to its target as exchanging a few of its last documents brings them; rows that are
+    equal in id and text are taken alike.  Null texts have size 0 and a null source is a source.  The result depends on rows and seed only.
     """
     d, column = docs, fresh(docs, "mix")
     size, place = word_count(F.col(text)), _place(F.col(id), F.col(text), seed)
