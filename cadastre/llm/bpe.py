@@ -18,7 +18,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadastre.llm.common import in_parts, ship
+from cadastre.llm.common import in_parts, map_frames, ship
 
 CHUNK, OVERLAP = 32_768, 512
 ID_TYPE = "<u4"
@@ -83,9 +83,6 @@ def encode(
         out = pdf.drop(columns="text").assign(ids=[np.array(x, ID_TYPE).tobytes() for x in ids])
         return out.assign(decoded=list(map(one.decode_bytes, ids))) if decoded else out
 
-    def encode_all(batches):
-        yield from map(with_ids, in_parts(batches))
-
     def cut_up(batches):
         for pdf in in_parts(batches, 64):
             for row, key, t in zip(pdf["row"], pdf["id"], pdf["text"], strict=True):
@@ -107,7 +104,7 @@ def encode(
 
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     is_long = F.coalesce(F.length("text") > chunk, F.lit(False))
-    short = rows.filter(~is_long).mapInPandas(encode_all, f"id {kind}, {binary}")
+    short = map_frames(rows.filter(~is_long), with_ids, f"id {kind}, {binary}")
 
     # Rows are told apart by their place in the scan, since ids may repeat or be null.
     many = rows.filter(is_long).withColumn("row", F.monotonically_increasing_id())
@@ -136,9 +133,7 @@ def encode(
     )
     spans = spans.groupBy("row", "id", "span").agg(F.array_sort(F.collect_list("piece")).alias("pieces"))
     spans = spans.select("row", "id", "span", F.array_join("pieces.text", "").alias("text"))
-    spans = spans.repartition("row", "span").mapInPandas(
-        encode_all, f"row long, id {kind}, span int, {binary}"
-    )
+    spans = map_frames(spans.repartition("row", "span"), with_ids, f"row long, id {kind}, span int, {binary}", 64)
     whole = spans.groupBy("row", "id").agg(
         F.array_sort(F.collect_list(F.struct("span", *made))).alias("parts")
     )

@@ -6,8 +6,11 @@ import os
 import tempfile
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 import cadastre
 from cadastre.operators.skew import fits_broadcast
@@ -44,6 +47,23 @@ def in_parts(batches, rows: int = 1024):
             yield pdf.iloc[low : low + rows]
 
 
+def map_frames(df: DataFrame, fn, schema: str, rows: int = 1024) -> DataFrame:
+    """``mapInArrow`` that hands ``fn`` small pandas frames, so that a task holds little in Python.
+
+    Whole numbers with nulls come as objects, not as floats.
+    """
+    kind = T.StructType.fromDDL(schema)
+    arrow = to_arrow_schema(kind)
+
+    def run(batches):
+        for batch in batches:
+            for low in range(0, batch.num_rows, rows):
+                out = fn(batch.slice(low, rows).to_pandas(integer_object_nulls=True))
+                yield pa.RecordBatch.from_pandas(out, schema=arrow, preserve_index=False)
+
+    return df.mapInArrow(run, kind)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that the frame does not have."""
     taken = {c.lower() for c in df.columns}

@@ -25,7 +25,7 @@ SEED = 7
 # A prime above any number of blocks: slot -> slot * STEP mod blocks is a permutation.
 STEP = 998_244_353
 BITS = 10  # of the hash, per round of the search for a threshold
-CHANGES, STARTS, NEAR = 4, 32, 1e-3  # in fitting the documents of the last class to the target
+FEW, CHANGES, STARTS, NEAR = 12, 4, 32, 1e-3  # in fitting the documents of the last class to the target
 FAN = 64  # children a task splits a node into, by halves
 
 
@@ -119,6 +119,10 @@ def _stops(rows: DataFrame, wanted: DataFrame) -> DataFrame:
         pdf = pdf.sort_values("place")
         words, part = pdf["size"].to_numpy("f8"), pdf["part"].iloc[0]
         best, chosen = np.inf, None
+        if len(words) <= FEW:  # all ways to choose
+            ways = np.arange(1 << len(words))[:, None] >> np.arange(len(words)) & 1
+            off = np.abs(ways @ words - (part - pdf["below"].iloc[0]))
+            best, chosen = -1.0, ways[np.argmin(off)].astype(bool)
         for first in range(min(STARTS, len(words))):
             off, found = attempt(words, part - pdf["below"].iloc[0], first)
             if off < best:

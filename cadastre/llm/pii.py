@@ -13,11 +13,10 @@ from __future__ import annotations
 import re
 import unicodedata
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadastre.llm.common import fresh, in_parts, ship
+from cadastre.llm.common import fresh, in_parts, map_frames, ship
 
 KINDS = ("email", "ip", "card", "phone")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -294,11 +293,9 @@ def redact(docs: DataFrame, text: str = "text", chars: str = "n_chars") -> DataF
     ship(docs.sparkSession)
     new = fresh(docs, "masked")
 
-    @F.pandas_udf("string")
-    def mask(texts: pd.Series) -> pd.Series:
-        return texts.map(masked, na_action="ignore")
-
-    rows = docs.withColumn(new, mask(F.col(text)))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    mask = lambda pdf: pdf.assign(**{new: [masked(t) for t in pdf[text]]})
+    rows = map_frames(docs, mask, f"{schema}, `{new}` string")
     put = {text: F.col(new)}
     if chars in docs.columns:
         changed = ~F.col(new).eqNullSafe(F.col(text))
