@@ -8,7 +8,12 @@ and drops a whole node as soon as they exceed the limit.
 Buckets: if two fingerprints differ in at most ``limit`` bits, then of ``limit + 1`` runs of bits
 one at least is equal.  So every fingerprint goes to one bucket per run.  A bucket with more than
 ``max_bucket`` members is split in the same way by its remaining bits; a bucket with r bits left
-has 2^r members at most, so the splitting ends and nothing is dropped.
+has 2^r fingerprints at most, so the splitting ends and nothing is dropped.
+
+Links may be checked: a code is a fingerprint followed by ``WIDTH`` 64-bit words of a min-wise
+sketch, one bit per hash function, of longer shingles.  Two sketches of sets alike by s differ in
+half of (1 - s) of their bits, so near fingerprints of unlike texts, whose number grows with the
+square of the corpus, are not linked.
 """
 
 from __future__ import annotations
@@ -16,7 +21,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadastre.llm.common import fits_broadcast, fresh, in_parts, maybe_broadcast, ship
@@ -27,6 +32,11 @@ LIMIT = 2
 MAX_BUCKET = 4096
 LEAF, FAN = 16, 16
 BLOCK = 1 << 16
+WIDTH = 4
+# Bits of a sketch that may differ: 25.6 of 256 are expected at a similarity of 0.8, with a standard
+# deviation of 4.8, and 38.4 at 0.7.
+DIFFER = 30
+_FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, 64 * WIDTH, dtype="u8") * np.uint64(2) + np.uint64(1)
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -34,13 +44,23 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
     ``bytes.lower`` changes A-Z only and ``bytes.split`` splits at space and \\x09-\\x0D only.
     """
-    words = text.encode().lower().split() if text else []
+    return _fingerprint(_words(text), shingle)
+
+
+def _words(text: str | None) -> list[bytes]:
+    return text.encode().lower().split() if text else []
+
+
+def _shingles(words: list[bytes], shingle: int):
+    if len(words) < shingle:
+        return [b" ".join(words)]
+    return map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
+
+
+def _fingerprint(words: list[bytes], shingle: int) -> int:
     if not words:
         return 0
-    if len(words) < shingle:
-        parts = [b" ".join(words)]
-    else:
-        parts = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
+    parts = _shingles(words, shingle)
     n, ones, hashes = 0, np.zeros(64, np.int64), []
     digest = xxhash.xxh64_intdigest
     for part in parts:
@@ -61,6 +81,35 @@ def _count(hashes: list[int], ones: np.ndarray) -> list[int]:
     return []
 
 
+def sketch(words: list[bytes], shingle: int = 5) -> np.ndarray:
+    """``WIDTH`` 64-bit words: one bit of the least hash of the different shingles, per hash function."""
+    least = np.full(64 * WIDTH, np.iinfo("u8").max, "u8")
+    if words:
+        digest = xxhash.xxh64_intdigest
+        hashes = np.fromiter({digest(part, SEED) for part in _shingles(words, shingle)}, "u8")
+        for low in range(0, len(hashes), 1024):
+            np.minimum(least, (hashes[low : low + 1024, None] * _FACTORS).min(axis=0), out=least)
+    least = (least ^ (least >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return np.packbits((least >> np.uint64(63)).astype("u1"), bitorder="little").view("<i8")
+
+
+def codes(docs: DataFrame, id: str, text: str, shingle: int, check: int) -> DataFrame:
+    """(id, code) per row: the fingerprint over ``shingle`` words, then the sketch over ``check``."""
+    ship(docs.sparkSession)
+
+    def code(text):
+        words = _words(text)
+        return np.append(np.array([_fingerprint(words, shingle)], "u8").view("i8"), sketch(words, check))
+
+    def run(batches):
+        for pdf in in_parts(batches):
+            yield pd.DataFrame({"id": pdf["id"], "code": [code(t) for t in pdf["text"]]})
+
+    kind = docs.schema[id].dataType.simpleString()
+    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
+    return rows.mapInPandas(run, f"id {kind}, code array<long>")
+
+
 def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 3):
     """(id, fp) per row; fp is the fingerprint as a signed 64-bit number."""
     ship(docs.sparkSession)
@@ -86,8 +135,8 @@ class GrayIndex:
     """Hierarchical index over distinct fingerprints in Gray order."""
 
     def __init__(self, fps: np.ndarray):
-        rank = gray_rank(fps)
-        self.fps = fps[np.argsort(rank, kind="stable")]
+        self.order = np.argsort(gray_rank(fps), kind="stable")
+        self.fps = fps[self.order]
         low = np.arange(0, len(fps), LEAF)
         same = ~(np.bitwise_and.reduceat(self.fps, low) ^ np.bitwise_or.reduceat(self.fps, low))
         self.mask, self.pattern = [same], [self.fps[low] & same]
@@ -137,22 +186,29 @@ def _unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             parent[:] = parent[parent]
 
 
-def bucket_links(fps: np.ndarray, limit: int = LIMIT) -> tuple[np.ndarray, np.ndarray]:
+def bucket_links(codes: np.ndarray, limit: int = LIMIT, differ: int = DIFFER) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect the members of a bucket as the pairs within ``limit`` bits do.
 
-    At most one link per member: a member and the first of its class in Gray order.
+    ``codes`` has a row per member: its fingerprint and, if links are checked, its sketch.  At most
+    one link per member: a member and the first of its class in Gray order.
     """
-    fps = np.unique(fps)
-    if len(fps) < 3:
-        near = len(fps) == 2 and int(np.bitwise_count(fps[0] ^ fps[1])) <= limit
-        return (fps[1:], fps[:1]) if near else (fps[:0], fps[:0])
-    index = GrayIndex(fps)
-    parent = np.arange(len(fps))
-    for low in range(0, len(fps), 256):
+    codes = np.unique(codes, axis=0)
+    if len(codes) < 2:
+        return codes[:0], codes[:0]
+    index = GrayIndex(codes[:, 0])
+    codes = codes[index.order]
+    parent = np.arange(len(codes))
+    for low in range(0, len(codes), 256):
         q, member = index.near(index.fps[low : low + 256], limit)
-        _unite(parent, q + low, member)
-    linked = parent != np.arange(len(fps))
-    return index.fps[linked], index.fps[parent[linked]]
+        q = q + low
+        if codes.shape[1] > 1:
+            first = q < member
+            q, member = q[first], member[first]
+            apart = sum(np.bitwise_count(c[q] ^ c[member]).astype("u2") for c in codes.T[1:])
+            q, member = q[apart <= differ], member[apart <= differ]
+        _unite(parent, q, member)
+    linked = parent != np.arange(len(codes))
+    return codes[linked], codes[parent[linked]]
 
 
 def _signed(mask: int) -> int:
@@ -166,35 +222,46 @@ def _split(used: int, limit: int) -> list[int]:
     return [sum(1 << i for i in run) for run in runs]
 
 
-def links(nodes: DataFrame, limit: int = LIMIT, max_bucket: int = MAX_BUCKET) -> DataFrame:
-    """Links (a, b) between distinct fingerprints of ``nodes(fp)``: as many as connect each class.
+def links(
+    nodes: DataFrame, limit: int = LIMIT, max_bucket: int = MAX_BUCKET, differ: int = DIFFER
+) -> DataFrame:
+    """Links (a, b) between the members of ``nodes(fp)`` or ``nodes(fp, code)``: as many as connect each class.
 
-    No pair within ``limit`` bits is lost: it meets in a bucket, and a bucket's links keep what its
-    pairs connect.
+    No pair within ``limit`` bits (and, of codes, with sketches within ``differ`` bits) is lost: it
+    meets in a bucket, and a bucket's links keep what its pairs connect.  A bucket with no more than
+    ``limit`` bits left is not split further.
     """
     ship(nodes.sparkSession)
+    member, width = ("code", 1 + WIDTH) if "code" in nodes.columns else ("fp", 1)
+    kind = nodes.schema[member].dataType.simpleString()
 
     def search(batches):
         for pdf in batches:
-            found = [bucket_links(np.asarray(x, "i8").view("u8"), limit) for x in pdf["fps"]]
+            found = [
+                bucket_links(np.asarray(x, "i8").view("u8").reshape(-1, width), limit, differ)
+                for x in pdf["members"]
+            ]
             a, b = zip(*found, strict=True) if found else ([], [])
-            whole = lambda x: np.concatenate([*x, np.zeros(0, "u8")]).view("i8")
-            yield pd.DataFrame({"a": whole(a), "b": whole(b)})
+            whole = lambda x: np.concatenate([*x, np.zeros((0, width), "u8")]).view("i8")
+            a, b = whole(a), whole(b)
+            yield pd.DataFrame({"a": list(a), "b": list(b)} if width > 1 else {"a": a[:, 0], "b": b[:, 0]})
 
     def buckets(rows: DataFrame, paths: dict[int, int]) -> DataFrame:
         """``paths``: number of a bucket family -> bits its members share."""
         each = F.array(*[F.struct(F.lit(p).alias("path"), F.lit(_signed(m)).alias("mask")) for p, m in paths.items()])
         if "path" in rows.columns:
             each = F.filter(each, lambda x: F.floor(x["path"] / (limit + 1)) == F.col("path") + 1)
-        return rows.select("fp", F.explode(each).alias("to")).select(
-            F.col("to.path").alias("path"), F.col("fp").bitwiseAND(F.col("to.mask")).alias("key"), "fp"
+        return rows.select(*nodes.columns, F.explode(each).alias("to")).select(
+            F.col("to.path").alias("path"), F.col("fp").bitwiseAND(F.col("to.mask")).alias("key"), *nodes.columns
         )
 
     # Children of path p are numbered (p + 1) * (limit + 1) and up, so that no number recurs.
     paths = {k: run for k, run in enumerate(_split(0, limit))}
-    rows, out = buckets(nodes.select("fp"), paths), None
+    rows, out = buckets(nodes, paths), None
     while True:
-        big = cut(rows.groupBy("path", "key").count().filter(F.col("count") > max_bucket).drop("count"))
+        whole = [p for p, used in paths.items() if 64 - used.bit_count() <= limit]
+        big = rows.filter(~F.col("path").isin(whole)) if whole else rows
+        big = cut(big.groupBy("path", "key").count().filter(F.col("count") > max_bucket).drop("count"))
         hot = [r["path"] for r in big.select("path").distinct().collect()]  # one per family
         rest = rows
         if hot:
@@ -202,8 +269,10 @@ def links(nodes: DataFrame, limit: int = LIMIT, max_bucket: int = MAX_BUCKET) ->
             rest = rows.join(F.broadcast(big) if small else big, ["path", "key"], "left_anti")
             if not small:  # so that the join may split a hot key before rows are grouped
                 rest = rest.repartition("path", "key")
-        grouped = rest.groupBy("path", "key").agg(F.collect_list("fp").alias("fps"))
-        found = grouped.filter(F.size("fps") > 1).select("fps").mapInPandas(search, "a long, b long")
+        members = F.collect_list(member) if width == 1 else F.flatten(F.collect_list(member))
+        grouped = rest.groupBy("path", "key").agg(members.alias("members"))
+        grouped = grouped.filter(F.size("members") > width).select("members")
+        found = grouped.mapInPandas(search, f"a {kind}, b {kind}")
         out = found if out is None else out.unionByName(found)
         if not hot:
             return out
@@ -252,6 +321,37 @@ def classes(fps: DataFrame, limit: int = LIMIT, max_bucket: int = MAX_BUCKET) ->
     return linked.join(lowest, "root").select("fp", "root", "component_id")
 
 
+def alike(a: Column, b: Column, differ: int = DIFFER) -> Column:
+    """Whether the sketches of two codes differ in at most ``differ`` bits."""
+    apart = [F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(1, 1 + WIDTH)]
+    return sum(apart[1:], apart[0]) <= differ
+
+
+def checked_classes(
+    codes: DataFrame, limit: int = LIMIT, max_bucket: int = MAX_BUCKET, differ: int = DIFFER
+) -> DataFrame:
+    """(code, root) per different code of ``codes(code)``; root names the class.
+
+    The codes of one fingerprint, which may be very many, are first compared with the smallest of
+    them only; those unlike it are compared with the smallest of the rest, until none is left.  The
+    codes they were alike to, a few per fingerprint, are then linked through the index.
+    """
+    fp = F.get("code", F.lit(0)).alias("fp")
+    rest, groups = cut(codes.select("code").distinct().select(fp, "code")), None
+    while groups is None or not rest.isEmpty():
+        lead = cut(rest.groupBy("fp").agg(F.min("code").alias("lead")))
+        both = cut(rest.join(maybe_broadcast(lead), "fp"))
+        near = alike(F.col("code"), F.col("lead"), differ)
+        members = both.filter(near).select("code", "lead")
+        groups = members if groups is None else groups.unionByName(members)
+        rest = both.filter(~near).select("fp", "code")
+    leads = cut(groups.select(F.col("lead").alias("code")).distinct().select(fp, "code"))
+    roots = components(links(leads, limit, max_bucket, differ))
+    return groups.join(roots, groups.lead == roots.node, "left").select(
+        "code", F.coalesce("root", "lead").alias("root")
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     id: str = "doc_id",
@@ -278,21 +378,25 @@ def one_per_class(
     docs: DataFrame,
     id: str = "doc_id",
     text: str = "text",
-    shingle: int = 5,
-    limit: int = LIMIT,
+    shingle: int = 2,
+    limit: int = 8,
+    check: int = 5,
+    differ: int = DIFFER,
     max_bucket: int = MAX_BUCKET,
 ) -> DataFrame:
     """The documents with one of each class left: that with the smallest id, all columns kept.
 
-    Rows are told apart by id and text.  Null ids come last; of equal rows one stays.
+    Fingerprints of ``shingle`` words find the links, sketches of ``check`` words confirm them.
+    Rows are told apart by id and text.  Null ids come last; of equal rows one stays.  Texts without
+    words are a class; an empty table stays empty.
     """
     key = fresh(docs, "_text_key")
     keyed = docs.withColumn(key, F.xxhash64(F.col(text)))
     rows = keyed.select(F.struct(F.col(id).alias("doc"), F.col(key).alias("hash")).alias("id"), text)
-    fps = cut(fingerprints(rows, "id", text, shingle).select("id.doc", "id.hash", "fp"))
-    found = classes(fps.select(F.col("doc").alias("id"), "fp"), limit, max_bucket)
+    fps = cut(codes(rows, "id", text, shingle, check).select("id.doc", "id.hash", "code"))
+    found = checked_classes(fps, limit, max_bucket, differ)
     order = F.struct(F.col("doc").isNull(), "doc", "hash")  # min alone would put nulls first
-    placed = fps.join(found, "fp").select("root", "doc", "hash", order.alias("order"))
+    placed = cut(fps.join(found, "code").select("root", "doc", "hash", order.alias("order")))
     first = placed.groupBy("root").agg(F.min("order").alias("first"))
     same_row = lambda a, b: a[id].eqNullSafe(b["doc"]) & (a[key] == b["hash"])
     gone = cut(placed.join(first, "root").filter("order <> first").select("doc", "hash").distinct())
