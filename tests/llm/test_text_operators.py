@@ -96,6 +96,26 @@ def test_near_duplicates(odd, docs, max_bucket):
     assert simhash.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_checked_classes(spark):
+    """Several unlike sketches of one fingerprint, and near fingerprints."""
+    rng = np.random.default_rng(5)
+    bases = rng.integers(0, 2**63, (6, simhash.WIDTH), dtype="u8")
+    fps = rng.integers(0, 2**63, 2, dtype="u8")
+    fps = np.append(fps, fps ^ np.uint64(0b11))
+    codes = np.column_stack([fps[rng.integers(0, 4, 60)], bases[rng.integers(0, 6, 60)]])
+    codes[:, 1] ^= np.uint64(1) << rng.integers(0, 64, 60, dtype="u8")
+    apart = sum(np.bitwise_count(c[:, None] ^ c[None, :]).astype(int) for c in codes.T[1:])
+    linked = (apart <= simhash.DIFFER) & (np.bitwise_count(codes[:, :1] ^ codes[:, 0]) <= 2)
+    want = np.arange(60)
+    while (want != (low := np.array([want[x].min() for x in linked]))).any():
+        want = low
+    frame = spark.createDataFrame([(c.view("i8").tolist(),) for c in codes], "code array<long>")
+    root = {tuple(r["code"]): tuple(r["root"]) for r in simhash.checked_classes(frame, 2).collect()}
+    got = [root[tuple(c.view("i8").tolist())] for c in codes]
+    assert [[a == b for b in got] for a in got] == (want[:, None] == want[None, :]).tolist()
+    assert simhash.checked_classes(frame.limit(0)).count() == 0
+
+
 def test_one_of_each_class_stays(spark):
     rows = [(4, "same text here now"), (2, "Same text here now"), (2, "Same text here now"), (None, "same text here now"),
             (7, "something else is this"), (None, None), (9, "")]
