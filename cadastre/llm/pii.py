@@ -95,13 +95,6 @@ DIGIT_WORDS |= {"oh": "0"}
 TIMES = {"double": 2, "triple": 3}
 
 _words = "|".join([*DIGIT_WORDS, *TIMES])
-# What may be a disguise at all; a text without any is not written anew.
-TRIGGER = re.compile(
-    r"[^\x00-ɏ]|­| |[\[({<]\s*(?:at|dot|punkt|punto|point)\s*[\])}>]|\bdot\b|\bpunkt\b|\bpunto\b"
-    r"|\bpoint\b|[_*](?:at|dot)[_*]"
-    rf"|\b(?:{_words})(?:[\s,.-]+(?:{_words})\b){{3}}",
-    re.IGNORECASE,
-)
 DOT_WORD = "(?:dot|punkt|punto|point)"
 AT_SIGN = re.compile(r"\s*(?:[\[({<]\s*(?:at|@)\s*[\])}>]|(?<=\w)[_*](?:at)[_*](?=\w))\s*", re.IGNORECASE)
 DOT_SIGN = re.compile(rf"\s*(?:[\[({{<]\s*(?:{DOT_WORD}|\.)\s*[\])}}>]|(?<=\w)[_*]dot[_*](?=\w))\s*", re.IGNORECASE)
@@ -129,13 +122,19 @@ class Tape:
 
     def __init__(self, text: str):
         self.text = text
-        self.low, self.high = list(range(len(text))), list(range(1, len(text) + 1))
-        self.new = bytearray(len(text))
+        self.low = None  # the spans are listed by the first edit
+
+    def _list(self) -> None:
+        size = len(self.text)
+        self.low, self.high = list(range(size)), list(range(1, size + 1))
+        self.new = bytearray(size)
 
     def rewrite(self, edits: list[tuple[int, int, str]]) -> None:
         """Replace spans of the present text; every new character stands for the whole span."""
         if not edits:
             return
+        if self.low is None:
+            self._list()
         text, low, high, new, at = [], [], [], bytearray(), 0
         for start, end, put in edits:
             text += [self.text[at:start], put]
@@ -218,12 +217,10 @@ def spans(text: str | None) -> list[tuple[str, int, int, bool]]:
     if not text:
         return []
     found = [(kind, *s, True) for kind, find in FINDERS.items() for s in find(text)]
-    if not TRIGGER.search(text):
-        return found
     tape = Tape(text)
     for step in TRANSDUCERS:
         tape.rewrite(step(tape))
-    if 1 not in tape.new and len(tape.text) == len(text):
+    if tape.low is None:
         return found
     taken = sorted((a, b) for _, a, b, _ in found)
     for kind, find in FINDERS.items():

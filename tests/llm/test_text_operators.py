@@ -206,6 +206,18 @@ def test_disguises_map_back_to_the_source(text):
     assert pii.masked(text) == text.replace(part, f"[{kind.upper()}]")
 
 
+ALONE = {
+    "john@example[.]com": "email", "john (@) example.com": "email", "user@example·com": "email", "192.168[.]1[.]1": "ip",
+    "+1 415 five five five 0199": "phone", "+4 4 two 0 seven 9 four 6 zero 9 five": "phone",
+}
+
+
+@pytest.mark.parametrize("text", ALONE)
+def test_disguises_count_without_others(text):
+    assert pii.spans(text) == [(ALONE[text], 0, len(text), False)]
+    assert pii.spans(text + "\n— “”") == pii.spans(text)
+
+
 @pytest.mark.parametrize("text", ["look at the dot on the map", "one two three four things", "Данные и код.", "state-of-the-art"])
 def test_clean_texts_have_none(text):
     assert pii.spans(text) == [] and pii.masked(text) == text
