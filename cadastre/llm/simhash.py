@@ -36,6 +36,11 @@ WIDTH = 4
 # Bits of a sketch that may differ: 25.6 of 256 are expected at a similarity of 0.8, with a standard
 # deviation of 4.8, and 38.4 at 0.7.
 DIFFER = 30
+# Candidates of an exact check: bands of so many least hashes each.  A pair alike by 0.8 shares none with
+# a probability of (1 - 0.8^4)^16 = 0.0002; its sketches differ in more than ``NEAR`` bits hardly ever
+# (five standard deviations).
+BANDS, ROWS, NEAR = 16, 4, 50
+TURNS = 2  # comparisons with one member per bucket, before all pairs that are still apart
 _FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, 64 * WIDTH, dtype="u8") * np.uint64(2) + np.uint64(1)
 
 
@@ -81,14 +86,33 @@ def _count(hashes: list[int], ones: np.ndarray) -> list[int]:
     return []
 
 
+def shingle_set(words: list[bytes], shingle: int = 5) -> np.ndarray:
+    """Hashes of the different shingles, in order."""
+    digest = xxhash.xxh64_intdigest
+    found = {digest(part, SEED) for part in _shingles(words, shingle)} if words else ()
+    return np.sort(np.fromiter(found, "u8"))
+
+
+def _least(hashes: np.ndarray) -> np.ndarray:
+    """The least hash of a set, per hash function."""
+    least = np.full(64 * WIDTH, np.iinfo("u8").max, "u8")
+    for low in range(0, len(hashes), 1024):
+        np.minimum(least, (hashes[low : low + 1024, None] * _FACTORS).min(axis=0), out=least)
+    return least
+
+
+def bands(least: np.ndarray) -> np.ndarray:
+    """A key per band: equal if all least hashes of the band are."""
+    runs = least[: BANDS * ROWS].reshape(BANDS, ROWS)
+    return np.array([xxhash.xxh64_intdigest(run.tobytes(), k) for k, run in enumerate(runs)], "u8").view("i8")
+
+
 def sketch(words: list[bytes], shingle: int = 5) -> np.ndarray:
     """``WIDTH`` 64-bit words: one bit of the least hash of the different shingles, per hash function."""
-    least = np.full(64 * WIDTH, np.iinfo("u8").max, "u8")
-    if words:
-        digest = xxhash.xxh64_intdigest
-        hashes = np.fromiter({digest(part, SEED) for part in _shingles(words, shingle)}, "u8")
-        for low in range(0, len(hashes), 1024):
-            np.minimum(least, (hashes[low : low + 1024, None] * _FACTORS).min(axis=0), out=least)
+    return _bits(_least(shingle_set(words, shingle)))
+
+
+def _bits(least: np.ndarray) -> np.ndarray:
     least = (least ^ (least >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     return np.packbits((least >> np.uint64(63)).astype("u1"), bitorder="little").view("<i8")
 
@@ -334,7 +358,8 @@ def checked_classes(
 
     The codes of one fingerprint, which may be very many, are first compared with the smallest of
     them only; those unlike it are compared with the smallest of the rest, until none is left.  The
-    codes they were alike to, a few per fingerprint, are then linked through the index.
+    codes they were alike to, a few per fingerprint, are then linked through the index.  A link that only a code which is not a lead has
+    may be lost, so no query uses this; ``exact_classes`` loses none.
     """
     fp = F.get("code", F.lit(0)).alias("fp")
     rest, groups = cut(codes.select("code").distinct().select(fp, "code")), None
@@ -352,6 +377,111 @@ def checked_classes(
     )
 
 
+def sets(docs: DataFrame, shingle: int, members: bool = False) -> DataFrame:
+    """Per row of ``docs(id, text)``: id, node (a hash of the shingle set), bands and sketch, or the set itself."""
+    ship(docs.sparkSession)
+
+    def describe(text):
+        found = shingle_set(_words(text), shingle)
+        node = np.array([xxhash.xxh64_intdigest(found.tobytes(), SEED)], "u8").view("i8")[0]
+        if members:
+            return node, found.view("i8")
+        least = _least(found)
+        return node, bands(least), _bits(least)
+
+    names = ["node", "shingles"] if members else ["node", "bands", "sketch"]
+
+    def run(batches):
+        for pdf in in_parts(batches):
+            yield pd.DataFrame([describe(t) for t in pdf["text"]], columns=names).assign(id=pdf["id"].to_list())
+
+    kind = docs.schema["id"].dataType.simpleString()
+    arrays = ", ".join(f"{n} array<long>" for n in names[1:])
+    return docs.select("id", "text").mapInPandas(run, f"node long, {arrays}, id {kind}")
+
+
+def near_sketches(a: Column, b: Column, differ: int = NEAR) -> Column:
+    """Whether two sketches differ in at most ``differ`` bits."""
+    apart = [F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(WIDTH)]
+    return sum(apart[1:], apart[0]) <= differ
+
+
+def pairs_apart(members: DataFrame, differ: int = NEAR, max_bucket: int = MAX_BUCKET) -> DataFrame:
+    """(a, b): all pairs of a bucket with different labels and near sketches, of ``members(key, node, label, sketch)``.
+
+    A bucket above ``max_bucket`` is cut into blocks, and every pair of blocks is a task's work.
+    """
+    ship(members.sparkSession)
+    width = 3 + WIDTH
+    sizes = members.groupBy("key").agg(F.ceil(F.count("*") / max_bucket).alias("blocks"))
+    sizes = cut(sizes)
+    rows = members.join(maybe_broadcast(sizes), "key")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+    rows = rows.select("key", "block", "node", "label", "sketch", other)
+    row = F.concat(F.array("block", "node", "label"), "sketch")
+    grouped = rows.groupBy("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    grouped = grouped.agg(F.flatten(F.collect_list(row)).alias("members")).filter(F.size("members") > width)
+
+    def run(batches):
+        for pdf in batches:
+            for i, j, flat in zip(pdf["i"], pdf["j"], pdf["members"], strict=True):
+                m = np.asarray(flat, "i8").reshape(-1, width)
+                one, two = m[m[:, 0] == i], m[m[:, 0] == j]
+                for low in range(0, len(one), 256):
+                    x = one[low : low + 256]
+                    apart = sum(np.bitwise_count(x[:, None, k] ^ two[None, :, k]).astype("u2") for k in range(3, width))
+                    a, b = np.nonzero((apart <= differ) & (x[:, None, 2] != two[None, :, 2]))
+                    a, b = x[a, 1], two[b, 1]
+                    yield pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)}).drop_duplicates()
+
+    return grouped.select("i", "j", "members").mapInPandas(run, "a long, b long").distinct()
+
+
+def exact_classes(nodes: DataFrame, similar, max_bucket: int = MAX_BUCKET) -> DataFrame:
+    """(node, root) for the nodes of ``nodes(node, bands, sketch)`` that are linked, and no others.
+
+    Nodes that share a band and have near sketches are candidates; ``similar`` returns the links among
+    candidate pairs (a, b).  Members of a bucket are first compared with one of it, which links most of
+    a large group; then all candidates that are not of one class yet are compared, so none is lost.
+    """
+    rows = nodes.select(F.explode("bands").alias("key"), "node", "sketch")
+    several = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    rows = cut(rows.join(maybe_broadcast(cut(several)), "key"))
+    edges, roots = None, None
+    for turn in range(TURNS + 1):
+        if roots is None:
+            labelled = rows.withColumn("label", F.col("node"))
+        else:
+            side = maybe_broadcast(roots.withColumnRenamed("node", "of"))
+            labelled = rows.join(side, F.col("node") == F.col("of"), "left")
+            labelled = labelled.select("key", "node", "sketch", F.coalesce("root", "node").alias("label"))
+            apart = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+            apart = cut(apart.filter("low <> high").select("key"))
+            labelled = cut(labelled.join(maybe_broadcast(apart), "key"))
+        if turn < TURNS:
+            lead = labelled.groupBy("key").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "node"), "node", "sketch", "label")).alias("lead"))
+            both = labelled.join(maybe_broadcast(cut(lead)), "key").filter("label <> lead.label")
+            both = both.filter(near_sketches(F.col("sketch"), F.col("lead.sketch")))
+            a, b = F.greatest("node", "lead.node"), F.least("node", "lead.node")
+            pairs = both.select(a.alias("a"), b.alias("b")).distinct()
+        else:
+            pairs = pairs_apart(labelled, max_bucket=max_bucket)
+        found = similar(cut(pairs))
+        edges = cut(found if edges is None else edges.unionByName(found))
+        roots = cut(components(edges))
+    return roots
+
+
+def jaccard_links(pairs: DataFrame, members: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) whose sets in ``members(node, shingles)`` have a Jaccard similarity of ``least`` or more."""
+    one = members.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
+    two = members.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+    both = pairs.join(one, "a").join(two, "b")
+    common = F.size(F.array_intersect("x", "y"))
+    return both.filter(common >= F.lit(least) * (F.size("x") + F.size("y") - common)).select("a", "b")
+
+
 def near_duplicates(
     docs: DataFrame,
     id: str = "doc_id",
@@ -378,25 +508,38 @@ def one_per_class(
     docs: DataFrame,
     id: str = "doc_id",
     text: str = "text",
-    shingle: int = 2,
-    limit: int = 8,
-    check: int = 5,
-    differ: int = DIFFER,
+    shingle: int = 5,
+    least: float = 0.8,
     max_bucket: int = MAX_BUCKET,
 ) -> DataFrame:
     """The documents with one of each class left: that with the smallest id, all columns kept.
 
-    Fingerprints of ``shingle`` words find the links, sketches of ``check`` words confirm them.
+    Two texts are linked if the sets of their shingles have a Jaccard similarity of ``least`` or more,
+    which is computed exactly for each candidate; see ``exact_classes``.
     Rows are told apart by id and text.  Null ids come last; of equal rows one stays.  Texts without
     words are a class; an empty table stays empty.
     """
     key = fresh(docs, "_text_key")
     keyed = docs.withColumn(key, F.xxhash64(F.col(text)))
     rows = keyed.select(F.struct(F.col(id).alias("doc"), F.col(key).alias("hash")).alias("id"), text)
-    fps = cut(codes(rows, "id", text, shingle, check).select("id.doc", "id.hash", "code"))
-    found = checked_classes(fps, limit, max_bucket, differ)
+    fps = cut(sets(rows.withColumnRenamed(text, "text"), shingle).select("id.doc", "id.hash", "node", "bands", "sketch"))
+    nodes = fps.groupBy("node").agg(F.min("hash").alias("hash"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    nodes = cut(nodes)
+
+    def similar(pairs):
+        """One text of each node in a pair is read again for its set."""
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        wanted = cut(nodes.select("node", "hash").join(wanted, "node").select("hash"))
+        texts = keyed.select(F.col(key).alias("id"), F.col(text).alias("text"))
+        texts = texts.join(maybe_broadcast(wanted), F.col("id") == F.col("hash"), "left_semi")
+        members = cut(sets(texts.dropDuplicates(["id"]), shingle, members=True).select("node", "shingles"))
+        return jaccard_links(pairs, members, least)
+
+    roots = maybe_broadcast(exact_classes(nodes, similar, max_bucket).withColumnRenamed("node", "of"))
+    found = fps.join(roots, F.col("node") == F.col("of"), "left")
+    found = found.select("doc", "hash", F.coalesce("root", "node").alias("root"))
     order = F.struct(F.col("doc").isNull(), "doc", "hash")  # min alone would put nulls first
-    placed = cut(fps.join(found, "code").select("root", "doc", "hash", order.alias("order")))
+    placed = cut(found.select("root", "doc", "hash", order.alias("order")))
     first = placed.groupBy("root").agg(F.min("order").alias("first"))
     same_row = lambda a, b: a[id].eqNullSafe(b["doc"]) & (a[key] == b["hash"])
     gone = cut(placed.join(first, "root").filter("order <> first").select("doc", "hash").distinct())

@@ -126,6 +126,26 @@ def test_one_of_each_class_stays(spark):
         (2, "Same text here now"), (7, "something else is this"), (9, "")]
 
 
+@pytest.mark.parametrize("max_bucket", [3, 4096])
+def test_near_duplicates_are_those_of_the_exact_similarity(spark, max_bucket):
+    """Chains whose ends are unlike, a group of many edited copies, and pairs just below the limit."""
+    rng = np.random.default_rng(3)
+    texts, edit = [], lambda words, places: [f"{w}x" if i in places else w for i, w in enumerate(words)]
+    for k in range(8):
+        base = [f"w{x}" for x in rng.integers(0, 5000, 200)]
+        texts += [base, edit(base, {20, 90}), edit(base, {20, 90, 140, 170}), edit(base, {20, 90, 140, 170, 40, 60})]
+        texts += [edit(base, set(rng.integers(0, 200, 6).tolist())) for _ in range(20 if k else 60)]
+    sets = [set(zip(*(t[i:] for i in range(5)), strict=False)) for t in texts]
+    linked = np.array([[len(x & y) >= 0.8 * len(x | y) for y in sets] for x in sets])
+    root = np.arange(len(texts))
+    while (root != (low := np.array([root[x].min() for x in linked]))).any():
+        root = low
+    assert 8 < len(set(root)) < len(texts) and not linked[root[:, None] == root].all()
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    kept = simhash.one_per_class(frame, max_bucket=max_bucket)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(root.tolist()))
+
+
 def test_line_rules(spark, odd, docs):
     frame = odd.select("doc_id", "text", "source").unionByName(docs.select("doc_id", "text", "source"))
     got = collections.Counter(tuple(r)[:6] for r in line_rules.quality_report(frame).collect())
