@@ -5,12 +5,15 @@ other text.  Its training rows come from the corpus: paragraphs that nearly are
 examples of its family, a bounded sample of the others are not.  A threshold per family is
 calibrated on held-out rows; below it a paragraph is of unknown licence if it speaks of licensing,
 else of none.  A prediction is confirmed by comparing the paragraph with the family's templates.
+Every line is classified, and every block of lines between blank ones in which no line is confirmed, so
+that a wrapped notice is read whole.
 """
 
 from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -53,6 +56,17 @@ TEMPLATES = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
     ],
 }
+# Short names, by which a licence is also declared; to train on only, with text that begins alike.
+NAMES = {
+    "apache": ("Apache 2.0", "the Apache License 2.0", "the Apache-2.0 licence"),
+    "bsd": ("BSD", "the BSD 3-Clause License", "the BSD 2-Clause licence"),
+    "cc": ("CC BY 4.0", "CC BY-SA 4.0", "a Creative Commons licence"),
+    "gpl": ("the GNU GPL v3", "the GPL v2", "the GPLv3", "the GNU General Public License"),
+    "mit": ("MIT", "the MIT License", "the MIT licence"),
+    "mpl": ("the MPL 2.0", "MPL-2.0", "the Mozilla Public License"),
+}
+OPENINGS = ("Distributed under", "Available under", "Released under", "This file is under the terms of", "Licensed under")
+ELSE = ("the counter", "the name of", "this address", "his own name", "the agreement", "the bridge", "a new title")
 FAMILIES = tuple(sorted(TEMPLATES))
 OTHER = len(FAMILIES)
 LICENSING = re.compile(rb"licen[sc]|copyright|copyleft|spdx|public domain|all rights reserved", re.IGNORECASE)
@@ -61,19 +75,31 @@ BUCKETS = 1 << 14
 MAX_POSITIVE, MAX_OTHER = 2_000, 4_000  # training paragraphs: per family; of other text
 SIMILAR = 0.8  # containment of word 2-grams, both to train on and to confirm
 STEPS, RATE, RIDGE = 300, 0.1, 1e-4
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 PRECISION = 0.99  # of a family on held-out rows, by which its threshold is set
 
 
 def words(paragraph: bytes) -> list[bytes]:
     """Lower-case words without the signs around them; numbers as 0, since versions vary."""
-    bare = (w.strip(b".,;:!?\"'()[]<>*/#-") for w in paragraph.lower().split())
-    return [re.sub(rb"[0-9]+", b"0", w) for w in bare if w]
+    plain = re.sub(rb"[0-9]+", b"0", paragraph.lower())
+    return [w for w in (w.strip(b".,;:!?\"'()[]<>*/#-") for w in plain.split()) if w]
+
+
+@lru_cache(maxsize=1 << 16)
+def _word_hash(word: bytes) -> int:
+    return xxhash.xxh64_intdigest(word)
 
 
 def grams(tokens: list[bytes], buckets: int = BUCKETS) -> np.ndarray:
     """Buckets of the different n-grams of a paragraph."""
-    found = {b" ".join(tokens[i : i + n]) for n in GRAMS for i in range(len(tokens) - n + 1)}
-    return np.unique(np.array([xxhash.xxh64_intdigest(g) % buckets for g in found], "i8"))
+    first = np.array([_word_hash(t) for t in tokens], "u8")
+    found, run = [], np.zeros(len(first), "u8")
+    for n in range(1, max(GRAMS) + 1):
+        run = (run[: len(first) - n + 1] ^ first[n - 1 :]) * _MIX if n <= len(first) else first[:0]
+        run = run ^ (run >> np.uint64(32))
+        if n in GRAMS:
+            found.append(run % np.uint64(buckets))
+    return np.unique(np.concatenate(found)).astype("i8")
 
 
 def _pairs(tokens: list[bytes]) -> set:
@@ -154,21 +180,29 @@ def train(docs: DataFrame, text: str = "text", buckets: int = BUCKETS) -> Licenc
             found = []
             for body in pdf["body"]:
                 tokens = words(body.encode())
-                near = [similarity(tokens, f) for f in range(OTHER)] if LICENSING.search(body.encode()) else [0.0]
+                near = [similarity(tokens, f) for f in range(OTHER)] if tokens else [0.0]
                 best = int(np.argmax(near))
                 found.append(best if near[best] >= SIMILAR else OTHER if max(near) < 0.5 else -1)
-            yield pdf.assign(family=found)
+            out = pdf.assign(family=found)
+            yield out[out["speaks"] | out["family"].between(0, OTHER - 1) | out["some"]]
 
-    rows = paragraphs(docs, text).select("body", F.xxhash64("body").alias("h"))
     speaks = F.lower("body").rlike("licen[sc]|copyright|copyleft|spdx|public domain|all rights reserved")
-    # Plain paragraphs are sampled before they go to Python; those that speak of licensing all go.
-    some = rows.filter(~speaks).orderBy("h", "body").limit(MAX_OTHER)
-    named = cut(rows.filter(speaks).distinct().mapInPandas(label, "body string, h long, family int"))
-    got = [(words(r["body"].encode()), OTHER) for r in some.distinct().orderBy("h", "body").collect()]
+    rows = paragraphs(docs, text).select("body", F.xxhash64("body").alias("h"), speaks.alias("speaks"))
+    # Others are sampled from the different ones, by their hashes alone, so that no text is shuffled for it.
+    least = rows.filter(~F.col("speaks")).select("h").distinct().orderBy("h").limit(MAX_OTHER)
+    last = least.agg(F.max("h")).first()[0]
+    some = ~F.col("speaks") & (F.col("h") <= F.lit(0 if last is None else last))
+    labelled = rows.withColumn("some", some).mapInPandas(label, "body string, h long, speaks boolean, some boolean, family int")
+    named = cut(labelled.distinct())
+    plain = named.filter(F.col("some") & (F.col("family") == OTHER)).orderBy("h", "body").limit(MAX_OTHER)
+    got = [(words(r["body"].encode()), OTHER) for r in plain.collect()]
+    named = named.filter(F.col("speaks") | (F.col("family") < OTHER))
     for f in range(OTHER + 1):
         most = MAX_POSITIVE if f < OTHER else MAX_OTHER
         got += [(words(r["body"].encode()), f) for r in named.filter(F.col("family") == f).orderBy("h", "body").limit(most).collect()]
     own = [(words(t.encode()), f) for f in range(OTHER) for t in TEMPLATES[FAMILIES[f]]]
+    own += [(words(f"{o} {n}".encode()), f) for f in range(OTHER) for o in OPENINGS for n in NAMES[FAMILIES[f]]]
+    own += [(words(f"{o} {n}".encode()), OTHER) for o in OPENINGS for n in ELSE]
     held = np.array([i % 4 == 3 for i in range(len(got))] + [False] * len(own), bool)
     keys = [grams(t, buckets) for t, _ in got + own]
     return fit(keys, np.array([c for _, c in got + own], "i8"), held, buckets)
@@ -177,35 +211,39 @@ def train(docs: DataFrame, text: str = "text", buckets: int = BUCKETS) -> Licenc
 FOUND = "array<struct<paragraph:int,family:string,probability:double,similarity:double,confirmed:boolean>>"
 
 
-# A paragraph that does not speak of licensing counts only if it is like a template, and then has
-# SIMILAR of its word pairs, hence at least half as many different words.
-_silent = [t for f in FAMILIES for t, raw in zip(_templates[f], TEMPLATES[f], strict=True) if not LICENSING.search(raw.encode())]
-_silent_words = frozenset(w for t in _silent for pair in t for w in pair)
-_silent_least = min((int(SIMILAR * len(t) / 2) for t in _silent), default=0)
+def _declared(tokens: list[bytes], speaks: bool, model: LicenceModel) -> dict | None:
+    """The verdict on the words of one paragraph; None if it declares nothing."""
+    if not tokens:
+        return None
+    p = model.probabilities(grams(tokens, len(model.weights)))
+    best = int(np.argmax(p[:OTHER]))
+    if p[best] >= model.thresholds[best] and int(np.argmax(p)) == best:
+        family, alike = FAMILIES[best], similarity(tokens, best)
+    elif speaks:
+        family, alike = "unknown", 0.0
+    else:
+        return None
+    return {"family": family, "probability": float(p[best]), "similarity": alike, "confirmed": alike >= SIMILAR}
 
 
 def judge(text: str | None, model: LicenceModel) -> list[dict]:
-    """What the paragraphs of a whole text declare; ``unknown`` for a licence of no known family."""
-    out = []
-    for i, line in enumerate((text or "").encode().split(b"\n")):
-        speaks = LICENSING.search(line)
-        tokens = words(line)
-        if not tokens or not speaks and len(_silent_words.intersection(tokens)) < _silent_least:
-            continue
-        p = model.probabilities(grams(tokens, len(model.weights)))
-        best = int(np.argmax(p[:OTHER]))
-        if p[best] >= model.thresholds[best] and int(np.argmax(p)) == best:
-            alike = similarity(tokens, best)
-            family = FAMILIES[best]
-            if alike < SIMILAR and not speaks:
-                continue
-        elif speaks:
-            family, alike = "unknown", 0.0
-        else:
+    """What the paragraphs of a whole text declare; ``unknown`` for a licence of no known family.
+
+    A paragraph is a line or, if no line of it is confirmed, the block of lines between blank ones.  The
+    block is placed at its first line and stands for them if it is confirmed or they are of no known family.
+    """
+    out, block = [], []
+    for i, line in enumerate([*(text or "").encode().split(b"\n"), b""]):
+        if line.strip():
+            block.append((i, words(line), bool(LICENSING.search(line))))
             continue
-        out.append(
-            {"paragraph": i, "family": family, "probability": float(p[best]), "similarity": alike, "confirmed": alike >= SIMILAR}
-        )
+        found = [(k, x) for k, tokens, speaks in block if (x := _declared(tokens, speaks, model))]
+        if len(block) > 1 and not any(x["confirmed"] for _, x in found):
+            whole = _declared([w for _, tokens, _ in block for w in tokens], False, model)
+            if whole and (whole["confirmed"] or all(x["family"] == "unknown" for _, x in found)):
+                found = [(block[0][0], whole)]
+        out += [{"paragraph": k, **x} for k, x in found]
+        block = []
     return out
 
 

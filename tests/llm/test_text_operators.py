@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import textwrap
 
 import numpy as np
 import public_tokenizers
@@ -268,6 +269,30 @@ def test_licences(spark, docs, odd):
     licences.scan(odd.limit(0), licences.train(odd.limit(0))).collect()
 
 
+def test_licences_without_keywords_and_wrapped(docs):
+    model = licences.train(docs)
+    texts = {"gpl": "Distributed under the GNU GPL v3", "cc": "Available under CC BY 4.0", "apache": "Released under Apache 2.0",
+             "mpl": "This file is under the terms of the MPL 2.0"}
+    for family, text in texts.items():
+        assert [(x["paragraph"], x["family"]) for x in licences.judge(f"Some words.\n\n{text}", model)] == [(2, family)]
+    for family in ("bsd", "mit"):
+        notice = max(licences.TEMPLATES[family], key=len)
+        text = "A title\n\n" + textwrap.fill(notice, 75) + "\n\nOther words."
+        found = [(x["paragraph"], x["family"], x["confirmed"]) for x in licences.judge(text, model)]
+        assert found == [(2, family, True)]
+    plain = licences.judge("The river is long and cold.\nWe walked to the market under the bridge.", model)
+    assert plain == []
+
+
+def test_licence_sample_is_of_different_paragraphs(spark, monkeypatch):
+    monkeypatch.setattr(licences, "MAX_OTHER", 40)
+    frame = spark.range(3000).selectExpr("if(id < 2900, 'the same line', concat('line ', repeat('a', int(id - 2900)))) AS text")
+    seen = {}
+    monkeypatch.setattr(licences, "fit", lambda keys, classes, held, buckets: seen.update(n=int((classes == licences.OTHER).sum())))
+    licences.train(frame)
+    assert seen["n"] == 40 + len(licences.OPENINGS) * len(licences.ELSE)
+
+
 def test_grades_on_held_out_rows(spark):
     """Grades follow telling words; thresholds are in order; held-out rows are ranked."""
     rng = np.random.default_rng(1)
