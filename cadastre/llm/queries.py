@@ -6,12 +6,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastre.llm import bpe, grades, licences, line_rules, mixing, mtree, pii, simhash, token_store, warc
+from cadastre.llm import (
+    bpe,
+    grades,
+    importance,
+    licences,
+    line_rules,
+    mixing,
+    mtree,
+    packing,
+    phrases,
+    pii,
+    simhash,
+    token_store,
+    warc,
+)
 from cadastre.llm.common import table
 from cadastre.sources.scratch import scratch_folder
 
 MULTI_RANKS = "byte_bpe_multi_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
+WORD_TOKENIZER = "word_bpe_49k.json"
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +90,19 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER))
+    return packing.pack(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -85,7 +113,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_warc, op2_mix, op3_simhash, op4_bpe, op5_line_rules, op6_grades, op7_licences,
-        op8_token_store, op9_top_k, op10_pii, pipeline,
+        op8_token_store, op9_top_k, op10_pii, op11_packing, op12_importance, op13_phrases, pipeline,
     )
 }
 
@@ -145,4 +173,36 @@ scored AS (
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10""",
+    "op13_phrases": r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS r, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+runs AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT *, unnest([1, 2, 3]) AS k FROM places) WHERE i + k - 1 <= len(w)),
+f AS (SELECT lang, phrase, k, CAST(count(*) AS HUGEINT) AS f FROM runs GROUP BY ALL),
+totals AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+cuts AS (
+  SELECT lang, phrase, f AS a, c, array_to_string(w[1:c], ' ') AS first, array_to_string(w[c + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, k)) AS c FROM candidates)),
+scored AS (
+  SELECT c.lang, c.phrase, a, x.f AS l, y.f AS r, 1000000 * a * a // (x.f * y.f) AS score,
+         row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY 1000000 * a * a // (x.f * y.f), c) AS nth
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.first
+  JOIN f y ON y.lang = c.lang AND y.phrase = c.rest),
+covered AS (
+  SELECT lang, phrase, max(f) AS f
+  FROM (SELECT lang, f, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase FROM candidates WHERE k = 3)
+  GROUP BY lang, phrase),
+ranked AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank
+  FROM scored s LEFT JOIN covered v ON v.lang = s.lang AND v.phrase = s.phrase
+  WHERE nth = 1 AND NOT coalesce(100 * v.f >= 50 * a, false))
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l,
+       CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
 }
