@@ -9,11 +9,6 @@ Buckets: if two fingerprints differ in at most ``limit`` bits, then of ``limit +
 one at least is equal.  So every fingerprint goes to one bucket per run.  A bucket with more than
 ``max_bucket`` members is split in the same way by its remaining bits; a bucket with r bits left
 has 2^r fingerprints at most, so the splitting ends and nothing is dropped.
-
-Links may be checked: a code is a fingerprint followed by ``WIDTH`` 64-bit words of a min-wise
-sketch, one bit per hash function, of longer shingles.  Two sketches of sets alike by s differ in
-half of (1 - s) of their bits, so near fingerprints of unlike texts, whose number grows with the
-square of the corpus, are not linked.
 """
 
 from __future__ import annotations
@@ -21,7 +16,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadastre.llm.common import fits_broadcast, fresh, in_parts, maybe_broadcast, ship
@@ -32,16 +27,6 @@ LIMIT = 2
 MAX_BUCKET = 4096
 LEAF, FAN = 16, 16
 BLOCK = 1 << 16
-WIDTH = 4
-# Bits of a sketch that may differ: 25.6 of 256 are expected at a similarity of 0.8, with a standard
-# deviation of 4.8, and 38.4 at 0.7.
-DIFFER = 30
-# Candidates of an exact check: bands of so many least hashes each.  A pair alike by 0.8 shares none with
-# a probability of (1 - 0.8^4)^16 = 0.0002; its sketches differ in more than ``NEAR`` bits hardly ever
-# (five standard deviations).
-BANDS, ROWS, NEAR = 16, 4, 50
-TURNS = 2  # comparisons with one member per bucket, before all pairs that are still apart
-_FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, 64 * WIDTH, dtype="u8") * np.uint64(2) + np.uint64(1)
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -86,54 +71,6 @@ def _count(hashes: list[int], ones: np.ndarray) -> list[int]:
     return []
 
 
-def shingle_set(words: list[bytes], shingle: int = 5) -> np.ndarray:
-    """Hashes of the different shingles, in order."""
-    digest = xxhash.xxh64_intdigest
-    found = {digest(part, SEED) for part in _shingles(words, shingle)} if words else ()
-    return np.sort(np.fromiter(found, "u8"))
-
-
-def _least(hashes: np.ndarray) -> np.ndarray:
-    """The least hash of a set, per hash function."""
-    least = np.full(64 * WIDTH, np.iinfo("u8").max, "u8")
-    for low in range(0, len(hashes), 1024):
-        np.minimum(least, (hashes[low : low + 1024, None] * _FACTORS).min(axis=0), out=least)
-    return least
-
-
-def bands(least: np.ndarray) -> np.ndarray:
-    """A key per band: equal if all least hashes of the band are."""
-    runs = least[: BANDS * ROWS].reshape(BANDS, ROWS)
-    return np.array([xxhash.xxh64_intdigest(run.tobytes(), k) for k, run in enumerate(runs)], "u8").view("i8")
-
-
-def sketch(words: list[bytes], shingle: int = 5) -> np.ndarray:
-    """``WIDTH`` 64-bit words: one bit of the least hash of the different shingles, per hash function."""
-    return _bits(_least(shingle_set(words, shingle)))
-
-
-def _bits(least: np.ndarray) -> np.ndarray:
-    least = (least ^ (least >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return np.packbits((least >> np.uint64(63)).astype("u1"), bitorder="little").view("<i8")
-
-
-def codes(docs: DataFrame, id: str, text: str, shingle: int, check: int) -> DataFrame:
-    """(id, code) per row: the fingerprint over ``shingle`` words, then the sketch over ``check``."""
-    ship(docs.sparkSession)
-
-    def code(text):
-        words = _words(text)
-        return np.append(np.array([_fingerprint(words, shingle)], "u8").view("i8"), sketch(words, check))
-
-    def run(batches):
-        for pdf in in_parts(batches):
-            yield pd.DataFrame({"id": pdf["id"], "code": [code(t) for t in pdf["text"]]})
-
-    kind = docs.schema[id].dataType.simpleString()
-    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    return rows.mapInPandas(run, f"id {kind}, code array<long>")
-
-
 def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 3):
     """(id, fp) per row; fp is the fingerprint as a signed 64-bit number."""
     ship(docs.sparkSession)
@@ -210,29 +147,22 @@ def _unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             parent[:] = parent[parent]
 
 
-def bucket_links(codes: np.ndarray, limit: int = LIMIT, differ: int = DIFFER) -> tuple[np.ndarray, np.ndarray]:
+def bucket_links(fps: np.ndarray, limit: int = LIMIT) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect the members of a bucket as the pairs within ``limit`` bits do.
 
-    ``codes`` has a row per member: its fingerprint and, if links are checked, its sketch.  At most
-    one link per member: a member and the first of its class in Gray order.
+    At most one link per member: a member and the first of its class in Gray order.
     """
-    codes = np.unique(codes, axis=0)
-    if len(codes) < 2:
-        return codes[:0], codes[:0]
-    index = GrayIndex(codes[:, 0])
-    codes = codes[index.order]
-    parent = np.arange(len(codes))
-    for low in range(0, len(codes), 256):
-        q, member = index.near(index.fps[low : low + 256], limit)
-        q = q + low
-        if codes.shape[1] > 1:
-            first = q < member
-            q, member = q[first], member[first]
-            apart = sum(np.bitwise_count(c[q] ^ c[member]).astype("u2") for c in codes.T[1:])
-            q, member = q[apart <= differ], member[apart <= differ]
-        _unite(parent, q, member)
-    linked = parent != np.arange(len(codes))
-    return codes[linked], codes[parent[linked]]
+    fps = np.unique(fps)
+    if len(fps) < 2:
+        return fps[:0], fps[:0]
+    index = GrayIndex(fps)
+    fps = index.fps
+    parent = np.arange(len(fps))
+    for low in range(0, len(fps), 256):
+        q, member = index.near(fps[low : low + 256], limit)
+        _unite(parent, q + low, member)
+    linked = parent != np.arange(len(fps))
+    return fps[linked], fps[parent[linked]]
 
 
 def _signed(mask: int) -> int:
@@ -246,37 +176,29 @@ def _split(used: int, limit: int) -> list[int]:
     return [sum(1 << i for i in run) for run in runs]
 
 
-def links(
-    nodes: DataFrame, limit: int = LIMIT, max_bucket: int = MAX_BUCKET, differ: int = DIFFER
-) -> DataFrame:
-    """Links (a, b) between the members of ``nodes(fp)`` or ``nodes(fp, code)``: as many as connect each class.
+def links(nodes: DataFrame, limit: int = LIMIT, max_bucket: int = MAX_BUCKET) -> DataFrame:
+    """Links (a, b) between the fingerprints of ``nodes(fp)``: as many as connect each class.
 
-    No pair within ``limit`` bits (and, of codes, with sketches within ``differ`` bits) is lost: it
-    meets in a bucket, and a bucket's links keep what its pairs connect.  A bucket with no more than
-    ``limit`` bits left is not split further.
+    No pair within ``limit`` bits is lost: it meets in a bucket, and a bucket's links keep what its pairs
+    connect.  A bucket with no more than ``limit`` bits left is not split further.
     """
     ship(nodes.sparkSession)
-    member, width = ("code", 1 + WIDTH) if "code" in nodes.columns else ("fp", 1)
-    kind = nodes.schema[member].dataType.simpleString()
+    nodes = nodes.select("fp")
 
     def search(batches):
         for pdf in batches:
-            found = [
-                bucket_links(np.asarray(x, "i8").view("u8").reshape(-1, width), limit, differ)
-                for x in pdf["members"]
-            ]
+            found = [bucket_links(np.asarray(x, "i8").view("u8"), limit) for x in pdf["members"]]
             a, b = zip(*found, strict=True) if found else ([], [])
-            whole = lambda x: np.concatenate([*x, np.zeros((0, width), "u8")]).view("i8")
-            a, b = whole(a), whole(b)
-            yield pd.DataFrame({"a": list(a), "b": list(b)} if width > 1 else {"a": a[:, 0], "b": b[:, 0]})
+            whole = lambda x: np.concatenate([*x, np.zeros(0, "u8")]).view("i8")
+            yield pd.DataFrame({"a": whole(a), "b": whole(b)})
 
     def buckets(rows: DataFrame, paths: dict[int, int]) -> DataFrame:
         """``paths``: number of a bucket family -> bits its members share."""
         each = F.array(*[F.struct(F.lit(p).alias("path"), F.lit(_signed(m)).alias("mask")) for p, m in paths.items()])
         if "path" in rows.columns:
             each = F.filter(each, lambda x: F.floor(x["path"] / (limit + 1)) == F.col("path") + 1)
-        return rows.select(*nodes.columns, F.explode(each).alias("to")).select(
-            F.col("to.path").alias("path"), F.col("fp").bitwiseAND(F.col("to.mask")).alias("key"), *nodes.columns
+        return rows.select("fp", F.explode(each).alias("to")).select(
+            F.col("to.path").alias("path"), F.col("fp").bitwiseAND(F.col("to.mask")).alias("key"), "fp"
         )
 
     # Children of path p are numbered (p + 1) * (limit + 1) and up, so that no number recurs.
@@ -293,10 +215,9 @@ def links(
             rest = rows.join(F.broadcast(big) if small else big, ["path", "key"], "left_anti")
             if not small:  # so that the join may split a hot key before rows are grouped
                 rest = rest.repartition("path", "key")
-        members = F.collect_list(member) if width == 1 else F.flatten(F.collect_list(member))
-        grouped = rest.groupBy("path", "key").agg(members.alias("members"))
-        grouped = grouped.filter(F.size("members") > width).select("members")
-        found = grouped.mapInPandas(search, f"a {kind}, b {kind}")
+        grouped = rest.groupBy("path", "key").agg(F.collect_list("fp").alias("members"))
+        grouped = grouped.filter(F.size("members") > 1).select("members")
+        found = grouped.mapInPandas(search, "a long, b long")
         out = found if out is None else out.unionByName(found)
         if not hot:
             return out
@@ -345,143 +266,6 @@ def classes(fps: DataFrame, limit: int = LIMIT, max_bucket: int = MAX_BUCKET) ->
     return linked.join(lowest, "root").select("fp", "root", "component_id")
 
 
-def alike(a: Column, b: Column, differ: int = DIFFER) -> Column:
-    """Whether the sketches of two codes differ in at most ``differ`` bits."""
-    apart = [F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(1, 1 + WIDTH)]
-    return sum(apart[1:], apart[0]) <= differ
-
-
-def checked_classes(
-    codes: DataFrame, limit: int = LIMIT, max_bucket: int = MAX_BUCKET, differ: int = DIFFER
-) -> DataFrame:
-    """(code, root) per different code of ``codes(code)``; root names the class.
-
-    The codes of one fingerprint, which may be very many, are first compared with the smallest of
-    them only; those unlike it are compared with the smallest of the rest, until none is left.  The
-    codes they were alike to, a few per fingerprint, are then linked through the index.  A link that only a code which is not a lead has
-    may be lost, so no query uses this; ``exact_classes`` loses none.
-    """
-    fp = F.get("code", F.lit(0)).alias("fp")
-    rest, groups = cut(codes.select("code").distinct().select(fp, "code")), None
-    while groups is None or not rest.isEmpty():
-        lead = cut(rest.groupBy("fp").agg(F.min("code").alias("lead")))
-        both = cut(rest.join(maybe_broadcast(lead), "fp"))
-        near = alike(F.col("code"), F.col("lead"), differ)
-        members = both.filter(near).select("code", "lead")
-        groups = members if groups is None else groups.unionByName(members)
-        rest = both.filter(~near).select("fp", "code")
-    leads = cut(groups.select(F.col("lead").alias("code")).distinct().select(fp, "code"))
-    roots = components(links(leads, limit, max_bucket, differ))
-    return groups.join(roots, groups.lead == roots.node, "left").select(
-        "code", F.coalesce("root", "lead").alias("root")
-    )
-
-
-def sets(docs: DataFrame, shingle: int, members: bool = False) -> DataFrame:
-    """Per row of ``docs(id, text)``: id, node (a hash of the shingle set), bands and sketch, or the set itself."""
-    ship(docs.sparkSession)
-
-    def describe(text):
-        found = shingle_set(_words(text), shingle)
-        node = np.array([xxhash.xxh64_intdigest(found.tobytes(), SEED)], "u8").view("i8")[0]
-        if members:
-            return node, found.view("i8")
-        least = _least(found)
-        return node, bands(least), _bits(least)
-
-    names = ["node", "shingles"] if members else ["node", "bands", "sketch"]
-
-    def run(batches):
-        for pdf in in_parts(batches):
-            yield pd.DataFrame([describe(t) for t in pdf["text"]], columns=names).assign(id=pdf["id"].to_list())
-
-    kind = docs.schema["id"].dataType.simpleString()
-    arrays = ", ".join(f"{n} array<long>" for n in names[1:])
-    return docs.select("id", "text").mapInPandas(run, f"node long, {arrays}, id {kind}")
-
-
-def near_sketches(a: Column, b: Column, differ: int = NEAR) -> Column:
-    """Whether two sketches differ in at most ``differ`` bits."""
-    apart = [F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(WIDTH)]
-    return sum(apart[1:], apart[0]) <= differ
-
-
-def pairs_apart(members: DataFrame, differ: int = NEAR, max_bucket: int = MAX_BUCKET) -> DataFrame:
-    """(a, b): all pairs of a bucket with different labels and near sketches, of ``members(key, node, label, sketch)``.
-
-    A bucket above ``max_bucket`` is cut into blocks, and every pair of blocks is a task's work.
-    """
-    ship(members.sparkSession)
-    width = 3 + WIDTH
-    sizes = members.groupBy("key").agg(F.ceil(F.count("*") / max_bucket).alias("blocks"))
-    sizes = cut(sizes)
-    rows = members.join(maybe_broadcast(sizes), "key")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    rows = rows.select("key", "block", "node", "label", "sketch", other)
-    row = F.concat(F.array("block", "node", "label"), "sketch")
-    grouped = rows.groupBy("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    grouped = grouped.agg(F.flatten(F.collect_list(row)).alias("members")).filter(F.size("members") > width)
-
-    def run(batches):
-        for pdf in batches:
-            for i, j, flat in zip(pdf["i"], pdf["j"], pdf["members"], strict=True):
-                m = np.asarray(flat, "i8").reshape(-1, width)
-                one, two = m[m[:, 0] == i], m[m[:, 0] == j]
-                for low in range(0, len(one), 256):
-                    x = one[low : low + 256]
-                    apart = sum(np.bitwise_count(x[:, None, k] ^ two[None, :, k]).astype("u2") for k in range(3, width))
-                    a, b = np.nonzero((apart <= differ) & (x[:, None, 2] != two[None, :, 2]))
-                    a, b = x[a, 1], two[b, 1]
-                    yield pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)}).drop_duplicates()
-
-    return grouped.select("i", "j", "members").mapInPandas(run, "a long, b long").distinct()
-
-
-def exact_classes(nodes: DataFrame, similar, max_bucket: int = MAX_BUCKET) -> DataFrame:
-    """(node, root) for the nodes of ``nodes(node, bands, sketch)`` that are linked, and no others.
-
-    Nodes that share a band and have near sketches are candidates; ``similar`` returns the links among
-    candidate pairs (a, b).  Members of a bucket are first compared with one of it, which links most of
-    a large group; then all candidates that are not of one class yet are compared, so none is lost.
-    """
-    rows = nodes.select(F.explode("bands").alias("key"), "node", "sketch")
-    several = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    rows = cut(rows.join(maybe_broadcast(cut(several)), "key"))
-    edges, roots = None, None
-    for turn in range(TURNS + 1):
-        if roots is None:
-            labelled = rows.withColumn("label", F.col("node"))
-        else:
-            side = maybe_broadcast(roots.withColumnRenamed("node", "of"))
-            labelled = rows.join(side, F.col("node") == F.col("of"), "left")
-            labelled = labelled.select("key", "node", "sketch", F.coalesce("root", "node").alias("label"))
-            apart = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-            apart = cut(apart.filter("low <> high").select("key"))
-            labelled = cut(labelled.join(maybe_broadcast(apart), "key"))
-        if turn < TURNS:
-            lead = labelled.groupBy("key").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "node"), "node", "sketch", "label")).alias("lead"))
-            both = labelled.join(maybe_broadcast(cut(lead)), "key").filter("label <> lead.label")
-            both = both.filter(near_sketches(F.col("sketch"), F.col("lead.sketch")))
-            a, b = F.greatest("node", "lead.node"), F.least("node", "lead.node")
-            pairs = both.select(a.alias("a"), b.alias("b")).distinct()
-        else:
-            pairs = pairs_apart(labelled, max_bucket=max_bucket)
-        found = similar(cut(pairs))
-        edges = cut(found if edges is None else edges.unionByName(found))
-        roots = cut(components(edges))
-    return roots
-
-
-def jaccard_links(pairs: DataFrame, members: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) whose sets in ``members(node, shingles)`` have a Jaccard similarity of ``least`` or more."""
-    one = members.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-    two = members.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    both = pairs.join(one, "a").join(two, "b")
-    common = F.size(F.array_intersect("x", "y"))
-    return both.filter(common >= F.lit(least) * (F.size("x") + F.size("y") - common)).select("a", "b")
-
-
 def near_duplicates(
     docs: DataFrame,
     id: str = "doc_id",
@@ -508,41 +292,27 @@ def one_per_class(
     docs: DataFrame,
     id: str = "doc_id",
     text: str = "text",
-    shingle: int = 5,
-    least: float = 0.8,
+    shingle: int = 3,
+    limit: int = LIMIT,
     max_bucket: int = MAX_BUCKET,
 ) -> DataFrame:
-    """The documents with one of each class left: that with the smallest id, all columns kept.
+    """The documents with one of each class of ``near_duplicates`` left: that with the smallest id.
 
-    Two texts are linked if the sets of their shingles have a Jaccard similarity of ``least`` or more,
-    which is computed exactly for each candidate; see ``exact_classes``.
-    Rows are told apart by id and text.  Null ids come last; of equal rows one stays.  Texts without
-    words are a class; an empty table stays empty.
+    All columns are kept.  Rows are told apart by id and text.  Null ids come last; of equal rows one
+    stays.  Texts without words are a class; an empty table stays empty.
     """
     key = fresh(docs, "_text_key")
     keyed = docs.withColumn(key, F.xxhash64(F.col(text)))
-    rows = keyed.select(F.struct(F.col(id).alias("doc"), F.col(key).alias("hash")).alias("id"), text)
-    fps = cut(sets(rows.withColumnRenamed(text, "text"), shingle).select("id.doc", "id.hash", "node", "bands", "sketch"))
-    nodes = fps.groupBy("node").agg(F.min("hash").alias("hash"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    nodes = cut(nodes)
-
-    def similar(pairs):
-        """One text of each node in a pair is read again for its set."""
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = cut(nodes.select("node", "hash").join(wanted, "node").select("hash"))
-        texts = keyed.select(F.col(key).alias("id"), F.col(text).alias("text"))
-        texts = texts.join(maybe_broadcast(wanted), F.col("id") == F.col("hash"), "left_semi")
-        members = cut(sets(texts.dropDuplicates(["id"]), shingle, members=True).select("node", "shingles"))
-        return jaccard_links(pairs, members, least)
-
-    roots = maybe_broadcast(exact_classes(nodes, similar, max_bucket).withColumnRenamed("node", "of"))
-    found = fps.join(roots, F.col("node") == F.col("of"), "left")
-    found = found.select("doc", "hash", F.coalesce("root", "node").alias("root"))
-    order = F.struct(F.col("doc").isNull(), "doc", "hash")  # min alone would put nulls first
-    placed = cut(found.select("root", "doc", "hash", order.alias("order")))
-    first = placed.groupBy("root").agg(F.min("order").alias("first"))
+    rows = keyed.select(F.struct(F.col(id).alias("doc"), F.col(key).alias("hash")).alias("id"), F.col(text).alias("text"))
+    order = F.struct(F.col("id.doc").isNull(), "id.doc", "id.hash")  # min alone would put nulls first
+    fps = cut(fingerprints(rows, "id", "text", shingle).select("id.doc", "id.hash", "fp", order.alias("order")))
+    nodes = cut(fps.groupBy("fp").agg(F.min("order").alias("first"), F.count("*").alias("n")))
+    roots = maybe_broadcast(components(links(nodes, limit, max_bucket)))
+    found = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    kept = found.groupBy("root").agg(F.min("first").alias("kept"))
+    found = cut(found.join(kept, "root").select("fp", "kept"))
+    gone = cut(fps.join(maybe_broadcast(found), "fp").filter("order <> kept").select("doc", "hash").distinct())
     same_row = lambda a, b: a[id].eqNullSafe(b["doc"]) & (a[key] == b["hash"])
-    gone = cut(placed.join(first, "root").filter("order <> first").select("doc", "hash").distinct())
     side = maybe_broadcast(gone)
     left = keyed.join(side, same_row(keyed, side), "left_anti")
     again = cut(fps.groupBy("doc", "hash").count().filter("count > 1").select("doc", "hash"))
