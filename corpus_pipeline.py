@@ -14,10 +14,7 @@ from cadastre.llm.common import table
 from cadastre.sources.scratch import settle
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-# Near duplicates: sets of CHECK-word shingles alike by this much, computed exactly.  SHINGLE and LIMIT are
-# of the SimHash that found them before; tests/llm still compares with it.
-CHECK, SIMILAR = 5, 0.8
-SHINGLE, LIMIT = 2, 8
+SHINGLE, LIMIT = 3, 2  # words of a shingle, bits that fingerprints of near duplicates may differ in
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,8 +23,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, that with the smallest id."""
-    return simhash.one_per_class(docs, shingle=CHECK, least=SIMILAR)
+    """One document of each group of near duplicates by SimHash stays, that with the smallest id."""
+    return simhash.one_per_class(docs, shingle=SHINGLE, limit=LIMIT)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
