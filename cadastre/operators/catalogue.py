@@ -46,9 +46,21 @@ def static_path() -> Column:
 
 
 def normal_path(path: Column) -> Column:
-    """The path without empty and ``.`` parts, so that ``dist``, ``dist/`` and ``./dist`` are one."""
+    """The path without empty and ``.`` parts and with ``..`` resolved: ``dist``, ``./dist`` and ``a/../dist`` are one.
+
+    ``..`` at the root stays there; before the start of a relative path it is kept.
+    """
     parts = F.filter(F.split(path, "/"), lambda x: ~x.isin("", "."))
-    return F.concat(F.when(path.startswith("/"), "/").otherwise(""), F.array_join(parts, "/"))
+    absolute = path.startswith("/")
+
+    def step(done, part):
+        up = (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1)) != "..")
+        back = F.when(up, F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
+        back = back.when(absolute, done).otherwise(F.concat(done, F.array(part)))
+        return F.when(part == "..", back).otherwise(F.concat(done, F.array(part)))
+
+    parts = F.when(F.array_contains(parts, ".."), F.aggregate(parts, F.array().cast("array<string>"), step)).otherwise(parts)
+    return F.concat(F.when(absolute, "/").otherwise(""), F.array_join(parts, "/"))
 
 
 def missing_targets(

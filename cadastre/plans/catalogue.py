@@ -15,6 +15,7 @@ from cadastre.operators.catalogue import (
     owners_only,
 )
 from cadastre.operators.routes import catalogue_routes
+from cadastre.sources.listing import list_tree, module_listing, static_listing
 from cadastre.sources.manifests import decode_records, manifest_scan
 from cadastre.sources.scratch import settle
 
@@ -126,6 +127,16 @@ def build_catalogue(
     return checked.withColumn("status", status_on_row())
 
 
+def catalogue_of_tree(spark: SparkSession, root: str, package: str = "apps") -> DataFrame:
+    """The catalogue of a tree of files, nothing handed in: manifests, modules and folders are read from it.
+
+    Bad manifests and later owners of a path are left out; ``problems`` reports them.
+    """
+    listed = settle(list_tree(spark, root))
+    modules = module_listing(spark, root, package, listed)
+    return build_catalogue(load_records(spark, root), modules, static_listing(spark, root, listed))
+
+
 def status_on_row() -> Column:
     """Status where the key is unique, so that the row itself knows whether it is broken."""
     ok = F.coalesce("module_ok", F.lit(True)) & F.coalesce("static_ok", F.lit(True))

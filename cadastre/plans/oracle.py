@@ -38,6 +38,20 @@ targeted AS (
       || '/' || static_dir IN (SELECT static_path FROM listed_dirs), false) END AS static_ok
   FROM {rows})"""
 
+# What ``views.supplier_tree`` writes: its manifests, and what their targets are.
+TREE = """tree AS (
+  SELECT s_suppkey, s_name, n_name, s_acctbal, 'nation-' || s_nationkey AS "group", 's-' || s_suppkey AS slug,
+         'nation_' || s_nationkey || '/s_' || s_suppkey AS folder, s_suppkey % 7 = 0 AS empty,
+         s_suppkey % 7 <> 0 AND s_suppkey % 9 = 0 AS undecodable,
+         CASE s_suppkey % 3 WHEN 0 THEN 'backend' WHEN 1 THEN 'frontend' ELSE 'fullstack' END AS kind
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+manifests AS (
+  SELECT *, folder || '/project.yaml' AS path FROM tree
+  UNION ALL SELECT *, folder || '_copy/project.yaml' FROM tree WHERE s_suppkey % 5 = 0),
+targets AS (
+  SELECT *, s_acctbal >= 0 AND s_suppkey % 4 <> 1 AND s_suppkey % 10 <> 3 AS module_ok, s_acctbal < 8000 AS static_ok
+  FROM tree)"""
+
 # Order keys that make a derived manifest undecodable.
 UNREADABLE = "(o_orderkey % 61 = 0 OR o_orderkey % 67 = 0)"
 

@@ -17,9 +17,10 @@ from cadastre.plans.catalogue import (
     typed_records,
 )
 from cadastre.plans.registry import register
-from cadastre.sources.manifests import decode_records, manifest_scan
+from cadastre.sources.manifests import decode_records, manifest_scan, manifest_stream
 from cadastre.sources.register import new_records, refusal_by_rule, register_records
 from cadastre.sources.scratch import scratch_folder
+from cadastre.streaming.jobs import run_available
 
 def as_text(c) -> Column:
     """An optional flag or number as text, empty when null."""
@@ -29,30 +30,20 @@ def as_text(c) -> Column:
 # --- sources -----------------------------------------------------------------------------------
 
 
-@register(
-    "s1_manifest_scan",
-    """SELECT 'unit=nation-' || s_nationkey AS group_dir, 'project=s-' || s_suppkey AS project_dir,
-       s_name AS name, 's-' || s_suppkey AS slug, 'nation-' || s_nationkey AS "group", n_name AS description
-FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
-)
-def s1_manifest_scan(spark, sf_dir):
-    """Every supplier's manifest is written as one file of a two-level tree, then scanned."""
-    supplier = v.spread(v.table(spark, sf_dir, "supplier")).join(
-        v.table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
-    )
-    group = F.concat(F.lit("nation-"), F.col("s_nationkey").cast("string"))
-    slug = F.concat(F.lit("s-"), F.col("s_suppkey").cast("string"))
-    content = F.format_string(
-        "name: %s\nslug: %s\ndescription: %s\ngroup: %s",
-        F.concat(F.lit('"'), "s_name", F.lit('"')), slug, F.col("n_name"), group,
-    )
-    folder = scratch_folder(spark)
-    files = supplier.select(content.alias("value"), group.alias("unit"), slug.alias("project"))
-    files.write.partitionBy("unit", "project").text(folder)
-    found = decode_records(manifest_scan(spark, folder, "*/*/*.txt"), "yaml")
+SCANNED = """SELECT split_part(path, '/', 1) AS group_dir, split_part(path, '/', 2) AS project_dir,
+  empty OR undecodable AS failed,
+  CASE WHEN empty THEN 'a mapping is needed, found NoneType' WHEN undecodable THEN 'not UTF-8 text' END AS reason,
+  CASE WHEN NOT failed THEN s_name END AS name, CASE WHEN NOT failed THEN slug END AS slug,
+  CASE WHEN NOT failed THEN "group" END AS "group", CASE WHEN NOT failed THEN n_name END AS description
+FROM manifests"""
+
+
+def _scanned(found):
     return found.select(
         F.col("path_parts")[0].alias("group_dir"),
         F.col("path_parts")[1].alias("project_dir"),
+        F.col("decode_error").isNotNull().alias("failed"),
+        F.col("decode_error").alias("reason"),
         "rec.name",
         "rec.slug",
         "rec.group",
@@ -60,6 +51,23 @@ def s1_manifest_scan(spark, sf_dir):
     )
 
 
+@register("s1_manifest_scan", q.with_tables(q.TREE) + SCANNED)
+def s1_manifest_scan(spark, sf_dir):
+    """Every supplier's project is written as files of a tree, whose manifests are then scanned."""
+    folder = scratch_folder(spark)
+    v.supplier_tree(spark, sf_dir, folder)
+    return _scanned(decode_records(manifest_scan(spark, folder), "yaml"))
+
+
+@register("stream_scan", q.with_tables(q.TREE) + SCANNED)
+def stream_scan(spark, sf_dir):
+    """The same tree as a stream: files without bytes and files that are not text are rows too."""
+    folder = scratch_folder(spark)
+    v.supplier_tree(spark, sf_dir, folder)
+    found = decode_records(manifest_stream(spark, folder), "yaml")
+    return _scanned(run_available(found, scratch_folder(spark)))
+
+
 def _decoded(rows):
     return rows.select(
         v.KEY,

@@ -11,11 +11,18 @@ from cadastre.operators import changes, lookup, overlay, sequence
 from cadastre.operators.routes import resolve_routes
 from cadastre.plans import oracle as q
 from cadastre.plans import views as v
-from cadastre.plans.catalogue import build_catalogue, catalogue_index, routes_of
+from cadastre.plans.catalogue import (
+    build_catalogue,
+    catalogue_index,
+    catalogue_of_tree,
+    load_records,
+    routes_of,
+)
 from cadastre.plans.page import page_cards
 from cadastre.plans.queries_records import as_text
 from cadastre.plans.registry import ORACLE, register
-from cadastre.sources.scratch import scratch_folder
+from cadastre.sources.listing import list_tree, module_listing, static_listing
+from cadastre.sources.scratch import scratch_folder, settle
 from cadastre.streaming import jobs
 
 # --- catalogue ---------------------------------------------------------------------------------
@@ -50,6 +57,27 @@ def catalogue_index_query(spark, sf_dir):
     return cat.index_order(cards, v.KEY).withColumn("members", text.join_members("members"))
 
 
+@register(
+    "full_flow",
+    q.with_tables(q.TREE)
+    + """, good AS (SELECT m.*, module_ok, static_ok FROM manifests m JOIN targets t ON m.s_suppkey = t.s_suppkey
+  WHERE NOT m.empty AND NOT m.undecodable AND m.s_suppkey % 11 <> 0 AND NOT ends_with(path, '_copy/project.yaml'))
+SELECT "group", path, min(path) OVER (PARTITION BY "group") AS group_path, s_name AS name,
+  '/' || "group" || '/' || slug AS mount_path,
+  CASE WHEN (kind = 'frontend' OR module_ok) AND (kind = 'backend' OR static_ok) THEN 'online' ELSE 'broken' END AS status
+FROM good""",
+)
+def full_flow(spark, sf_dir):
+    """From files to the index: manifests, modules and static folders all come from the tree."""
+    root = scratch_folder(spark)
+    v.supplier_tree(spark, sf_dir, root)
+    index = catalogue_index(catalogue_of_tree(spark, root))
+    path = lambda c, name: F.array_join(c, "/").alias(name)
+    return cat.index_order(index, "path_parts").select(
+        "group", path("path_parts", "path"), path("group_key", "group_path"), "name", "mount_path", "status"
+    )
+
+
 @register(
     "a1_grouped_index",
     q.with_tables(q.CATALOG)
@@ -122,6 +150,27 @@ def j1_missing_targets(spark, sf_dir):
     )
 
 
+@register(
+    "j1_from_tree",
+    q.with_tables(q.TREE)
+    + """SELECT s_suppkey, CASE WHEN kind <> 'frontend' THEN CASE WHEN module_ok THEN 'true' ELSE 'false' END ELSE '' END AS module_ok,
+  CASE WHEN kind <> 'backend' THEN CASE WHEN static_ok THEN 'true' ELSE 'false' END ELSE '' END AS static_ok
+FROM targets WHERE NOT empty AND NOT undecodable""",
+)
+def j1_from_tree(spark, sf_dir):
+    """Targets compared with what the syntax trees of the sources bind and with the folders there are."""
+    root = scratch_folder(spark)
+    v.supplier_tree(spark, sf_dir, root)
+    records = load_records(spark, root).filter("decode_error IS NULL AND path_parts[1] NOT LIKE '%\\\\_copy'")
+    listed = settle(list_tree(spark, root))
+    found = cat.missing_targets(records, module_listing(spark, root, listed=listed), static_listing(spark, root, listed))
+    return found.select(
+        F.substring_index("slug", "-", -1).cast("long").alias("s_suppkey"),
+        as_text("module_ok").alias("module_ok"),
+        as_text("static_ok").alias("static_ok"),
+    )
+
+
 def _targeted(spark, sf_dir):
     return cat.missing_targets(
         v.catalog(spark, sf_dir), v.module_listing(spark, sf_dir), v.static_listing(spark, sf_dir)

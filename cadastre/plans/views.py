@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cadastre.functions.text import canonical_path, slug_to_module
 from cadastre.operators.skew import lookup_join
+from cadastre.sources.listing import write_files
 from cadastre.sources.scratch import settle
 
 KEY = "o_orderkey"
@@ -253,3 +254,46 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select(
         "doc_id", "source", F.posexplode(F.split("text", "\n")).alias("position", "text")
     )
+
+
+def supplier_tree(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Every supplier as a project in a tree of files: manifest, source and static files, with faults by key.
+
+    Manifests: empty (every 7th), not UTF-8 (9th), at a wrong path (11th), and a copy in a second folder (5th).
+    Sources: none where the balance is negative, without the attribute (4n + 1), no Python (10n + 3).
+    Static files: where the balance is below 8000; every 4th names their folder by a detour.
+    """
+    key = F.col("s_suppkey")
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
+    rows = lookup_join(spread(table(spark, sf_dir, "supplier")), nation, ["s_nationkey"], "inner")
+    every = lambda n, rest=0: key % n == rest
+    group, slug = F.concat(F.lit("nation-"), "s_nationkey"), F.concat(F.lit("s-"), key)
+    folder, project = slug_to_module("group"), slug_to_module("slug")
+    rows = rows.select("s_suppkey", "s_name", "n_name", "s_acctbal", group.alias("group"), slug.alias("slug"))
+    kind = F.when(every(3), "backend").when(every(3, 1), "frontend").otherwise("fullstack")
+    mount = F.when(every(11), F.concat(F.lit("/wrong/"), "slug")).otherwise(canonical_path("group", "slug"))
+    static = F.when(every(4), "./dist/../dist").otherwise("dist")
+    text = F.format_string(
+        'name: "%s"\nslug: %s\ndescription: %s\ngroup: %s\nmembers: ["%s"]\nkind: %s\nmount_path: %s\n'
+        "entry: apps.%s.%s.main:app\nstatic_dir: %s\n",
+        "s_name", "slug", "n_name", "group", "s_name", kind, mount, folder, project, static,
+    )
+    broken = F.concat(F.unhex(F.lit("FFFE")), text.cast("binary"))
+    manifest = F.when(every(7), F.lit("").cast("binary")).when(every(9), broken).otherwise(text.cast("binary"))
+    source = (
+        F.when(every(4, 1), "def create():\n    app = 1\n    return app\n")
+        .when(every(10, 3), "app = (\n")
+        .otherwise("try:\n    from fast import app\nexcept ImportError:\n    app = None\n")
+    )
+    own = F.array(folder, project)
+    file = lambda place, name, content: F.struct(
+        F.concat(place, F.array(*map(F.lit, name))).alias("parts"), content.cast("binary").alias("content")
+    )
+    files = F.array(
+        file(own, ["project.yaml"], manifest),
+        F.when(every(5), file(F.array(folder, F.concat(project, F.lit("_copy"))), ["project.yaml"], manifest)),
+        F.when(F.col("s_acctbal") >= 0, file(own, ["main.py"], source)),
+        F.when(F.col("s_acctbal") < 8000, file(own, ["dist", "index.html"], F.lit("<p>"))),
+    )
+    each = rows.select(F.explode(F.array_compact(files)).alias("file")).select("file.*")
+    write_files(each, root, "parts", "content")

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadastre.functions.rules import FIELDS
+from cadastre.sources.listing import list_files, read_files, stream_files, utf8
 
 # Fixed value: where manifests are.
 MANIFEST_GLOB = "*/*/project.yaml"
@@ -23,64 +23,31 @@ CHECKS = ("pytest", "mypy")
 _END = "end of text"
 
 TYPE_ERRORS = "array<struct<field:string,code:string>>"
-BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 YAML_RESULT = T.StructType(
     [T.StructField("json", T.StringType()), T.StructField("error", T.StringType())]
 )
 
 
-def _parts(uri: Column, levels: int) -> Column:
-    """The last components of a file URI, decoded; '+' is literal in the path of a URI."""
-    path = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
-    return F.slice(F.split(path, "/"), -levels, levels).alias("path_parts")
-
-
 def _with_path(files: DataFrame) -> DataFrame:
     return files.select(
-        F.array_join("path_parts", "/").alias("path"), "path_parts", "content"
+        F.array_join("path_parts", "/").alias("path"), "path_parts", utf8(F.col("content")).alias("content")
     )
 
 
-def _text() -> Column:
-    """File content as text; null when it is not UTF-8, so that one file cannot stop the job."""
-    return F.try_validate_utf8(F.col("content").cast("string"))
-
-
 def manifest_scan(spark: SparkSession, root: str, depth_glob: str = MANIFEST_GLOB) -> DataFrame:
     """One row per file at ``root/depth_glob``; no match gives an empty table.
 
-    ``path`` is relative to the root; ``path_parts`` is its sort key.
-
-    File sources skip files without bytes, but an empty manifest is a record to report.  They are
-    the listed files that the scan does not return; finding them reads names only, no content.
+    ``path`` is relative to the root; ``path_parts`` is its sort key.  ``content`` is null for a file that
+    is not UTF-8 and empty for one without bytes.  Tasks list and read; see ``listing``.
     """
-    levels = depth_glob.count("/") + 1
-    try:
-        files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{depth_glob}")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], "path string, path_parts array<string>, content string")
-    parts = _parts(F.col("_metadata.file_path"), levels)
-    listed = spark.createDataFrame([(f,) for f in files.inputFiles()], "uri string")
-    listed = listed.select(_parts(F.col("uri"), levels))
-    empty = listed.join(files.select(parts), "path_parts", "left_anti")
-    found = files.select(parts, _text().alias("content"))
-    return _with_path(found.unionByName(empty.withColumn("content", F.lit(""))))
+    return _with_path(read_files(spark, root, list_files(spark, root, depth_glob)))
 
 
 def manifest_stream(
-    spark: SparkSession, root: str, depth_glob: str = MANIFEST_GLOB
+    spark: SparkSession, root: str, depth_glob: str = MANIFEST_GLOB, lag: float = 0
 ) -> DataFrame:
-    """The same rows as a stream: each trigger brings the files that are new.
-
-    A stream does not see files without bytes.
-    """
-    levels = depth_glob.count("/") + 1
-    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE)
-    files = reader.load(f"{root.rstrip('/')}/{depth_glob}")
-    parts = _parts(F.col("_metadata.file_path"), levels)
-    return _with_path(files.select(parts, _text().alias("content")))
+    """The same rows as a stream: each trigger brings the files written since the last one."""
+    return _with_path(stream_files(spark, root, depth_glob, lag))
 
 
 def _plain(value, depth=2):
