@@ -3,7 +3,8 @@
 A key with more than ``ROWS_PER_TASK`` rows is *hot*.  At most ``rows / ROWS_PER_TASK`` keys can be
 hot, so the table of hot keys stays small however large the input is.  It is found by a count per
 key that is combined map-side and reads the key columns only.  Windows use the plain plan when
-nothing is hot and split the hot keys otherwise; joins leave the splitting to adaptive execution.
+nothing is hot and split the hot keys otherwise; joins leave the splitting to adaptive execution, or
+salt the hot keys where it does not split, as in a micro-batch.
 """
 
 from __future__ import annotations
@@ -88,6 +89,34 @@ def lookup_join(
     return df.join(F.broadcast(dim) if small else dim, on, how)
 
 
+SHARES = 32
+
+
+def salted_join(
+    df: DataFrame, dim: DataFrame, on: list[str], how: str = "left", tasks: int | None = None
+) -> DataFrame:
+    """Equi join to a large side with one row per key, the hot keys of ``df`` dealt out over all tasks.
+
+    For a table written already, such as a micro-batch: it is read for its keys and again for the join.  A
+    key with more than a quarter of a task's fair share is hot.  Its rows take turns over as many salts as
+    it has ``SHARES``-ths of a share, and only its row of ``dim`` is copied, once per salt.
+    """
+    if how not in JOIN_KINDS:
+        raise ValueError(f"{how!r} is not one of {', '.join(JOIN_KINDS)}")
+    tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.count()
+    hot = settle(hot_keys(df, on, max(1, rows // (4 * tasks))))
+    if hot.isEmpty():
+        return df.join(dim, on, how)
+    part = max(1, rows // (SHARES * tasks))
+    salts = hot.select(*on, F.ceil(F.col("_n") / part).alias("_salts"))
+    bounded = fits_broadcast(salts)
+    many = F.coalesce("_salts", F.lit(1).cast("long"))
+    dealt = attach(df, salts, on, bounded).withColumn("_salt", F.pmod(F.monotonically_increasing_id(), many))
+    copies = attach(dim, salts, on, bounded).withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), many - 1)))
+    return dealt.drop("_salts").join(copies.drop("_salts"), [*on, "_salt"], how).drop("_salt")
+
+
 @dataclass
 class Lists:
     """Ordered lists whose hot keys are cut into consecutive slices of nearly equal numbers of rows."""

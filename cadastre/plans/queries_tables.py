@@ -582,3 +582,27 @@ def stream_lookup(spark, sf_dir):
     customers = jobs.stream_table(spark, sf_dir, "customer")
     rows = _placed(spark, sf_dir, customers).select("c_custkey", "n_name", "r_name")
     return jobs.run_available(rows, scratch_folder(spark))
+
+
+@register("stream_array_lookup", ORACLE["j3_array_lookup"])
+def stream_array_lookup(spark, sf_dir):
+    """Pages arrive as a stream; the ordered array of their links is resolved within the row."""
+    pages = jobs.stream_table(spark, sf_dir, "pages")
+    found = jobs.array_lookup_stream(
+        v.page_links(spark, sf_dir, pages), "links", v.first_words(spark, sf_dir), "word", ["page_id"], scratch_folder(spark)
+    )
+    return found.withColumn("first_doc", F.coalesce("first_doc", F.lit(-1)))
+
+
+@register(
+    "stream_hot_lookup",
+    """SELECT l_orderkey, l_linenumber, s_name FROM lineitem
+JOIN supplier ON CASE WHEN l_quantity > 5 THEN 1 ELSE l_suppkey END = s_suppkey""",
+)
+def stream_hot_lookup(spark, sf_dir):
+    """Line items arrive as a stream; nine of ten ask for one supplier."""
+    key = F.when(F.col("l_quantity") > 5, F.lit(1)).otherwise(F.col("l_suppkey")).cast("long").alias("s_suppkey")
+    items = jobs.stream_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", key)
+    suppliers = v.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("long").alias("s_suppkey"), "s_name")
+    found = jobs.hot_lookup_stream(items, suppliers, ["s_suppkey"], scratch_folder(spark), "inner")
+    return found.select("l_orderkey", "l_linenumber", "s_name")

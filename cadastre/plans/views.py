@@ -203,9 +203,10 @@ def page_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+def page_links(spark: SparkSession, sf_dir: str, pages: DataFrame | None = None) -> DataFrame:
     """Ordered array of the navigation targets of every page."""
-    return table(spark, sf_dir, "pages").select(
+    pages = table(spark, sf_dir, "pages") if pages is None else pages
+    return pages.select(
         "page_id",
         F.regexp_extract_all("html", F.lit('<li><a href="/([^"]*)"'), F.lit(1)).alias("links"),
     )

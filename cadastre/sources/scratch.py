@@ -63,9 +63,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def release(spark: SparkSession) -> None:
     """Remove the folders this process wrote; call it when the frames that read them are done."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(conf).delete(path, True)
+        remove(spark, _written.pop())
