@@ -58,14 +58,23 @@ def presence_report(
     return report.unionByName(none)
 
 
-def status_matrix(df: DataFrame, unit: str, check: str, checks: list[str], status: Column) -> DataFrame:
+def status_matrix(
+    df: DataFrame, unit: str, check: str, checks: list[str], status: Column, worst_first: list[str], unlisted: str = "unlisted"
+) -> DataFrame:
     """One row per unit, one column per check; a check that did not run is ``skipped``.
 
-    The checks are named by the caller, so no extra pass looks for them.
+    Of several results of a check the worst counts, by its place in ``worst_first``; a status that is not
+    in it is worse than all, the least text first.  The checks are named by the caller, so no extra pass
+    looks for them; ``unlisted`` counts the rows of other checks.  A null status is no result.
     """
+    place = F.array_position(F.array(*map(F.lit, worst_first)), F.col("_status"))  # 0: not in it
     rows = df.select(unit, check, status.alias("_status"))
-    matrix = rows.groupBy(unit).pivot(check, checks).agg(F.max("_status"))
-    return matrix.fillna(SKIPPED, subset=checks)
+    ranked = rows.withColumn("_rank", F.when(F.col("_status").isNotNull(), F.struct(place.alias("rank"), "_status")))
+    worst = [
+        F.coalesce(F.min(F.when(F.col(check) == c, F.col("_rank")))["_status"], F.lit(SKIPPED)).alias(c) for c in checks
+    ]
+    others = F.count(F.when(~F.coalesce(F.col(check).isin(*checks), F.lit(False)), 1)).alias(unlisted)
+    return ranked.groupBy(unit).agg(*worst, others)
 
 
 def distinct_sorted(df: DataFrame, key: Column, name: str) -> DataFrame:

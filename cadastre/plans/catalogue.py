@@ -60,7 +60,8 @@ def violation_text() -> Column:
     )
 
 
-def invalid_problems(records: DataFrame, order: str, path: str) -> DataFrame:
+def invalid_problems(records: DataFrame, order: str, path: str, root: str = "") -> DataFrame:
+    """``root`` is the name of the root folder, which the messages then begin paths with."""
     detail = violation_text()
     if "decode_error" in records.columns:
         detail = F.coalesce("decode_error", detail)
@@ -68,7 +69,7 @@ def invalid_problems(records: DataFrame, order: str, path: str) -> DataFrame:
         F.lit(0).alias("severity"),
         F.col(order).alias("place"),
         F.concat(
-            F.lit(INVALID), F.col(path).cast("string"), F.lit(": "), detail
+            F.lit(INVALID + (f"{root}/" if root else "")), F.col(path).cast("string"), F.lit(": "), detail
         ).alias("message"),
     )
 
@@ -95,9 +96,9 @@ def duplicate_problems(
 
 
 def problems(
-    records: DataFrame, order: str, path: str) -> DataFrame:
+    records: DataFrame, order: str, path: str, root: str = "") -> DataFrame:
     """``(severity, place, message)`` of every invalid row and every later row of a taken key."""
-    return invalid_problems(records, order, path).unionByName(
+    return invalid_problems(records, order, path, root).unionByName(
         duplicate_problems(records, order)
     )
 
@@ -108,12 +109,11 @@ def first_problem(found: DataFrame) -> DataFrame:
     return found.agg(first).filter(F.col("_first").isNotNull()).select("_first.*")
 
 
-def require_clean(records: DataFrame, order: str = "path_parts", path: str = "path") -> None:
-    """Raise ``CatalogueError`` with the first problem.  Brings one row to the driver."""
-    for found in (invalid_problems(records, order, path), duplicate_problems(records, order)):
-        bad = first_problem(found).first()
-        if bad:
-            raise CatalogueError(bad["message"])
+def require_clean(records: DataFrame, order: str = "path_parts", path: str = "path", root: str = "") -> None:
+    """Raise ``CatalogueError`` with the first problem.  One job; it brings one row to the driver."""
+    bad = first_problem(problems(records, order, path, root)).first()
+    if bad:
+        raise CatalogueError(bad["message"])
 
 
 def build_catalogue(

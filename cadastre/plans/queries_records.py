@@ -13,11 +13,12 @@ from cadastre.plans import views as v
 from cadastre.plans.catalogue import (
     duplicate_problems,
     first_problem,
-    invalid_problems,
+    problems,
     typed_records,
 )
 from cadastre.plans.registry import register
 from cadastre.sources.manifests import decode_records, manifest_scan, manifest_stream
+from cadastre.sources.commits import commit_records, committed
 from cadastre.sources.register import new_records, refusal_by_rule, register_records
 from cadastre.sources.scratch import scratch_folder
 from cadastre.streaming.jobs import run_available
@@ -173,6 +174,26 @@ def s3_register_records(spark, sf_dir):
     return decided.select(v.KEY, "mount_path", "entry", "static_dir", "refusal")
 
 
+@register(
+    "s3_commit_records",
+    q.with_tables(q.CATALOG)
+    + """, requests AS (SELECT o_orderkey, lower(c_mktsegment) || '/c_' || o_custkey AS directory, o_orderstatus
+  FROM orders JOIN customer ON o_custkey = c_custkey)
+SELECT directory, min_by(o_orderkey, (o_orderstatus <> 'F', o_orderkey)) AS o_orderkey
+FROM requests WHERE o_orderstatus <> 'P' GROUP BY directory""",
+)
+def s3_commit_records(spark, sf_dir):
+    """Two writers, finished orders first, then all that are not pending: each directory is added once."""
+    status = F.col("o_orderstatus")
+    kind = F.when(status == "P", "pending").otherwise("backend")
+    rows = new_records(v.catalog(spark, sf_dir).withColumn("kind", kind))
+    rows = rows.select(v.KEY, "group", "slug", "kind", "directory", "o_orderstatus")
+    folder = scratch_folder(spark)
+    for mine in (rows.filter(status == "F"), rows):
+        commit_records(mine, folder, ["directory"], [v.KEY], refusal_by_rule())
+    return committed(spark, folder, rows.schema).select("directory", v.KEY)
+
+
 # --- expressions -------------------------------------------------------------------------------
 
 
@@ -479,28 +500,34 @@ def v2_type_strictness(spark, sf_dir):
 
 @register(
     "v3_slug_format",
-    """SELECT o_orderkey, 1 AS stage, 'group' AS field, 'string_pattern_mismatch' AS code FROM orders""",
+    """SELECT o_orderkey, 1 AS stage, 'group' AS field, 'string_pattern_mismatch' AS code FROM orders
+WHERE o_orderkey % 4 = 0 OR o_orderstatus = 'P'""",
 )
 def v3_slug_format(spark, sf_dir):
-    """Groups taken from the order priority all start with a digit."""
-    return _violations(check_records(v.catalog(spark, sf_dir, "o_orderpriority")))
+    """Every fourth order's group is its priority, which begins with a digit; some groups hold a blank."""
+    orders = v.table(spark, sf_dir, "orders")
+    group = F.when(F.col(v.KEY) % 4 == 0, F.col("o_orderpriority"))
+    group = group.when(F.col("o_orderstatus") == "P", F.lit("two words")).otherwise(F.col("c_mktsegment"))
+    found = _violations(check_records(v.catalog(spark, sf_dir, group, orders)))
+    return found.filter("code = 'string_pattern_mismatch'")
 
 
 @register(
     "v3_slug_forms",
-    """SELECT c_custkey, true AS plain, false AS upper_case, false AS line_end, false AS lead_hyphen,
-  true AS end_hyphen FROM customer""",
+    """SELECT c_custkey, c_custkey % 2 <> 0 AS name, c_acctbal >= 0 AS segment, c_nationkey < 10 AS nation,
+  c_custkey % 3 = 0 AS ending FROM customer""",
 )
 def v3_slug_forms(spark, sf_dir):
-    slug = F.concat(F.lit("c-"), F.col("c_custkey").cast("string"))
-    return v.table(spark, sf_dir, "customer").select(
-        "c_custkey",
-        rules.is_slug(slug).alias("plain"),
-        rules.is_slug(F.upper(slug)).alias("upper_case"),
-        rules.is_slug(F.concat(slug, F.lit("\n"))).alias("line_end"),
-        rules.is_slug(F.concat(F.lit("-"), slug)).alias("lead_hyphen"),
-        rules.is_slug(F.concat(slug, F.lit("-"))).alias("end_hyphen"),
-    )
+    """Some names keep their ``#``, some segments their capitals; some slugs begin with a digit or end in a line end."""
+    key, nation = F.col("c_custkey"), F.col("c_nationkey").cast("string")
+    name, slug = F.lower("c_name"), F.concat(F.lit("c-"), key.cast("string"))
+    forms = {
+        "name": F.when(key % 2 == 0, name).otherwise(F.translate(name, "#", "-")),
+        "segment": F.when(F.col("c_acctbal") < 0, F.col("c_mktsegment")).otherwise(F.lower("c_mktsegment")),
+        "nation": F.when(F.col("c_nationkey") < 10, F.concat(F.lit("n"), nation)).otherwise(nation),
+        "ending": F.when(key % 3 == 0, slug).otherwise(F.concat(slug, F.lit("\n"))),
+    }
+    return v.table(spark, sf_dir, "customer").select("c_custkey", *[rules.is_slug(c).alias(n) for n, c in forms.items()])
 
 
 @register(
@@ -571,14 +598,12 @@ def v8_precedence(spark, sf_dir):
     "v9_first_invalid",
     q.with_tables(q.CATALOG, q.CHECKED)
     + """SELECT 0 AS severity, o_orderkey AS place,
-  'Invalid manifest ' || o_orderkey || ': ' || substr(problem, 3) AS message
+  'Invalid manifest apps/' || o_orderkey || ': ' || substr(problem, 3) AS message
 FROM checked WHERE problem IS NOT NULL ORDER BY o_orderkey LIMIT 1""",
 )
 def v9_first_invalid(spark, sf_dir):
     records = check_records(v.catalog(spark, sf_dir))
-    return first_problem(
-        invalid_problems(records, v.KEY, v.KEY).unionByName(duplicate_problems(records, v.KEY))
-    )
+    return first_problem(problems(records, v.KEY, v.KEY, "apps"))
 
 
 @register(

@@ -360,8 +360,11 @@ def test_changed_units(spark):
 
 def test_status_matrix(spark):
     frame = spark.createDataFrame(
-        [("a", "Lint", "ok"), ("a", "Tests", "failed"), ("b", "Lint", "failed"), ("b", "Lint", "ok")],
+        [("a", "Lint", "ok"), ("a", "Tests", "failed"), ("b", "Lint", "failed"), ("b", "Lint", "ok"), ("b", "Other", "ok"),
+         ("b", None, "ok"), ("c", "Tests", "lost"), ("c", "Tests", "failed"), ("c", "Types", None), ("c", "Types", "ok")],
         "app string, chk string, s string",
-    )
-    got = changes.status_matrix(frame, "app", "chk", ["Lint", "Tests", "Types"], F.col("s"))
-    assert rows(got) == [("a", "ok", "failed", "skipped"), ("b", "ok", "skipped", "skipped")]
+    )
+    got = changes.status_matrix(frame, "app", "chk", ["Lint", "Tests", "Types"], F.col("s"), ["failed", "ok"])
+    assert got.columns == ["app", "Lint", "Tests", "Types", "unlisted"]
+    assert rows(got) == [
+        ("a", "ok", "failed", "skipped", 0), ("b", "failed", "skipped", "skipped", 2), ("c", "skipped", "lost", "ok", 0)]
