@@ -115,7 +115,7 @@ def test_first_registered_route_wins(spark, small, root, monkeypatch):
 
 
 @pytest.mark.parametrize("small", [True, False])
-def test_routes_need_as_many_joins_as_depths_or_two(spark, small, monkeypatch):
+def test_routes_need_one_join(spark, small, monkeypatch):
     if not small:
         monkeypatch.setattr("cadastre.operators.routes.fits_broadcast", lambda d: False)
     mounts = [("/a", "x", 0), ("/" + "/".join("abcdefghij"), "y", 1)]
@@ -281,7 +281,7 @@ REQUEST = "n int, group string, slug string, kind string, description string, me
 
 
 def requests(spark, *items):
-    data = [(n, g, s, k, "d", ["a"]) for n, (g, s, k) in enumerate(items)]
+    data = [(n, g, s, k, "counts the boats", ["Noor"]) for n, (g, s, k) in enumerate(items)]
     return new_records(spark.createDataFrame(data, REQUEST))
 
 
@@ -292,37 +292,37 @@ def decide(spark, new, existing=()):
 
 def test_register(spark):
     new = requests(
-        spark, ("north-1", "map-view", "backend"), ("g", "panel", "frontend"), ("g", "s", "fullstack"),
-        ("g", "s", "backend"), ("g", "Not_a slug", "backend"), ("G", "s", "backend"), ("g", "t", "cli"),
-        ("g", "t", "backend"), ("g", "old", "backend"), ("g", "nl\n", "backend"), (None, "s", "backend"),
+        spark, ("north-2", "sea-chart", "backend"), ("docks", "panel", "frontend"), ("docks", "ledger", "fullstack"),
+        ("docks", "ledger", "backend"), ("docks", "Two_words x", "backend"), ("Docks", "ledger", "backend"), ("docks", "timer", "cli"),
+        ("docks", "timer", "backend"), ("docks", "former", "backend"), ("docks", "planner\n", "backend"), (None, "ledger", "backend"),
     )
-    decided = decide(spark, new, ["g/old", "g/old"])
+    decided = decide(spark, new, ["docks/former", "docks/former"])
     assert {r["n"]: r["refusal"] for r in decided.collect()} == {
         0: None, 1: None, 2: None, 3: "exists", 4: "invalid slug", 5: "invalid group",
         6: "invalid kind", 7: None, 8: "exists", 9: "invalid slug", 10: "invalid group",
     }
     assert decided.columns == [*new.columns, "refusal"]
     first = {r["n"]: r for r in accepted(decided).collect()}
-    assert first[0]["mount_path"] == "/north-1/map-view"
-    assert first[0]["entry"] == "apps.north_1.map_view.main:app" and first[0]["static_dir"] is None
+    assert first[0]["mount_path"] == "/north-2/sea-chart"
+    assert first[0]["entry"] == "apps.north_2.sea_chart.main:app" and first[0]["static_dir"] is None
     assert first[1]["entry"] is None and first[1]["static_dir"] == "dist"
-    assert first[2]["entry"] and first[2]["static_dir"] and first[2]["name"] == "s"
+    assert first[2]["entry"] and first[2]["static_dir"] and first[2]["name"] == "ledger"
     assert rejected(decided).count() == 7
 
 
 def test_append_and_register_again(spark):
     folder = scratch_folder(spark)
-    append_accepted(decide(spark, requests(spark, ("g", "s", "backend"))), folder, strict=True)
+    append_accepted(decide(spark, requests(spark, ("docks", "ledger", "backend"))), folder, strict=True)
     stored = spark.read.parquet(folder)
     again = register_records(
-        requests(spark, ("g", "s", "backend"), ("g", "t", "backend")),
+        requests(spark, ("docks", "ledger", "backend"), ("docks", "timer", "backend")),
         stored, ["directory"], ["n"], refusal_by_rule(),
     )
     with pytest.raises(RegistrationError, match="exists"):
         append_accepted(again, folder, strict=True)
     assert spark.read.parquet(folder).count() == 1
     append_accepted(again, folder)
-    assert sorted(r["slug"] for r in spark.read.parquet(folder).collect()) == ["s", "t"]
+    assert sorted(r["slug"] for r in spark.read.parquet(folder).collect()) == ["ledger", "timer"]
 
 
 # --- layers and changes ------------------------------------------------------------------------

@@ -14,14 +14,14 @@ from cadastre.sources.manifests import decode_records, manifest_scan
 from pyspark.sql import functions as F
 
 BASE = {
-    "name": "Hello",
-    "slug": "hello",
-    "description": "demo",
-    "group": "sample",
-    "members": ["Ana"],
+    "name": "Tide table",
+    "slug": "tide-table",
+    "description": "when the water rises",
+    "group": "harbour",
+    "members": ["Ines"],
     "kind": "backend",
-    "mount_path": "/sample/hello",
-    "entry": "apps.sample.hello.main:app",
+    "mount_path": "/harbour/tide-table",
+    "entry": "apps.harbour.tide_table.main:app",
 }
 GONE = object()
 
@@ -46,22 +46,22 @@ CASES = [
     (record(kind="fullstack", static_dir="dist"), []),
     (record(kind="fullstack", entry=None), [(2, "entry", "required")]),
     (record(kind="fullstack"), [(2, "static_dir", "required")]),
-    (record(mount_path="/wrong/path"), [(3, "mount_path", "not_canonical")]),
-    (record(mount_path="/wrong/path", entry=None), [(2, "entry", "required")]),
-    (record(kind="invalid"), [(1, "kind", "enum")]),
+    (record(mount_path="/pier/4"), [(3, "mount_path", "not_canonical")]),
+    (record(mount_path="/pier/4", entry=None), [(2, "entry", "required")]),
+    (record(kind="daemon"), [(1, "kind", "enum")]),
     (record(kind=3), [(1, "kind", "enum")]),
     (record(kind=None), [(1, "kind", "enum")]),
     (record(slug=["no"]), [(1, "slug", "string_type")]),
     (record(slug=1), [(1, "slug", "string_type")]),
-    (record(slug="hello\n"), [(1, "slug", "string_pattern_mismatch")]),
-    (record(slug="Bad Slug"), [(1, "slug", "string_pattern_mismatch")]),
+    (record(slug="tide-table\n"), [(1, "slug", "string_pattern_mismatch")]),
+    (record(slug="Tide & table"), [(1, "slug", "string_pattern_mismatch")]),
     (record(description=""), []),
     (record(description=None), [(1, "description", "string_type")]),
     (record(members=[]), [(1, "members", "too_short")]),
-    (record(members="Ana"), [(1, "members", "list_type")]),
+    (record(members="Ines"), [(1, "members", "list_type")]),
     (record(members={"a": 1}), [(1, "members", "list_type")]),
     (
-        record(members=["Ana", 1, None]),
+        record(members=["Ines", 1, None]),
         [(1, "members.1", "string_type"), (1, "members.2", "string_type")],
     ),
     (record(enabled=None), [(1, "enabled", "bool_type")]),
@@ -129,7 +129,7 @@ def test_yaml_scalars(spark):
         head + "slug: !!binary cw==\nmount_path: /g/s\n",
         head + 'slug: "a" b\n',
         "a: &a [*a]\n",
-        "slug: [not a string]\nname: ok\n",
+        "slug: [tide, table]\nname: sea\n",
     ]
     got, rows = found(spark, docs, "yaml")
     bad = lambda f, c: [(1, f, c)]
@@ -180,17 +180,17 @@ def test_empty_and_unreadable_files_are_rows(spark, write_manifest):
 
 
 def test_several_groups_load_clean(spark, write_manifest):
-    for group, slug in (("alpha", "one"), ("alpha", "two"), ("beta", "chat-bot")):
+    for group, slug in (("quay", "crane"), ("quay", "ferry"), ("reef", "dive-log")):
         write_manifest(group, slug)
     records = load_records(spark, write_manifest.root)
-    assert {r["slug"] for r in records.collect()} == {"one", "two", "chat-bot"}
+    assert {r["slug"] for r in records.collect()} == {"crane", "ferry", "dive-log"}
     assert problems(records, "path_parts", "path").count() == 0
     require_clean(records)
 
 
 def test_strict_names_the_first_invalid_record_in_path_order(spark, write_manifest):
-    write_manifest("a-b", "x", folder="a-b/x", text="name: ok\n")
-    write_manifest("a", "x", folder="a/x", text="name: ok\nslug: [not a string]\n")
+    write_manifest("a-b", "x", folder="a-b/x", text="name: sea\n")
+    write_manifest("a", "x", folder="a/x", text="name: sea\nslug: [tide, table]\n")
     write_manifest("one", "s", folder="0/s")
     write_manifest("one", "s", folder="0/t")
     with pytest.raises(CatalogueError, match="Invalid manifest a/x/project.yaml"):
