@@ -7,6 +7,9 @@ source are split among the output shards from the root of a tree down: a node ha
 blocks it has room for, drawn without replacement, which is a multivariate hypergeometric draw.
 The leaves are the shards' quotas.  The shards then take disjoint runs of the permuted blocks and
 shuffle them locally.
+
+Large documents are decided first, so that small ones can fill up what these leave: a source then is
+within a small document of its target wherever its documents allow that.
 """
 
 from __future__ import annotations
@@ -25,7 +28,8 @@ SEED = 7
 # A prime above any number of blocks: slot -> slot * STEP mod blocks is a permutation.
 STEP = 998_244_353
 BITS = 10  # of the hash, per round of the search for a threshold
-FEW, CHANGES, STARTS, NEAR = 12, 4, 32, 1e-3  # in fitting the documents of the last class to the target
+GRAIN = 256  # a document above this part of what is wanted of its source is large
+SUMS = 1 << 16  # steps in which the sums of the documents of the last class are told apart
 FAN = 64  # children a task splits a node into, by halves
 
 
@@ -67,17 +71,44 @@ def _ahead(place: Column, shift: Column) -> Column:
     )
 
 
+def _fit(words: np.ndarray, part: float, low: float, high: float) -> np.ndarray:
+    """Which of these documents to take, so that their sum is in ``low`` to ``high`` if it can be, and near ``part``.
+
+    Sums are reached document by document; of each step the first sum and the document that reached it
+    are kept, which is enough to find the documents again.
+    """
+    most = min(words.sum(), max(high, 0) + words.max())
+    unit = max(1.0, most / SUMS)
+    step = np.rint(words / unit).astype("i8")
+    size = int(most / unit) + 2
+    by, sums = np.full(size, -1), np.full(size, np.nan)
+    sums[0] = 0
+    for i in np.flatnonzero((step > 0) & (step < size)):
+        to = np.flatnonzero(~np.isnan(sums[: size - step[i]])) + step[i]
+        to = to[np.isnan(sums[to])]
+        # From the highest down nothing reached with this document is built on; it all comes from sums before.
+        sums[to], by[to] = sums[to - step[i]] + words[i], i
+    off = np.maximum(np.maximum(low - sums, sums - high), 0)
+    at = int(np.nanargmin(off * 2.0**20 + np.abs(sums - part)))
+    chosen = np.zeros(len(words), bool)
+    while at:
+        chosen[by[at]] = True
+        at -= step[by[at]]
+    return chosen
+
+
 def _stops(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """Which documents make up the last round: (number, shift, prefix, chosen).
 
-    ``rows(number, place, size)``, ``wanted(number, part)``.  A document is taken if its place
+    ``rows(number, place, size)``, ``wanted(number, part, low, high)``.  A document is taken if its place
     begins with less than ``prefix``, or if it begins with ``prefix`` and is in ``chosen``.  Each
     round sums words by the next bits of the place within one class per source, until a class has
-    1,024 places at most; of that class the documents are taken, in order, that still fit, and a few exchanged.
+    1,024 places at most; of that class ``_fit`` chooses.
     """
     ship(rows.sparkSession)
     zero = F.lit(0).cast("long")
-    state = wanted.select("number", "part", zero.alias("prefix"), zero.alias("below"))
+    limits = ["part", "low", "high"]
+    state = wanted.select("number", *limits, zero.alias("prefix"), zero.alias("below"))
     rows = cut(rows.groupBy("number", "place").agg(F.sum("size").alias("size")))
     size = rows.join(maybe_broadcast(wanted), "number").groupBy("number").count().agg(F.max("count")).first()[0]
     bits = 0
@@ -86,49 +117,23 @@ def _stops(rows: DataFrame, wanted: DataFrame) -> DataFrame:
         inside = inside.filter(_ahead(F.col("place"), F.lit(64 - bits)) == F.col("prefix"))
         bits += BITS
         prefix = F.shiftright("place", 64 - bits).alias("prefix")
-        sums = inside.groupBy("number", "part", "below", prefix).agg(
+        sums = inside.groupBy("number", *limits, "below", prefix).agg(
             F.sum("size").alias("words"), F.count("*").alias("docs")
         )
         order = Window.partitionBy("number").orderBy("prefix")
         sums = sums.withColumn("end", F.col("below") + F.sum("words").over(order))
         at = F.struct("prefix", (F.col("end") - F.col("words")).alias("below"), "docs")
-        first = sums.filter("end >= part").groupBy("number", "part").agg(F.min_by(at, "prefix").alias("at"))
-        state = cut(first.select("number", "part", "at.prefix", "at.below", "at.docs"))
+        # What is wanted may be a little above all there is: then the last class decides.
+        last = F.lead("prefix").over(order).isNull()
+        first = sums.withColumn("last", last).filter("end >= part OR last").groupBy("number", *limits)
+        state = cut(first.agg(F.min_by(at, "prefix").alias("at")).select("number", *limits, "at.prefix", "at.below", "at.docs"))
         size = state.agg(F.max("docs")).first()[0]
         state = state.drop("docs")
 
-    def attempt(words, left, first):
-        """Take what fits, from document ``first`` on; then make a few changes towards the target."""
-        chosen = np.zeros(len(words), bool)
-        for i in np.roll(np.arange(len(words)), -first):
-            if words[i] <= left:
-                left, chosen[i] = left - words[i], True
-        # Put one in (or none, the last row), take one out (or none, the last column).
-        for _ in range(CHANGES):
-            more, less = np.append(np.where(chosen, np.inf, words), 0), np.append(np.where(chosen, words, -np.inf), 0)
-            off = np.abs(left - (more[:, None] - less[None, :]))
-            a, b = np.unravel_index(np.argmin(off), off.shape)
-            if not off[a, b] < abs(left):
-                break
-            left -= more[a] - less[b]
-            for i in {int(a), int(b)} - {len(words)}:
-                chosen[i] = not chosen[i]
-        return abs(left), chosen
-
     def fit(key, pdf):
         pdf = pdf.sort_values("place")
-        words, part = pdf["size"].to_numpy("f8"), pdf["part"].iloc[0]
-        best, chosen = np.inf, None
-        if len(words) <= FEW:  # all ways to choose
-            ways = np.arange(1 << len(words))[:, None] >> np.arange(len(words)) & 1
-            off = np.abs(ways @ words - (part - pdf["below"].iloc[0]))
-            best, chosen = -1.0, ways[np.argmin(off)].astype(bool)
-        for first in range(min(STARTS, len(words))):
-            off, found = attempt(words, part - pdf["below"].iloc[0], first)
-            if off < best:
-                best, chosen = off, found
-            if best <= NEAR * part:
-                break
+        left = [float(pdf[c].iloc[0] - pdf["below"].iloc[0]) for c in limits]
+        chosen = _fit(pdf["size"].to_numpy("f8"), *left)
         return pd.DataFrame({"number": [key[0]], "prefix": [key[1]], "chosen": [pdf["place"].to_numpy()[chosen]]})
 
     inside = rows.join(maybe_broadcast(state), "number")
@@ -137,6 +142,70 @@ def _stops(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.withColumn("shift", F.lit(64 - bits))
 
 
+def _inside(place: Column, stop: Column) -> Column:
+    """Whether a document with this place is taken by ``stop(shift, prefix, chosen)``; not if there is none."""
+    ahead = _ahead(place, stop["shift"])
+    chosen = (ahead == stop["prefix"]) & F.array_contains(stop["chosen"], place)
+    return F.coalesce((ahead < stop["prefix"]) | chosen, F.lit(False))
+
+
+def _large(size: Column) -> Column:
+    return size * GRAIN > F.col("part")
+
+
+def _last_round(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(number, large, small): the stops of the large and of the small documents, of ``wanted(number, part)``.
+
+    Large ones take their share of the part, but leave no more than the small ones have, nor take more than
+    the part if that can be.  The small ones make up the rest.
+    """
+    stop = F.struct("shift", "prefix", "chosen")
+    rows = cut(rows.join(maybe_broadcast(wanted), "number"))
+    large, small = rows.filter(_large(F.col("size"))), rows.filter(~_large(F.col("size")))
+    sums = rows.groupBy("number", "part").agg(
+        F.sum("size").alias("all"), F.sum(F.when(_large(F.col("size")), F.col("size")).otherwise(0)).alias("large")
+    )
+    low = F.greatest(F.col("part") - F.col("all") + F.col("large"), F.lit(0.0))
+    share = F.least(F.greatest(F.col("part") * F.col("large") / F.col("all"), low), F.col("part"))
+    first = sums.filter("`all` > 0").select("number", share.alias("share"), low.alias("low"), F.col("part").alias("high"))
+    columns = ["number", "place", "size"]
+    stops = cut(_stops(large.select(*columns), first.withColumnRenamed("share", "part")).select("number", stop.alias("large")))
+    side = maybe_broadcast(stops)
+    taken = large.join(side, "number").filter(_inside(F.col("place"), F.col("large")))
+    taken = maybe_broadcast(cut(taken.groupBy("number").agg(F.sum("size").alias("taken"))))
+    rest = wanted.join(taken, "number", "left")
+    rest = rest.select("number", (F.col("part") - F.coalesce("taken", F.lit(0))).alias("part")).filter("part > 0")
+    rest = rest.withColumns({"low": F.col("part"), "high": F.col("part")})
+    fill = cut(_stops(small.select(*columns), rest).select("number", stop.alias("small")))
+    return wanted.select("number").join(stops, "number", "left").join(fill, "number", "left")
+
+
+def _placed(docs: DataFrame, id: str, source: str, text: str, seed: int, name: str) -> DataFrame:
+    """The rows with their place.  Rows equal in id, source and text get places of their own, by their number.
+
+    They are numbered within each partition first, and these numbers made one by one count per partition.
+    """
+    rows = docs.withColumn(name, _place(F.col(id), F.col(text), seed))
+    of, spot, part, row, before, had = (fresh(rows, f"copies_{x}") for x in ("of", "place", "part", "row", "in", "had"))
+    where = [F.col(source).alias(of), F.col(name).alias(spot)]
+    again = cut(rows.select(*where).groupBy(of, spot).count().filter("count > 1").drop("count"))
+    if again.isEmpty():
+        return rows
+    side = maybe_broadcast(again)
+    same = rows[source].eqNullSafe(side[of]) & (rows[name] == side[spot])
+    once = rows.join(side, same, "left_anti")
+    copies = cut(rows.join(side, same, "left_semi").withColumns({part: F.spark_partition_id(), row: F.monotonically_increasing_id()}))
+    earlier = Window.partitionBy(of, spot).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    counts = copies.groupBy(*where, part).agg(F.count("*").alias(row))
+    counts = counts.select(of, spot, F.col(part).alias(before), F.coalesce(F.sum(row).over(earlier), F.lit(0)).alias(had))
+    counts = maybe_broadcast(cut(counts))
+    own = copies.withColumn(row, F.row_number().over(Window.partitionBy(source, name, part).orderBy(row)))
+    on = own[source].eqNullSafe(counts[of]) & (own[name] == counts[spot]) & (own[part] == counts[before])
+    number = F.col(row) + F.col(had)
+    moved = F.when(number == 1, F.col(name)).otherwise(F.xxhash64(F.col(name), number))
+    return once.unionByName(own.join(counts, on).withColumn(name, moved).select(*rows.columns))
+
+
 def split_tree(quotas: DataFrame, shards: int, seed: int = SEED) -> DataFrame:
     """(shard, number, blocks) from ``quotas(number, blocks)``: exact, random, without replacement.
 
@@ -190,12 +259,15 @@ def mix(
     """The rows of ``docs`` with one column ``mix`` more (with underscores before it if taken).
 
     ``mix`` holds size (words), place, source_size, target, copies and shards: the shard of each
-    copy.  A document is taken 0 to ``ceil(cap)`` times.  The words taken of a source
-    are as near to its target as exchanging a few of its last documents brings them; rows that are
-    equal in id and text are taken alike.  Null texts have size 0 and a null source is a source.  The result depends on rows and seed only.
+    copy.  A document is taken 0 to ``ceil(cap)`` times.  The words taken of a source are within
+    one small document of its target (1/256 of the words of its last round) wherever choosing among its
+    large ones allows that.  Equal rows are decided one by one, and rows that are equal in id, source and
+    text are interchangeable.  Null texts have size 0 and a null source is a source.  The result depends on
+    rows and seed only.
     """
-    d, column = docs, fresh(docs, "mix")
-    size, place = word_count(F.col(text)), _place(F.col(id), F.col(text), seed)
+    column, at = fresh(docs, "mix"), fresh(docs, "place")
+    d = _placed(docs, id, source, text, seed, at)
+    size, place = word_count(F.col(text)), F.col(at)
     sizes = cut(d.select(F.col(source).alias("source"), size.alias("size"), place.alias("place")))
     goal = cut(targets(sizes.select("source", "size"), share, cap, weights))
 
@@ -205,7 +277,7 @@ def mix(
     goal = goal.withColumn("part", F.col("target") - F.col("whole") * F.col("source_size"))
     key = maybe_broadcast(goal.select("source", "number"))
     rows = sizes.join(key, sizes["source"].eqNullSafe(key["source"])).select("number", "place", "size")
-    stops = _stops(rows, goal.filter("part > 0").select("number", "part"))
+    stops = _last_round(rows, goal.filter("part > 0").select("number", "part"))
 
     # Blocks per round over the source; the last round covers a part of it.
     words = [
@@ -226,30 +298,33 @@ def mix(
         )
     )
 
-    side = maybe_broadcast(goal.withColumnRenamed("source", "_goal"))
-    m = F.col(column)
+    inner = ("source_size", "target", "whole", "number", "rounds", "blocks", "part", "large", "small")
+    kept, goal_of, aim = [F.col(f"`{c}`") for c in docs.columns], fresh(docs, "goal_of"), fresh(docs, "goal")
+    side = maybe_broadcast(goal.select(F.col("source").alias(goal_of), F.struct(*inner).alias(aim)))
+    m, g = F.col(column), F.col(aim)
     info = F.struct(size.alias("size"), place.alias("place"))
-    out = d.withColumn(column, info).join(side, d[source].eqNullSafe(side["_goal"]))
-    ahead = _ahead(m["place"], F.col("shift"))
-    inside = (ahead == F.col("prefix")) & F.array_contains("chosen", m["place"])
-    extra = F.coalesce((ahead < F.col("prefix")) | inside, F.lit(False))
-    copies = (F.col("whole") + extra.cast("int")).alias("copies")
-    found = [F.struct(m["size"], m["place"], "source_size", "target", copies, "number", "rounds", "blocks").alias(column)]
-    out = out.select(*[d[c] for c in d.columns], *found)
+    out = d.withColumn(column, info).drop(*([at] if at != column else []))
+    out = out.join(side, out[source].eqNullSafe(side[goal_of])).drop(goal_of)
+    stop = F.when(m["size"] * GRAIN > g["part"], g["large"]).otherwise(g["small"])
+    extra = _inside(m["place"], stop)
+    copies = (g["whole"] + extra.cast("int")).alias("copies")
+    carried = [g[c].alias(c) for c in ("source_size", "target", "number", "rounds", "blocks")]
+    out = out.select(*kept, F.struct(m["size"], m["place"], *carried, copies).alias(column))
     drawn = maybe_broadcast(slots)
     got = []
     for e in range(epochs):
         first = sum((m["rounds"][k] for k in range(e)), F.lit(0).cast("long"))
         block = F.pmod(F.xxhash64(m["place"], F.lit(e)), m["rounds"][e])
         slot = (first + block) * STEP % m["blocks"]
-        each = drawn.select(*[F.col(c).alias(f"_{c}_{e}") for c in drawn.columns])
+        names = {c: fresh(docs, f"drawn_{c}_{e}") for c in drawn.columns}
+        each = drawn.select(*[F.col(c).alias(n) for c, n in names.items()])
         each = F.broadcast(each) if drawn is not slots else each
         slot = F.when(m["copies"] > e, slot)
-        out = out.join(each, (m["number"] == F.col(f"_number_{e}")) & (slot == F.col(f"_slot_{e}")), "left")
-        got.append(F.col(f"_shard_{e}"))
+        out = out.join(each, (m["number"] == F.col(names["number"])) & (slot == F.col(names["slot"])), "left")
+        got.append(F.col(names["shard"]))
     shards_of = F.filter(F.array(*got), lambda x: x.isNotNull()).alias("shards")
     return out.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
+        *kept,
         F.struct(*[m[c] for c in ("size", "place", "source_size", "target", "copies")], shards_of).alias(column),
     )
 

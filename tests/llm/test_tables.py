@@ -114,6 +114,39 @@ def test_mix(spark, sf_dir):
     assert mixing.mix(frame.limit(0)).count() == 0
 
 
+SKEWED = {
+    "giant": [(i, "a", "w " * 10) for i in range(500)] + [(9001, "a", "w " * 5000)],
+    "equal": [(1, "a", "w " * 100)] * 10 + [(2, "b", "x")],
+    "large": [(i, "a", "w " * (1000 if i % 3 else 7)) for i in range(40)] + [(100 + i, "b", "x " * (i + 1)) for i in range(200)],
+    "all large": [(i, "a", "w " * (900 + 37 * i)) for i in range(9)] + [(50, "b", "x " * 4000), (51, None, "")],
+}
+
+
+@pytest.mark.parametrize("case", sorted(SKEWED))
+def test_mix_reaches_its_targets_on_skewed_sizes(spark, case):
+    """Within one small document of the nearest sum that any choice gives, by all sums there are."""
+    clash = ["_number_0", "_shard_0", "place", "part", "large", "number", "source_size", "copies_row", "goal"]
+    frame = spark.createDataFrame(SKEWED[case], "doc_id long, source string, text string")
+    frame = frame.withColumns({c: F.lit("clash") for c in clash})
+    out = mixing.mix(frame)
+    assert out.columns == [*frame.columns, "mix"]
+    rows = out.select("source", "mix.*").collect()
+    for source in {r["source"] for r in rows}:
+        mine = [r for r in rows if r["source"] == source]
+        whole, goal = sum(r["size"] for r in mine), mine[0]["target"]
+        assert all(0 <= r["copies"] <= 2 and len(r["shards"]) == r["copies"] for r in mine)
+        rounds = int(goal // whole) if whole else 0
+        sums = 1  # bit n: n words are the sum of some of the documents
+        for r in mine:
+            sums |= sums << r["size"]
+        nearest = min((abs(goal - rounds * whole - n) for n in range(whole + 1) if sums >> n & 1), default=0)
+        part = goal - rounds * whole
+        taken = sum(r["copies"] * r["size"] for r in mine)
+        assert abs(goal - taken) <= nearest + part / mixing.GRAIN + 1
+    places = [r["place"] for r in rows if r["size"]]
+    assert len(set(places)) == len(places)
+
+
 @pytest.mark.parametrize("shards", [1, 7, 300])
 def test_splitting_tree_keeps_quotas(spark, shards):
     blocks = [5, 0, 400, 37, 1000]
@@ -145,6 +178,26 @@ def test_token_store(spark, sf_dir):
     assert token_store.stored_digests(frame.limit(0), empty, path).count() == 0
 
 
+def test_documents_are_read_through_the_index(spark):
+    """With slots that name other places the documents are others, or the read fails."""
+    keys = [1, 5, 5, 9, None, None]
+    ids = [np.array([k or 7] * (i + 1), "<u2").tobytes() for i, k in enumerate(keys)]
+    whole = token_store.pack(keys, ids, 2)
+    shard = token_store.Shard(whole)
+    assert shard.places(np.array([1, 5, 9, 4])).tolist() == [0, 1, 3, -1]
+    assert [shard.document(i).tolist() for i in (0, 3)] == [[1], [9] * 4]
+    broken = whole[: -8 * len(shard.table)] + shard.table[::-1].tobytes()
+    assert (token_store.Shard(broken).places(np.array([1, 5, 9])) == -1).any()
+
+
+def test_words_go_to_the_model_directly():
+    encoder = token_store.Encoder(public_tokenizers.path("byte_bpe_50k.json"), "<u2")
+    words = [" a", "b", " ünï", "Łódź", " x-y", "don't", " 12", "   ", " 数据", "", " ª", "İ", " " + "ab" * 40]
+    assert encoder.direct and encoder._pieces(words) == encoder._library(words)
+    encoder.encode(["short " + "long" * 40])
+    assert max(map(len, encoder.known)) <= token_store.LONGEST
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 5, 1000])
 def test_minimal_perfect_hash(n):
     keys = np.random.default_rng(n).choice(10**9, n, replace=False).astype("i8")
