@@ -111,8 +111,9 @@ def judged(
     t = F.col(text)
     body = F.coalesce(t, F.lit(""))
     found = frequent_lines(docs, host, text, max_texts, max_share)
-    found = maybe_broadcast(found.withColumnsRenamed({"host": "_of_host", "lines": gone}))
-    rows = docs.join(found, docs[host].eqNullSafe(found["_of_host"]), "left").drop("_of_host")
+    of_host = fresh(docs, "of_host")
+    found = maybe_broadcast(found.withColumnsRenamed({"host": of_host, "lines": gone}))
+    rows = docs.join(found, docs[host].eqNullSafe(found[of_host]), "left").drop(of_host)
     rows = with_repeats(rows, text, repeats)
     worded = F.filter(lines_of(t), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
     is_gone = lambda x: F.array_contains(gone, F.xxhash64(normalised(x))) & (normalised(x) != "")

@@ -10,6 +10,7 @@ the first, which are kept as they are.
 
 from __future__ import annotations
 
+import bisect
 import re
 import unicodedata
 
@@ -212,6 +213,26 @@ def signs(tape: Tape) -> list[tuple[int, int, str]]:
 TRANSDUCERS = (homoglyphs, signs, spelled_digits)
 
 
+class _Spans:
+    """Spans by their starts, each with the greatest end up to it, so that one look tells whether any is met."""
+
+    def __init__(self, spans):
+        self.low, self.high = [], []
+        for start, end in sorted(spans):
+            self.low.append(start)
+            self.high.append(max(end, self.high[-1]) if self.high else end)
+
+    def meet(self, start: int, end: int) -> bool:
+        before = bisect.bisect_left(self.low, end)
+        return before > 0 and self.high[before - 1] > start
+
+    def add(self, start: int, end: int) -> None:
+        """Of a span that meets no other: it ends before those after it begin."""
+        at = bisect.bisect_left(self.low, start)
+        self.low.insert(at, start)
+        self.high.insert(at, end)
+
+
 def spans(text: str | None) -> list[tuple[str, int, int, bool]]:
     """(kind, start, end, plain) by kind as listed, then start; ends are exclusive code points."""
     if not text:
@@ -222,14 +243,14 @@ def spans(text: str | None) -> list[tuple[str, int, int, bool]]:
         tape.rewrite(step(tape))
     if tape.low is None:
         return found
-    taken = sorted((a, b) for _, a, b, _ in found)
+    taken = _Spans((a, b) for _, a, b, _ in found)
     for kind, find in FINDERS.items():
         for a, b in find(tape.text):
             start, end = tape.low[a], tape.high[b - 1]
             disguised = 1 in tape.new[a:b] or end - start != b - a
-            if disguised and not any(x < end and start < y for x, y in taken):
+            if disguised and not taken.meet(start, end):
                 found.append((kind, start, end, False))
-                taken.append((start, end))
+                taken.add(start, end)
     return sorted(found, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 
 
@@ -237,8 +258,12 @@ SPANS = "array<struct<kind:string,start:int,end:int,plain:boolean>>"
 
 
 def detect(docs: DataFrame, text: str = "text", name: str = "pii") -> DataFrame:
-    """The rows of ``docs`` with their spans in a column more; null and empty texts have none."""
+    """The rows of ``docs`` with their spans in one column more (with underscores before its name if taken).
+
+    Null and empty texts have none.
+    """
     ship(docs.sparkSession)
+    name = fresh(docs, name)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
     def run(batches):

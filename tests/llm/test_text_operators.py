@@ -227,6 +227,26 @@ def test_clean_texts_have_none(text):
     assert pii.spans(text) == [] and pii.masked(text) == text
 
 
+def test_spans_are_met_as_by_a_look_at_each():
+    rng = np.random.default_rng(1)
+    base = [(int(a), int(a + n)) for a, n in zip(rng.integers(0, 900, 60), rng.integers(1, 30, 60), strict=True)]
+    held, plain = pii._Spans(base), list(base)
+    for a, n in zip(rng.integers(0, 950, 900).tolist(), rng.integers(1, 20, 900).tolist(), strict=True):
+        met = any(x < a + n and a < y for x, y in plain)
+        assert held.meet(a, a + n) == met
+        if not met:
+            held.add(a, a + n)
+            plain.append((a, a + n))
+
+
+def test_clashing_names(spark):
+    frame = spark.createDataFrame([(1, "mail a@b.com", "s")], "doc_id long, text string, source string")
+    frame = frame.withColumns({c: F.lit("clash") for c in ("pii", "masked", "_of_host", "of_host", "judged", "frequent")})
+    assert pii.detect(frame).columns == [*frame.columns, "_pii"]
+    assert pii.redact(frame).first()["text"] == "mail [EMAIL]"
+    assert line_rules.passed(frame).columns == frame.columns and line_rules.quality_report(frame).count() == 1
+
+
 def test_personal_data_frames(spark, odd):
     frame = odd.withColumn("text", F.concat("text", F.lit(" me@x.org")))
     out = pii.redact(frame)
