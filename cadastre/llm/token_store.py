@@ -2,13 +2,13 @@
 
 A shard file holds, one after the other (little-endian):
 
-    magic 8 bytes | id width, documents, buckets, ids: 4 x uint64
+    magic 8 bytes | id width, documents, buckets, ids, different keys: 5 x uint64
     payload     ids x uint16 or uint32, documents in ascending key order
     keys        documents x int64       the keys in payload order
     present     documents x uint8       0 for a null key
     offsets     (documents + 1) x uint64    where each document's ids begin, in ids
     seeds       buckets x int64         of the hash; -(slot + 1) names the slot itself
-    slots       documents x (uint32 fingerprint, uint32 first place in payload order)
+    slots       different keys x (uint32 fingerprint, uint32 first place in payload order)
 
 and ends with the line end that Spark's text writer adds, the writer by which raw bytes reach any
 store.  A keyed read needs one seed, one slot and two offsets.
@@ -30,7 +30,7 @@ from tokenizers import Tokenizer
 from cadastre.llm.common import maybe_broadcast, ship
 from cadastre.sources.scratch import cut
 
-MAGIC = b"TOKSHRD1"
+MAGIC = b"TOKSHRD2"
 SHARD_IDS = 1 << 22
 END_ID = 0
 BUCKET_KEYS = 4
@@ -111,7 +111,7 @@ def pack(keys: list, ids: list[bytes], width: int) -> bytes:
     seeds, slots = build_hash(numbers[first])
     table = np.zeros(len(first), SLOT)
     table["print"][slots], table["place"][slots] = _fingerprint(numbers[first]), first
-    head = np.array([width, len(keys), len(seeds), int(offsets[-1])], "<u8")
+    head = np.array([width, len(keys), len(seeds), int(offsets[-1]), len(first)], "<u8")
     parts = [MAGIC, head.tobytes(), *ids, numbers.astype("<i8").tobytes(), present.tobytes()]
     return b"".join([*parts, offsets.astype("<u8").tobytes(), seeds.astype("<i8").tobytes(), table.tobytes()])
 
@@ -122,8 +122,8 @@ class Shard:
     def __init__(self, data: bytes):
         if data[:8] != MAGIC:
             raise ValueError("not a token shard")
-        width, n, buckets, ids = map(int, np.frombuffer(data, "<u8", 4, 8))
-        at = 40
+        width, n, buckets, ids, distinct = map(int, np.frombuffer(data, "<u8", 5, 8))
+        at = 48
 
         def take(kind, count):
             nonlocal at
@@ -134,7 +134,6 @@ class Shard:
         self.ids = take(WIDTHS[width], ids)
         self.keys, self.present = take("<i8", n), take("u1", n).astype(bool)
         self.offsets, self.seeds = take("<u8", n + 1), take("<i8", buckets)
-        distinct = len(np.unique(self.keys[self.present]))
         self.table = take(SLOT, distinct)
 
     def places(self, keys: np.ndarray) -> np.ndarray:
@@ -155,6 +154,9 @@ class Shard:
 SPACES = re.compile(r"\s\s")
 SPACE_BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 LINE_END = re.compile(r"\n(?=\S)(?<=\S\n)")
+# One word, or one after a space, of letters that all engines class alike.
+WORD = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+LONGEST = 64  # characters of a piece that is remembered
 SIGN_AFTER_WORD = re.compile("([.,;:!?])(?=[ \n])(?<=[A-Za-z\u00df-\u00f6\u00f8-\u00ff].)")
 GLUED, LINE = "\x01", "\x02"  # begins a piece that has no space before it; a line end as a piece
 
@@ -170,11 +172,23 @@ def _pieces(text: str) -> list[str]:
     return SPACE_BETWEEN.split(text) if SPACES.search(text) else text.split(" ")
 
 
+def byte_letters() -> dict[int, str]:
+    """How byte-level vocabularies write a byte: itself if it prints, else the next letter from U+0100 on."""
+    prints = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = (b for b in range(256) if b not in prints)
+    return {b: chr(b) for b in prints} | {b: chr(0x100 + i) for i, b in enumerate(others)}
+
+
+LETTERS = byte_letters()
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library, without special tokens added.
 
-    The pieces of texts are encoded once and remembered, ``CACHE`` of them and as many before.
-    Texts that name a special token, or hold the marks themselves, go to the library as they are.
+    The pieces of texts are encoded once and remembered, ``CACHE`` of them and as many before, long ones
+    excepted.  A piece that is one word goes to the library's model without the stages before it, if these
+    leave words as they are.  Texts that name a special token, or hold the marks themselves, go to the
+    library as they are.
     """
 
     def __init__(self, path: str, kind: str):
@@ -184,6 +198,21 @@ class Encoder:
         self.special = [GLUED, LINE, *(t.content for t in self.tokenizer.get_added_tokens_decoder().values())]
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        probes = [" probe", "Probe", " \u00e9t\u00e9", "\u0141\u00f3d\u017a", "x" * 50, " THE"]
+        self.direct = [self._word(p) for p in probes] == self._library(probes)
+
+    def _word(self, word: str) -> bytes:
+        letters = word.encode().decode("latin-1").translate(LETTERS)
+        return array(self.code, [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
+
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        if not self.direct:
+            return self._library(pieces)
+        out = [self._word(p) if WORD.fullmatch(p) else None for p in pieces]
+        others = [i for i, x in enumerate(out) if x is None]
+        for i, x in zip(others, self._library([pieces[i] for i in others]), strict=True):
+            out[i] = x
+        return out
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -200,8 +229,8 @@ class Encoder:
         here = {w: known.get(w) or older.get(w) for w in set().union(*cut)}
         new = [w for w, ids in here.items() if ids is None]
         plain = ["\n" if w == LINE else w[1:] if w[:1] == GLUED else " " + w for w in new]
-        here.update(zip(new, self._library(plain), strict=True))
-        self.known.update(here)
+        here.update(zip(new, self._pieces(plain), strict=True))
+        known.update((w, ids) for w, ids in here.items() if len(w) <= LONGEST)
         out = [b"".join(map(here.__getitem__, c)) for c in cut]
         for i, x in zip(whole, self._library([texts[i] for i in whole]), strict=True):
             out[i] = x
@@ -261,11 +290,14 @@ def write_shards(
 
 
 def _files(spark: SparkSession, folder: str) -> DataFrame:
-    """(shard, content).  Names are part-<range>-<job>-c<file>; shards sort as their documents do."""
+    """(shard, content).  Names are part-<range>-<job>-c<file>.<ending>; shards sort as their documents do.
+
+    The name of a job may hold ``-c`` and digits too, so the number is looked for at the end.
+    """
     shard = F.concat_ws(
         "-",
         F.lpad(F.regexp_extract("path", r"part-(\d+)-", 1), 10, "0"),
-        F.lpad(F.regexp_extract("path", r"-c(\d+)", 1), 10, "0"),
+        F.lpad(F.regexp_extract("path", r"-c(\d+)(?:\.[^/-]*)?$", 1), 10, "0"),
     )
     files = spark.read.format("binaryFile").load(folder).filter("length > 0")
     return files.select(shard.alias("shard"), "content")
@@ -285,18 +317,21 @@ def read_shards(spark: SparkSession, folder: str) -> DataFrame:
             for name, content in zip(pdf["shard"], pdf["content"], strict=True):
                 shard = Shard(content)
                 n = len(shard.keys)
-                first = np.where(shard.present, shard.places(shard.keys), np.arange(n))
+                first = np.where(shard.present, shard.places(shard.keys), 0)
                 if (first < 0).any():
                     raise ValueError(f"shard {name}: the index misses a key")
-                # Equal keys follow the one that the index names.
-                place = first + np.arange(n) - first
+                # Equal keys follow the one that the index names; documents without a key are read in turn.
+                here = np.arange(n)
+                same = np.append(False, (shard.keys[1:] == shard.keys[:-1]) & shard.present[1:] & shard.present[:-1])
+                rank = here - np.maximum.accumulate(np.where(same, 0, here))
+                place = np.where(shard.present, first + rank, here)
                 crc = [zlib.crc32(shard.document(i).astype("<u4").tobytes()) for i in place]
                 yield pd.DataFrame(
                     {
                         "shard": name,
                         "id": pd.Series(shard.keys.astype("i8")).astype("Int64").mask(~shard.present),
-                        "local": shard.offsets[:-1].astype("i8"),
-                        "n_tokens": np.diff(shard.offsets.astype("i8")),
+                        "local": shard.offsets.astype("i8")[place],
+                        "n_tokens": np.diff(shard.offsets.astype("i8"))[place],
                         "ids_crc32": np.array(crc, "i8"),
                     }
                 )
