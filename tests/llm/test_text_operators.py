@@ -7,6 +7,7 @@ import textwrap
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -293,7 +294,73 @@ def test_licence_sample_is_of_different_paragraphs(spark, monkeypatch):
     seen = {}
     monkeypatch.setattr(licences, "fit", lambda keys, classes, held, buckets: seen.update(n=int((classes == licences.OTHER).sum())))
     licences.train(frame)
-    assert seen["n"] == 40 + len(licences.OPENINGS) * len(licences.ELSE)
+    assert seen["n"] == 40 + len(licences.OPENINGS) * len(licences.ELSE) + len(licences.PLAIN)
+
+
+def test_licence_unknown_class(docs):
+    """Licences of no family are told by the model, and words of licensing alone declare nothing."""
+    model = licences.train(docs)
+    declared = ["Terms: EPL-2.0", "All rights reserved by the band", "Provided under the Zope Public License 2.1"]
+    for text in declared:
+        assert [x["family"] for x in licences.judge(f"A title\n\n{text}", model)] == ["unknown"], text
+    plain = ["His driving licence had expired.", "She has poetic license.", "The band plays in the public domain of taste",
+             "The shop has a license for tobacco", "Mit.", "-- * --"]
+    for text in plain:
+        assert licences.judge(text, model) == [], text
+
+
+def test_licence_scores_against_plain_version(docs, monkeypatch):
+    """Scores of many texts at once are those of each paragraph on its own, however the bytes are sliced."""
+    rng = np.random.default_rng(5)
+    weights = rng.normal(size=(512, licences.OTHER + 1))
+    texts = TEXTS + ["a\n\n(b) 12.34 --\n***\n x-1\n", "\n", "7" * 300 + ". x", "é'é \r\n\tÜ"] + [r["text"] for r in docs.limit(60).collect()]
+
+    def value(word):
+        total = sum(int(licences._VALUE[b]) * pow(int(licences._MIX), i, 1 << 64) for i, b in enumerate(word))
+        return int(licences._mixed(np.array([total % (1 << 64)], "u8"))[0])
+
+    def keys(tokens):
+        found, hashes = set(), [value(w) for w in tokens]
+        for i in range(len(hashes)):
+            run = 0
+            for h in hashes[i : i + licences.GRAMS]:
+                run = int(licences._mixed(np.array([run ^ h], "u8"))[0])
+                found.add(run % 512)
+        return sorted(found)
+
+    plain = []
+    for row, text in enumerate(texts):
+        for number, line in enumerate((text or "").encode().split(b"\n")):
+            if tokens := licences.words(line):
+                plain.append((row, number, keys(tokens)))
+    for slice_ in (1 << 20, 700):
+        monkeypatch.setattr(licences, "SLICE", slice_)
+        if slice_ == 700:  # words that are longer are cut, so they are left out
+            texts = [None if i in {r for r, t in enumerate(texts) if max(map(len, (t or "").split() or [""])) > 250} else t for i, t in enumerate(texts)]
+            plain = [x for x in plain if texts[x[0]] is not None]
+        lines = licences.Paragraphs(pa.array(texts, pa.large_string()))
+        sums, counts = lines.sums(lines.line, len(lines.text), weights)
+        assert list(zip(lines.text.tolist(), lines.number.tolist())) == [x[:2] for x in plain]
+        assert counts.tolist() == [len(x[2]) for x in plain]
+        assert np.allclose(sums, [weights[x[2]].sum(axis=0) for x in plain])
+        for i, (_, _, k) in enumerate(plain):
+            assert licences.grams(lines.body(i, i), 512).tolist() == k
+
+
+def test_licence_families_held_out(docs):
+    """Notices in wordings that were not trained on: precision and recall per family."""
+    model = licences.train(docs)
+    wordings = ("The sources are published under {}", "You may copy this under {}", "It is free software under {}", "{} applies to all files")
+    right, given = dict.fromkeys(licences.FAMILIES, 0), collections.Counter()
+    for family in licences.FAMILIES:
+        for name in licences.NAMES[family]:
+            for wording in wordings:
+                for found in licences.judge(wording.format(name), model):
+                    given[found["family"]] += 1
+                    right[family] += found["family"] == family
+    for family in licences.FAMILIES:
+        n = len(licences.NAMES[family]) * len(wordings)
+        assert right[family] >= 0.6 * n and right[family] >= 0.95 * given[family], (family, right[family], n, given[family])
 
 
 def test_grades_on_held_out_rows(spark):
