@@ -1,7 +1,7 @@
 """Keys, targets, status and grouping of catalogue records.
 
 ``order`` is the column that carries the record's place in the catalogue (``path_parts`` after a
-scan).  No global row number is ever computed: places are compared, not counted.
+scan).  Places are compared; they are counted only where a caller asks for the place of each row.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cadastre.functions.rules import NEEDS_ENTRY, NEEDS_STATIC_DIR
 from cadastre.functions.text import entry_attr, entry_module, slug_to_module
+from cadastre.operators.sequence import with_place
 from cadastre.operators.skew import lookup_join
 from cadastre.sources.scratch import settle
 
@@ -177,10 +178,14 @@ def grouped_index(
     return lookup_join(df.select(group, order, *card), first, [group], "inner")
 
 
-def index_order(df: DataFrame, order: str) -> DataFrame:
-    return df.orderBy("group_key", order)
+def index_order(df: DataFrame, order: str, place: str | None = None) -> DataFrame:
+    """Sorted by group and card; or, with ``place``, each row's place in that order, from 0."""
+    return with_place(df, ["group_key", order], place) if place else df.orderBy("group_key", order)
 
 
-def path_order(df: DataFrame, parts: Column) -> DataFrame:
-    """Sort by path components, so that ``a/x`` comes before ``a-b/x``."""
-    return df.orderBy(parts)
+def path_order(df: DataFrame, parts: Column, *ties: str, place: str | None = None) -> DataFrame:
+    """Sort by path components, so that ``a/x`` comes before ``a-b/x``, and equal paths by ``ties``.
+
+    With ``place`` the rows are not sorted but get their place in that order, from 0.
+    """
+    return with_place(df, [parts, *ties], place) if place else df.orderBy(parts, *ties)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadastre.operators.sequence import with_place
 from cadastre.operators.skew import lookup_join
 from cadastre.sources.scratch import settle
 
@@ -39,7 +40,7 @@ def affected_units(
 def presence_report(
     paths: DataFrame, manifests: DataFrame, path: str = "path") -> DataFrame:
     """``(unit, presence, note)`` of every changed unit; one ``none`` row when nothing changed."""
-    units = changed_units(paths, path)
+    units = settle(changed_units(paths, path))
     known = settle(manifests.select("unit").distinct()).withColumn("_known", F.lit(True))
     has = F.col("_known").isNotNull()
     report = lookup_join(units, known, ["unit"], "left").select(
@@ -48,8 +49,7 @@ def presence_report(
         F.when(has, NOTE_PRESENT).otherwise(NOTE_MISSING).alias("note"),
     )
     none = (
-        paths.filter(F.col(path).startswith(APPS))
-        .agg(F.count("*").alias("_n"))
+        units.agg(F.count("*").alias("_n"))
         .filter("_n = 0")
         .select(
             F.lit("").alias("unit"), F.lit("none").alias("presence"), F.lit(NOTE_NONE).alias("note")
@@ -77,6 +77,7 @@ def status_matrix(
     return ranked.groupBy(unit).agg(*worst, others)
 
 
-def distinct_sorted(df: DataFrame, key: Column, name: str) -> DataFrame:
-    """Distinct derived keys in order."""
-    return df.select(key.alias(name)).distinct().orderBy(name)
+def distinct_sorted(df: DataFrame, key: Column, name: str, place: str | None = None) -> DataFrame:
+    """Distinct derived keys in order; or, with ``place``, each key's place in that order, from 0."""
+    keys = df.select(key.alias(name)).distinct()
+    return with_place(keys, [name], place) if place else keys.orderBy(name)

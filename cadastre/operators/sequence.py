@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cadastre.functions.text import clamp, direction, zero_pad
 from cadastre.operators.skew import ROWS_PER_TASK, Lists, ordered_lists
+from cadastre.sources.scratch import settle
 
 # Where a list starts, and what stands for no previous item.
 INITIAL_INDEX = 0
@@ -36,6 +37,20 @@ def _number(lists: Lists) -> DataFrame:
     return out
 
 
+def with_place(df: DataFrame, order: list[Column | str], name: str = "place") -> DataFrame:
+    """Add each row's place, from 0, in the order of the whole table; ``order`` should be unique.
+
+    The rows are dealt out by ranges of the order and numbered range by range, so no task sees them
+    all; a table with one row per range says how many rows are before it.
+    """
+    terms = [f"_order_{i}" for i in range(len(order))]
+    rows = df.select("*", *[(F.col(c) if isinstance(c, str) else c).alias(t) for c, t in zip(order, terms)])
+    rows = settle(rows.repartitionByRange(*terms).withColumn("_slice", F.spark_partition_id()))
+    rows = rows.withColumns({"_all": F.lit(0), "_hot": F.lit(True)})
+    out = _number(Lists(rows, ["_all"], terms, split=True))
+    return _done(out.withColumn(name, F.col("_nth") - 1), "_nth", "_all", *terms)
+
+
 def renumber(
     df: DataFrame, key: list[str], order: list[str], label, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:

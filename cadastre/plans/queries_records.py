@@ -657,11 +657,12 @@ def v12_exclude_types(spark, sf_dir):
 @register(
     "o1_path_order",
     q.with_tables(q.PAGE_PATHS)
-    + """SELECT page_id, array_to_string(string_split(path, '/'), chr(1)) AS sort_text FROM paths""",
+    + """SELECT page_id, array_to_string(string_split(path, '/'), chr(1)) AS sort_text,
+  row_number() OVER (ORDER BY string_split(path, '/'), page_id) - 1 AS place FROM paths""",
 )
 def o1_path_order(spark, sf_dir):
-    """Sorted by components; ``sort_text`` sorts the same way as plain text."""
+    """The place of each path in the order of components; ``sort_text`` sorts the same way as plain text."""
     parts = text.path_parts("path")
-    return path_order(v.page_paths(spark, sf_dir), parts).select(
-        "page_id", F.array_join(parts, "\x01").alias("sort_text")
+    return path_order(v.page_paths(spark, sf_dir), parts, "page_id", place="place").select(
+        "page_id", F.array_join(parts, "\x01").alias("sort_text"), "place"
     )

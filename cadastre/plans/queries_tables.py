@@ -90,13 +90,14 @@ def a1_grouped_index(spark, sf_dir):
 
 @register(
     "o2_group_order",
-    """SELECT n_name, r_name, c_custkey, min(c_custkey) OVER (PARTITION BY n_name) AS group_key
-FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
+    """SELECT *, row_number() OVER (ORDER BY group_key, c_custkey) - 1 AS place FROM (
+  SELECT n_name, r_name, c_custkey, min(c_custkey) OVER (PARTITION BY n_name) AS group_key
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)""",
 )
 def o2_group_order(spark, sf_dir):
     """Nations in the order their first customer appears."""
     rows = cat.grouped_index(_placed(spark, sf_dir), "c_custkey", "n_name", ("r_name",))
-    return cat.index_order(rows, "c_custkey")
+    return cat.index_order(rows, "c_custkey", "place")
 
 
 @register(
@@ -186,9 +187,8 @@ SELECT o_orderkey, CASE WHEN NOT enabled THEN 'offline'
   WHEN mount_path IN (SELECT mount_path FROM broken) THEN 'broken' ELSE 'online' END AS status FROM catalog""",
 )
 def j2_status(spark, sf_dir):
-    broken = cat.broken_records(_targeted(spark, sf_dir))
-    rows = v.catalog(spark, sf_dir).select(v.KEY, "mount_path", "enabled")
-    return cat.with_status(rows, broken).select(v.KEY, "status")
+    rows = settle(_targeted(spark, sf_dir).select(v.KEY, "mount_path", "enabled", "module_ok", "static_ok"))
+    return cat.with_status(rows, cat.broken_records(rows)).select(v.KEY, "status")
 
 
 @register(
@@ -408,12 +408,13 @@ def j7_presence_report(spark, sf_dir):
 @register(
     "u1_distinct_sorted",
     q.with_tables(q.PAGE_PATHS)
-    + "SELECT DISTINCT split_part(path, '/', 2) || '/' || split_part(path, '/', 3) AS unit FROM paths",
+    + """SELECT unit, row_number() OVER (ORDER BY unit) - 1 AS place
+FROM (SELECT DISTINCT split_part(path, '/', 2) || '/' || split_part(path, '/', 3) AS unit FROM paths)""",
 )
 def u1_distinct_sorted(spark, sf_dir):
     parts = text.path_parts("path")
     unit = F.concat(F.try_element_at(parts, F.lit(2)), F.lit("/"), F.try_element_at(parts, F.lit(3)))
-    return changes.distinct_sorted(v.page_paths(spark, sf_dir), unit, "unit")
+    return changes.distinct_sorted(v.page_paths(spark, sf_dir), unit, "unit", "place")
 
 
 CHECKS = ["click", "view", "purchase", "signup"]

@@ -4,6 +4,7 @@ import datetime
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cadastre.operators import sequence as seq
@@ -191,3 +192,15 @@ def test_wide_integers_do_not_overflow(spark):
     frame = spark.createDataFrame([(i, 1, x) for i, x in enumerate(values)], "id int, u int, at bigint")
     want = {e[0]: (n,) for n, e in enumerate(sorted(enumerate(values), key=lambda e: (e[1], e[0])))}
     assert by_id(seq.renumber(frame, KEY, ORDER, F.lit(""), 5), "position") == want
+
+
+def test_with_place(spark):
+    words = ["b", None, "", "a-b", "a", "é", "z" * 5000, "a"]
+    frame = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "id int, w string")
+    got = {r["id"]: r["at"] for r in seq.with_place(frame, ["w", "id"], "at").collect()}
+    ordered = sorted(enumerate(words), key=lambda e: (e[1] is not None, (e[1] or "").encode(), e[0]))
+    assert got == {i: n for n, (i, _) in enumerate(ordered)}
+    many = spark.range(20_000).withColumn("x", F.xxhash64("id"))
+    placed = seq.with_place(many, ["x"]).withColumn("again", F.row_number().over(Window.orderBy("x")) - 1)
+    assert placed.columns == ["id", "x", "place", "again"] and placed.filter("place = again").count() == 20_000
+    assert seq.with_place(many.limit(0), ["x"]).count() == 0
