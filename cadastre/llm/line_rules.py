@@ -1,10 +1,11 @@
 """Quality rules with a cross-document line frequency, in DataFrame functions throughout.
 
 Lines are normalised and hashed, the different texts of a host that hold a line are counted, lines
-above both limits are removed, and a document that loses over half of its words is rejected.
+in more than ``max_texts`` of them are removed, and a document that loses over half of its words is
+rejected.  The limit is the same in every host, so a verdict does not depend on the host's size.
 
-The lines of a host above ``max_share`` are few: at most lines per text / max_share.  They travel
-as one array per host, so no document is joined line by line.
+Hashes of lines are joined with the frequent ones by (host, line) and gathered per text, so that a
+text meets only those of its own lines that go.
 """
 
 from __future__ import annotations
@@ -13,12 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadastre.llm.common import SPACE, fresh, maybe_broadcast, word_count
-from cadastre.sources.scratch import cut
+from cadastre.sources.scratch import cut, settle
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-# A line is removed if more than so many different texts of its host have it, and so large a share.
-MAX_TEXTS, MAX_SHARE = 20, 0.1
+# A line is removed if more than so many different texts of its host have it.
+MAX_TEXTS = 20
 MAX_REMOVED_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -63,33 +64,22 @@ def with_repeats(docs: DataFrame, text: str, name: str) -> DataFrame:
     return out.withColumn(name, total).drop(places)
 
 
-def frequent_lines(
-    docs: DataFrame,
-    host: str = "source",
-    text: str = "text",
-    max_texts: int = MAX_TEXTS,
-    max_share: float = MAX_SHARE,
-) -> DataFrame:
-    """(host, lines): hashes of the normalised lines above both limits, a row per host that has some.
+def frequent_lines(docs: DataFrame, host: str = "source", text: str = "text", max_texts: int = MAX_TEXTS) -> DataFrame:
+    """(host, of, lines): per text of a host, known by its hash ``of``, its lines above the limit, hashed.
 
-    Equal texts of a host count once, so copies do not make their own lines frequent; a null host
-    is a host; lines without a word do not count.
+    Texts without such lines have no row.  Equal texts of a host count once, so copies do not make
+    their own lines frequent; a null host is a host; lines without a word do not count.
     """
     lines = F.transform(lines_of(F.col(text)), normalised)
     lines = F.transform(F.filter(lines, lambda x: x != ""), lambda x: F.xxhash64(x))
-    # The null stands for the text itself.
-    marked = F.concat(F.array_distinct(lines), F.array(F.lit(None).cast("long")))
     rows = docs.select(
-        F.col(host).alias("host"), F.xxhash64(F.col(text)).alias("of"), F.explode(marked).alias("line")
-    )
-    counts = rows.distinct().groupBy("host", "line").agg(F.count("*").alias("n"))
-    counts = cut(counts.filter(F.col("line").isNull() | (F.col("n") > max_texts)))
-    texts = maybe_broadcast(
-        counts.filter("line is null").select(F.col("host").alias("of_host"), F.col("n").alias("texts"))
+        F.col(host).alias("host"), F.xxhash64(F.col(text)).alias("of"), F.explode(F.array_distinct(lines)).alias("line")
     )
-    above = counts.filter("line is not null").join(texts, F.col("host").eqNullSafe(F.col("of_host")))
-    above = above.filter(F.col("n") > max_share * F.col("texts"))
-    return cut(above.groupBy("host").agg(F.collect_list("line").alias("lines")))
+    rows = settle(rows.distinct())
+    often = rows.groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") > max_texts)
+    often = maybe_broadcast(cut(often.select(F.col("host").alias("of_host"), F.col("line").alias("often"))))
+    same = F.col("host").eqNullSafe(F.col("of_host")) & (F.col("line") == F.col("often"))
+    return cut(rows.join(often, same).groupBy("host", "of").agg(F.collect_list("line").alias("lines")))
 
 
 def judged(
@@ -97,7 +87,6 @@ def judged(
     host: str = "source",
     text: str = "text",
     max_texts: int = MAX_TEXTS,
-    max_share: float = MAX_SHARE,
     max_removed_percent: int = MAX_REMOVED_PERCENT,
 ) -> DataFrame:
     """The rows of ``docs`` with one column ``judged`` more (with underscores before it if taken).
@@ -110,10 +99,11 @@ def judged(
     repeats = fresh(docs, "repeats")
     t = F.col(text)
     body = F.coalesce(t, F.lit(""))
-    found = frequent_lines(docs, host, text, max_texts, max_share)
-    of_host = fresh(docs, "of_host")
-    found = maybe_broadcast(found.withColumnsRenamed({"host": of_host, "lines": gone}))
-    rows = docs.join(found, docs[host].eqNullSafe(found[of_host]), "left").drop(of_host)
+    found = frequent_lines(docs, host, text, max_texts)
+    of_host, of = fresh(docs, "of_host"), fresh(docs, "of_text")
+    found = maybe_broadcast(found.withColumnsRenamed({"host": of_host, "of": of, "lines": gone}))
+    same = docs[host].eqNullSafe(found[of_host]) & (F.xxhash64(docs[text]) == found[of])
+    rows = docs.join(found, same, "left").drop(of_host, of)
     rows = with_repeats(rows, text, repeats)
     worded = F.filter(lines_of(t), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
     is_gone = lambda x: F.array_contains(gone, F.xxhash64(normalised(x))) & (normalised(x) != "")

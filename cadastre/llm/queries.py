@@ -138,11 +138,8 @@ lines AS (
   FROM (SELECT r, source, text, unnest(string_split(body, chr(10))) AS line FROM d)),
 dups AS (
   SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines WHERE n > 0 GROUP BY r),
-texts AS (SELECT source, count(DISTINCT coalesce(text, '')) + CAST(bool_or(text IS NULL) AND bool_or(text = '') AS INT) AS texts FROM d GROUP BY source),
 frequent AS (
-  SELECT l.source, l.norm FROM lines l JOIN texts t ON l.source IS NOT DISTINCT FROM t.source
-  WHERE l.norm <> '' GROUP BY l.source, l.norm, t.texts
-  HAVING count(DISTINCT l.text) > 20 AND count(DISTINCT l.text) > 0.1 * t.texts),
+  SELECT source, norm FROM lines WHERE norm <> '' GROUP BY source, norm HAVING count(DISTINCT text) > 20),
 removed AS (
   SELECT l.r, sum(l.n) AS removed FROM lines l JOIN frequent f
   ON l.norm = f.norm AND l.source IS NOT DISTINCT FROM f.source GROUP BY l.r),

@@ -163,6 +163,14 @@ def test_frequent_lines_go_and_depleted_documents_are_rejected(spark):
     assert kept[3] == body[3] and kept[301] == body[0]
 
 
+def test_frequent_lines_do_not_depend_on_the_size_of_the_host(spark):
+    own = spark.range(2000).selectExpr("id AS doc_id", "concat_ws('\n', 'Shared line', concat_ws(' ', transform(sequence(1, 60), x -> concat('w', id, 'x', x)))) AS text", "'large' AS source")
+    rows = own.withColumn("text", F.when(F.col("doc_id") >= 21, F.substring_index("text", "\n", -1)).otherwise(F.col("text")))
+    small = rows.filter("doc_id < 20").withColumn("source", F.lit(None).cast("string"))
+    got = line_rules.passed(rows.unionByName(small)).groupBy("source").agg(F.count_if(F.col("text").contains("Shared line")))
+    assert {tuple(r) for r in got.collect()} == {("large", 0), (None, 20)}
+
+
 BASE = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
