@@ -1,34 +1,43 @@
-"""Exact top-k by inner product: best-first search in paged M-trees.
+"""Exact top-k by inner product: best-first search of one stored M-tree.
 
-Vectors are dealt to blocks by their nearest pivot (a hash splits a block that would be too large;
-any dealing is right, as radii are taken from the members).  A block is an M-tree of its own: pages
-of entries, each with a routing object, a covering radius and the distance to its parent.  For a
-query q and a node with routing object c and radius r, no member scores more than q.c + |q| r.  By
-the triangle inequality q.c itself is at most q.parent + |q| d(c, parent), so many nodes are left
-out without their product being computed.
+The tree is two tables.  ``leaves`` has a row per vector: its leaf page and its distance to the
+page's routing object.  ``pages`` has a row per inner page: for each child its routing object, its
+covering radius and its distance to the routing object of the page.  A name is the path from the root.
 
-A query first searches the block of the highest bound; the score of its k-th result then bounds
-the other blocks, and only those that may hold a better one, or an equal one, are searched.
+For a query q and a node with routing object c and radius r, no member scores more than q.c + |q| r.
+By the triangle inequality q.c itself is at most q.parent + |q| d(c, parent), so many children and
+vectors are left out without their product being computed.
+
+All queries search together, in rounds.  A query keeps a frontier of nodes with their bounds; in a
+round it opens the best of them, then drops all that cannot hold a better result, or an equal one,
+than its k-th.  Rounds open ``WIDEN`` times as many nodes as the one before, so their number grows
+with the logarithm of what has to be read.
 """
 
 from __future__ import annotations
 
-import heapq
+from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadastre.llm.common import maybe_broadcast, ship
-from cadastre.sources.scratch import cut
+from cadastre.sources.scratch import cut, settle
 
 SCALE = 1024
-PIVOTS = 64  # sampled by hash; only the quality of the blocks depends on them
-BLOCK = 4096
-PAGE = 32
+FANOUT = 64
+BLOCK = 1024  # vectors of a leaf page
+TASK = 1 << 16  # vectors dealt to their nearest pivot at once
+ASKED = 4096  # queries that meet a page at once
+WIDEN = 4
 SLACK = 1e-6  # relative, for the rounding of bounds
 
+FRONTIER = "query_id long, node string, leaf boolean, bound double, product double"
+RESULT = "query_id long, id long, score long"
+
 
 def quantised(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", scale: int = SCALE) -> DataFrame:
     """(id, v): floor(scale * x) of each component as double.
@@ -43,216 +52,225 @@ def quantised(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding",
     return rows.select("id", F.transform("x", lambda c: F.floor(c * scale).cast("long")).alias("v"))
 
 
-def _matrix(vectors, dims: int) -> np.ndarray:
-    """Rows of numbers; missing components at the end count as zero."""
-    out = np.zeros((len(vectors), dims), "i8")
-    for row, v in zip(out, vectors, strict=True):
-        row[: len(v)] = v
-    return out
+def _far(points: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    return np.linalg.norm(points - centre, axis=1)
 
 
-class MTree:
-    """A bulk-loaded M-tree over the integer vectors of one block.
+@dataclass
+class Tree:
+    """leaves (node, id, v, gap) and pages (node, child, leaf, centre, radius, gap: arrays)."""
 
-    ``levels[0]`` are pages of vectors, each level above groups the nodes of the one below.  A node
-    is (routing object, covering radius, distance to its parent's routing object, its children).
-    """
+    leaves: DataFrame
+    pages: DataFrame
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        self.ids, self.vectors = ids, vectors
-        points = vectors.astype("f8")
-        groups = self._group(points, np.arange(len(points)))
-        self.centres = np.array([points[g].mean(axis=0) for g in groups])
-        self.radii = np.array([self._far(points[g], c) for g, c in zip(groups, self.centres)])
-        self.children: list[list[np.ndarray]] = [groups]
-        self.levels = [(self.centres, self.radii)]
-        self.to_parent = [
-            np.concatenate([np.linalg.norm(points[g] - c, axis=1) for g, c in zip(groups, self.centres)])
-        ]
-        while len(self.levels[-1][0]) > PAGE:
-            centres, radii = self.levels[-1]
-            groups = self._group(centres, np.arange(len(centres)))
-            up = np.array([centres[g].mean(axis=0) for g in groups])
-            gaps = [np.linalg.norm(centres[g] - c, axis=1) for g, c in zip(groups, up)]
-            self.to_parent.append(np.concatenate(gaps))
-            self.children.append(groups)
-            reach = np.array([(d + radii[g]).max() for d, g in zip(gaps, groups)])
-            self.levels.append((up, reach))
-
-    @staticmethod
-    def _far(points: np.ndarray, centre: np.ndarray) -> float:
-        return float(np.linalg.norm(points - centre, axis=1).max()) if len(points) else 0.0
-
-    @staticmethod
-    def _group(points: np.ndarray, members: np.ndarray) -> list[np.ndarray]:
-        """Halve by the direction between two far points until a group fits a page."""
-        todo, done = [members], []
-        while todo:
-            g = todo.pop()
-            if len(g) <= PAGE:
-                done.append(g)
-                continue
-            p = points[g]
-            a = p[np.argmax(np.linalg.norm(p - p[0], axis=1))]
-            b = p[np.argmax(np.linalg.norm(p - a, axis=1))]
-            order = np.argsort(p @ (b - a), kind="stable")
-            todo += [g[order[: len(g) // 2]], g[order[len(g) // 2 :]]]
-        return done
-
-    def top(self, query: np.ndarray, k: int, least: float, leave_out: int | None = None) -> list[tuple[int, int]]:
-        """The k best (score, id), ties to the smaller id, of those that score ``least`` or more."""
-        q = query.astype("f8")
-        size = float(np.linalg.norm(q))
-        slack = SLACK * (1 + size)
-        best: list[tuple[int, int]] = []  # heap of (score, -id)
-        centres, radii = self.levels[-1]
-        products = centres @ q
-        queue = [
-            (-(s + size * r), len(self.levels) - 1, i, s)
-            for i, (s, r) in enumerate(zip(products.tolist(), radii.tolist()))
-        ]
-        heapq.heapify(queue)
-        bar = least
-        while queue:
-            bound, level, node, product = heapq.heappop(queue)
-            if -bound + slack * (1 + abs(bound)) < bar:
-                break
-            group = self.children[level][node]
-            gap = self._gaps(level, node)
-            if level == 0:
-                maybe = group[product + size * gap + slack * (1 + abs(product)) >= bar]
-                scores = self.vectors[maybe] @ query
-                for s, i in zip(scores.tolist(), self.ids[maybe].tolist()):
-                    if i == leave_out or s < bar:
-                        continue
-                    if len(best) < k:
-                        heapq.heappush(best, (s, -i))
-                    elif (s, -i) > best[0]:
-                        heapq.heapreplace(best, (s, -i))
-                    if len(best) == k:
-                        bar = max(bar, best[0][0])
-                continue
-            centres, radii = self.levels[level - 1]
-            reach = product + size * (gap + radii[group])
-            maybe = group[reach + slack * (1 + abs(product)) >= bar]
-            products = centres[maybe] @ q
-            for i, s, r in zip(maybe.tolist(), products.tolist(), radii[maybe].tolist()):
-                if s + size * r + slack * (1 + abs(s)) >= bar:
-                    heapq.heappush(queue, (-(s + size * r), level - 1, i, s))
-        return sorted(((s, -i) for s, i in best), key=lambda x: (-x[0], x[1]))
-
-    def _gaps(self, level: int, node: int) -> np.ndarray:
-        low = getattr(self, "_low", None)
-        if low is None:
-            low = self._low = [np.cumsum([0, *map(len, groups)]) for groups in self.children]
-        return self.to_parent[level][low[level][node] : low[level][node + 1]]
-
-
-def top_k(
-    vectors: DataFrame,
-    queries: DataFrame,
-    k: int = 10,
-    pivots: int = PIVOTS,
-    block: int = BLOCK,
-) -> DataFrame:
-    """(query_id, rank, id, score) of the k best vectors of each query, its own id left out.
-
-    Both inputs are (id, v) as ``quantised`` gives them; with fewer than k candidates all are
-    returned.  Of rows with equal ids each is a candidate, and a query that occurs twice is
-    answered once.
+    def write(self, folder: str) -> None:
+        self.leaves.write.parquet(f"{folder}/leaves")
+        self.pages.write.parquet(f"{folder}/pages")
+
+    @classmethod
+    def read(cls, spark: SparkSession, folder: str) -> Tree:
+        return cls(spark.read.parquet(f"{folder}/leaves"), spark.read.parquet(f"{folder}/pages"))
+
+
+def _dealt(vectors: DataFrame, block: int, fanout: int) -> DataFrame:
+    """(node, id, v): vectors dealt to pivots of their node again and again, until all nodes are leaves.
+
+    Pivots are some of the node's different vectors, the same on every run.  A node that they do not
+    divide, as one of equal vectors, is divided by chance; any dealing is right, as radii are taken
+    from the members.
     """
-    ship(vectors.sparkSession)
-    vectors, queries = cut(vectors), cut(queries.dropDuplicates(["id"]))
+    salt = F.xxhash64(F.monotonically_increasing_id()).alias("salt")
+    todo = cut(vectors.select("id", "v", salt, F.lit("r").alias("node"), F.lit(0).cast("long").alias("of")))
+    done = []
+    n = F.count("*").alias("n")
+    different = F.approx_count_distinct(F.xxhash64("v")).alias("different")
+    while True:
+        large = todo.groupBy("node").agg(n, different, F.max("of").alias("of_parent")).filter(F.col("n") > block)
+        parts = F.least(F.lit(fanout), F.ceil(2 * F.col("n") / block)).cast("int").alias("parts")
+        whole = (F.col("n") == F.col("of_parent")).alias("whole")
+        large = cut(large.select("node", "n", "different", parts, whole))
+        if large.isEmpty():
+            break
+        rows = todo.join(maybe_broadcast(large), "node", "left")
+        done.append(rows.filter("n is null").select("node", "id", "v"))
+        rows = rows.filter("n is not null")
+        chosen = F.pmod(F.xxhash64("v"), F.lit(1 << 40)) < F.lit(float(1 << 42)) * F.col("parts") / F.col("different")
+        seen = rows.filter(~F.col("whole") & chosen).select("node", "n", "parts", F.xxhash64("v").alias("h"), "v").distinct()
+        seen = seen.groupBy("node", "n", "parts").agg(F.array_sort(F.collect_list(F.struct("h", "v"))).alias("seen"))
+        slices = F.ceil(F.col("n") / TASK)
+        pivots = seen.select(
+            F.col("node").alias("node"),  # a name of its own in the cogroup below
+            F.explode(F.sequence(F.lit(0).cast("long"), slices - 1)).alias("slice"),
+            F.slice("seen", 1, F.col("parts")).getField("v").alias("pivots"),
+        )
+        chance = F.pmod(F.xxhash64("salt", "node"), F.col("parts")).alias("chance")
+        rows = rows.select("node", F.pmod("salt", slices).alias("slice"), "id", "v", "salt", "n", chance)
+
+        def deal(members, pivot):
+            to = members["chance"].to_numpy()
+            if len(members) and len(pivot):
+                x = np.stack(members["v"]).astype("f8")
+                p = np.stack(pivot["pivots"].iloc[0]).astype("f8")
+                to = ((p**2).sum(axis=1) - 2 * x @ p.T).argmin(axis=1)
+            node = [f"{name}.{i}" for name, i in zip(members["node"], to, strict=True)]
+            return members[["id", "v", "salt"]].assign(node=node, of=members["n"])
+
+        both = rows.groupBy("node", "slice").cogroup(pivots.groupBy("node", "slice"))
+        todo = cut(both.applyInPandas(deal, "id long, v array<long>, salt long, node string, of long"))
+    for part in done:
+        todo = todo.select("node", "id", "v").unionByName(part)
+    return todo.select("node", "id", "v")
+
+
+def build(vectors: DataFrame, block: int = BLOCK, fanout: int = FANOUT) -> Tree:
+    """The M-tree of (id, v); components missing at the end of a vector count as zero."""
+    spark = vectors.sparkSession
+    ship(spark)
+    vectors = cut(vectors.select("id", "v"))
     dims = vectors.agg(F.max(F.size("v"))).first()[0] or 1
-    # A bounded sample of distinct routing objects, the same on every run.
-    sample = vectors.orderBy(F.xxhash64("id"), "id").limit(pivots).collect()
-    routing = np.unique(_matrix([r["v"] for r in sample], dims), axis=0).astype("f8")
-
-    def nearest(batches):
-        for pdf in batches:
-            p = _matrix(pdf["v"], dims).astype("f8")
-            far = (routing**2).sum(axis=1) - 2 * p @ routing.T if len(routing) else np.zeros((len(p), 1))
-            yield pdf.assign(pivot=far.argmin(axis=1) if len(p) else np.zeros(0, "i8"))
-
-    dealt = vectors.mapInPandas(nearest, "id long, v array<long>, pivot long")
-    counts = {r["pivot"]: r["count"] for r in dealt.groupBy("pivot").count().collect()}
-    first, blocks = {}, 0
-    for p in sorted(counts):
-        first[p], blocks = blocks, blocks - (-counts[p] // block)
-    if not blocks:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, id long, score long")
-    table = F.create_map(*[F.lit(int(x)) for p in first for x in (p, first[p])])
-    width = F.create_map(*[F.lit(int(x)) for p in first for x in (p, -(-counts[p] // block))])
-    pivot = F.col("pivot")
-    # The hash takes in the vector too, so that rows of one id are dealt apart.
-    number = table[pivot] + F.pmod(F.xxhash64("id", "v"), width[pivot])
-    dealt = cut(dealt.select(number.cast("long").alias("block"), "id", "v"))
-
-    def ball(key, pdf):
-        p = _matrix(pdf["v"], dims).astype("f8")
-        centre = p.mean(axis=0)
-        return pd.DataFrame({"block": [key[0]], "centre": [centre], "radius": [MTree._far(p, centre)]})
-
-    balls = dealt.groupBy("block").applyInPandas(ball, "block long, centre array<double>, radius double")
-    # One row per block of up to ``block`` vectors; read as a table by the tasks that need bounds.
-    nodes = cut(balls)
-    found = nodes.toPandas()
-    number_of, radius = found["block"].to_numpy(), found["radius"].to_numpy()
-    centre = np.array(found["centre"].tolist())
-
-    def bounds(v: np.ndarray) -> np.ndarray:
-        q = v.astype("f8")
-        size = np.linalg.norm(q, axis=1)
-        out = q @ centre.T + size[:, None] * radius
-        return out + SLACK * (1 + size[:, None]) * (1 + np.abs(out))
-
-    def first_block(batches):
-        for pdf in batches:
-            if len(pdf):
-                best = bounds(_matrix(pdf["v"], dims)).argmax(axis=1)
-                yield pdf.assign(block=number_of[best], least=-np.inf)
-
-    def other_blocks(batches):
-        for pdf in batches:
-            out = []
-            for row, bound in zip(pdf.itertuples(index=False), bounds(_matrix(pdf["v"], dims)), strict=True):
-                to = number_of[(bound >= row.least) & (number_of != row.block)]
-                out.append(pd.DataFrame({"id": row.id, "v": [row.v] * len(to), "block": to, "least": row.least}))
-            if out:
-                yield pd.concat(out)
-
-    def search(key, members, asked):
-        if not len(members) or not len(asked):
-            return pd.DataFrame({"query_id": [], "id": [], "score": []}).astype("i8")
-        tree = MTree(members["id"].to_numpy("i8"), _matrix(members["v"], dims))
-        rows = [
-            (int(i), x, s)
-            for i, v, least in zip(asked["id"], _matrix(asked["v"], dims), asked["least"], strict=True)
-            for s, x in tree.top(v, k, least, int(i))
-        ]
-        return pd.DataFrame(rows, columns=["query_id", "id", "score"]).astype("i8")
-
-    def searched(asked: DataFrame) -> DataFrame:
-        """A block that very many queries ask is copied, so that each copy answers up to ``block``."""
-        parts = asked.groupBy("block").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
-        parts = maybe_broadcast(cut(parts))
-        copies = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
-        members = dealt.join(parts, "block").select("block", copies, "id", "v")
-        part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part")
-        asked = asked.join(parts, "block").select("block", part, "id", "v", "least")
-        both = members.groupBy("block", "part").cogroup(asked.groupBy("block", "part"))
-        return both.applyInPandas(search, "query_id long, id long, score long")
-
-    request = "id long, v array<long>, block long, least double"
-    begun = cut(queries.mapInPandas(first_block, request))
-    one = cut(searched(begun))
-    kth = one.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("s"))
-    least = F.when(F.col("n") >= k, F.col("s").cast("double")).otherwise(float("-inf"))
-    bar = kth.select(F.col("query_id").alias("id"), least.alias("bar"))
-    more = begun.join(bar, "id", "left").select(
-        "id", "v", "block", F.coalesce("bar", F.lit(float("-inf"))).alias("least")
+    vectors = vectors.withColumn("v", F.concat("v", F.array_repeat(F.lit(0).cast("long"), F.lit(dims) - F.size("v"))))
+
+    def leaf(pdf):
+        x = np.stack(pdf["v"]).astype("f8")
+        centre = x.mean(axis=0)
+        gap = _far(x, centre)
+        head = [centre.tolist()] + [None] * (len(pdf) - 1)
+        return pdf.assign(gap=gap, centre=head, radius=gap.max())
+
+    schema = "node string, id long, v array<long>, gap double, centre array<double>, radius double"
+    leaves = settle(_dealt(vectors, block, fanout).groupBy("node").applyInPandas(leaf, schema))
+
+    def page(pdf):
+        pdf = pdf.sort_values("node")
+        x = np.stack(pdf["centre"])
+        centre = x.mean(axis=0)
+        gap = _far(x, centre)
+        radius = pdf["radius"].to_numpy()
+        return pd.DataFrame({
+            "node": [pdf["parent"].iloc[0]], "child": [pdf["node"].tolist()], "leaf": [pdf["leaf"].tolist()],
+            "centres": [x.tolist()], "radii": [radius.tolist()], "gaps": [gap.tolist()],
+            "centre": [centre.tolist()], "radius": [float((gap + radius).max())],
+        })
+
+    inner = (
+        "node string, child array<string>, leaf array<boolean>, centres array<array<double>>, "
+        "radii array<double>, gaps array<double>, centre array<double>, radius double"
+    )
+    depth = F.regexp_count("node", F.lit(r"\."))
+    balls = leaves.filter("centre is not null").select("node", "centre", "radius", F.lit(True).alias("leaf"))
+    above = spark.createDataFrame([], inner)
+    pages = [above]
+    deepest = balls.agg(F.max(depth)).first()[0] or 0
+    for level in range(deepest, 0, -1):
+        nodes = above.select("node", "centre", "radius", F.lit(False).alias("leaf"))
+        nodes = nodes.unionByName(balls.filter(depth == level))
+        parent = F.regexp_replace("node", r"\.[0-9]+$", "").alias("parent")
+        above = cut(nodes.select("*", parent).groupBy("parent").applyInPandas(page, inner))
+        pages.append(above)
+    table = pages[0]
+    for more in pages[1:]:
+        table = table.unionByName(more)
+    return Tree(leaves.select("node", "id", "v", "gap"), settle(table.drop("centre", "radius")))
+
+
+def _slack(bound: np.ndarray | float, size: float) -> np.ndarray | float:
+    return bound + SLACK * (1 + size) * (1 + np.abs(bound))
+
+
+def _opened(page: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+    """The children of an inner page that may hold results of the queries that ask it."""
+    out = []
+    if len(page) and len(asked):
+        p = page.iloc[0]
+        centres, radii, gaps = np.stack(p["centres"]), np.asarray(p["radii"]), np.asarray(p["gaps"])
+        child, leaf = np.asarray(p["child"], object), np.asarray(p["leaf"])
+        for i, v, product, bar in zip(asked["query_id"], asked["v"], asked["product"], asked["bar"], strict=True):
+            q = v.astype("f8")
+            size = float(np.linalg.norm(q))
+            # The product with the page's own routing object bounds those with the children's.
+            maybe = np.flatnonzero(_slack(product + size * (gaps + radii), size) >= bar) if np.isfinite(product) else np.arange(len(gaps))
+            products = centres[maybe] @ q
+            bound = _slack(products + size * radii[maybe], size)
+            near = bound >= bar
+            out.append(pd.DataFrame({
+                "query_id": i, "node": child[maybe][near], "leaf": leaf[maybe][near], "bound": bound[near], "product": products[near],
+            }))
+    columns = ["query_id", "node", "leaf", "bound", "product"]
+    return pd.concat(out) if out else pd.DataFrame(columns=columns)
+
+
+def _searched(k: int) -> Callable:
+    def search(members: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        """Of a leaf page, the k best vectors of each query that asks it, no score below its bar."""
+        out = []
+        if len(members) and len(asked):
+            ids, vectors = members["id"].to_numpy("i8"), np.stack(members["v"]).astype("i8")
+            gaps = members["gap"].to_numpy()
+            for i, v, product, bar in zip(asked["query_id"], asked["v"], asked["product"], asked["bar"], strict=True):
+                size = float(np.linalg.norm(v.astype("f8")))
+                maybe = (_slack(product + size * gaps, size) >= bar) if np.isfinite(product) else np.ones(len(ids), bool)
+                maybe &= ids != i
+                names, scores = ids[maybe], vectors[maybe] @ v.astype("i8")
+                best = np.lexsort((names, -scores))[:k]
+                best = best[scores[best] >= bar]
+                out.append(pd.DataFrame({"query_id": i, "id": names[best], "score": scores[best]}))
+        return pd.concat(out) if out else pd.DataFrame(columns=["query_id", "id", "score"])
+
+    return search
+
+
+def _meet(nodes: DataFrame, asked: DataFrame, fn: Callable, schema: str) -> DataFrame:
+    """Each page with the queries that ask it; a page that very many ask is copied."""
+    parts = asked.groupBy("node").agg(F.ceil(F.count("*") / ASKED).cast("int").alias("parts"))
+    parts = maybe_broadcast(cut(parts))
+    copies = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    nodes = nodes.join(parts, "node").select("*", copies)
+    asked = asked.join(parts, "node").withColumn("part", F.pmod(F.xxhash64("query_id"), F.col("parts")).cast("int"))
+    return nodes.groupBy("node", "part").cogroup(asked.groupBy("node", "part")).applyInPandas(fn, schema)
+
+
+def search(tree: Tree, queries: DataFrame, k: int = 10, trace: list | None = None) -> DataFrame:
+    """(query_id, rank, id, score) of the k best vectors of each query (id, v), its own id left out.
+
+    With fewer than k candidates all are returned.  Of rows with equal ids each is a candidate, and
+    a query that occurs twice is answered once.  ``trace`` gets the inner and leaf pages asked per round.
+    """
+    spark = queries.sparkSession
+    ship(spark)
+    # The product of a longer query with what the tree's vectors lack is zero.
+    dims = tree.leaves.agg(F.max(F.size("v"))).first()[0] or 0
+    v = F.slice(F.concat("v", F.array_repeat(F.lit(0).cast("long"), dims)), 1, dims)
+    queries = cut(queries.dropDuplicates(["id"]).select(F.col("id").alias("query_id"), v.alias("v")))
+    no_bar, best = float("-inf"), spark.createDataFrame([], RESULT)
+    root = tree.pages.isEmpty()
+    frontier = queries.select(
+        "query_id", F.lit("r").alias("node"), F.lit(root).alias("leaf"), F.lit(float("inf")).alias("bound"), F.lit(float("inf")).alias("product")
     )
-    rest = searched(cut(more.mapInPandas(other_blocks, request)))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    ranked = one.unionByName(rest).withColumn("rank", F.row_number().over(order))
-    return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+    by_bound = Window.partitionBy("query_id").orderBy(F.desc("bound"), "node")
+    by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+    width = 1
+    while True:
+        full = best.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").cast("double").alias("bar"))
+        full = full.filter(F.col("n") >= k).select("query_id", "bar")
+        live = frontier.join(full, "query_id", "left").withColumn("bar", F.coalesce("bar", F.lit(no_bar)))
+        live = live.filter("bound >= bar").withColumn("nth", F.row_number().over(by_bound))
+        live = cut(live)
+        if live.isEmpty():
+            break
+        asked = live.filter(F.col("nth") <= width).join(queries, "query_id")
+        pages, leaves = asked.filter("not leaf"), asked.filter("leaf")
+        if trace is not None:
+            trace.append((pages.count(), leaves.count()))
+        opened = _meet(tree.pages, pages.select("node", "query_id", "v", "product", "bar"), _opened, FRONTIER)
+        found = _meet(tree.leaves, leaves.select("node", "query_id", "v", "product", "bar"), _searched(k), RESULT)
+        ranked = best.unionByName(found).withColumn("rank", F.row_number().over(by_score))
+        best = cut(ranked.filter(F.col("rank") <= k).select("query_id", "id", "score"))
+        rest = live.filter(F.col("nth") > width).select("query_id", "node", "leaf", "bound", "product")
+        frontier = rest.unionByName(opened)
+        width *= WIDEN
+    return best.select("query_id", F.row_number().over(by_score).alias("rank"), "id", "score")
+
+
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, block: int = BLOCK, fanout: int = FANOUT) -> DataFrame:
+    """``search`` of a tree built for the occasion; both inputs are (id, v) as ``quantised`` gives them."""
+    return search(build(vectors, block, fanout), queries, k)

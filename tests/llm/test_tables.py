@@ -207,7 +207,7 @@ def test_minimal_perfect_hash(n):
         assert (token_store.find_slot(keys, seeds, n) == slots).all()
 
 
-@pytest.mark.parametrize("block", [8, 4096])
+@pytest.mark.parametrize("block", [32, 4096])
 def test_top_k(spark, block):
     rng = np.random.default_rng(2)
     rows = [(i, rng.normal(size=6).tolist()) for i in range(200)]
@@ -229,6 +229,31 @@ def test_top_k(spark, block):
     assert mtree.top_k(few, few).count() == 6
 
 
+def test_tree_is_stored_and_prunes(spark, tmp_path):
+    """Of clustered vectors a query opens few leaves, however many there are; equal rows are divided too."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(40, 8)) * 20
+    points = np.concatenate([centres[i % 40] + rng.normal(size=8) / 10 for i in range(4000)]).reshape(-1, 8)
+    rows = [(i, p.tolist()) for i, p in enumerate(points)] + [(9000, points[0].tolist())] * 300
+    vectors = mtree.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    built = mtree.build(vectors, block=40, fanout=8)
+    sizes = {r["node"]: r["count"] for r in built.leaves.groupBy("node").count().collect()}
+    assert sum(sizes.values()) == 4300 and max(sizes.values()) <= 40
+    assert max(n.count(".") for n in sizes) > 1
+    built.write(str(tmp_path / "tree"))
+    queries, trace = vectors.filter("id % 400 = 0 and id < 4000"), []
+    got = mtree.search(mtree.Tree.read(spark, str(tmp_path / "tree")), queries, 10, trace).collect()
+    have = [(r["id"], np.array(r["v"])) for r in vectors.collect()]
+    ids, all_v = np.array([i for i, _ in have]), np.stack([v for _, v in have])
+    want = []
+    for i, q in have:
+        if i % 400 == 0 and i < 4000:
+            s = np.where(ids == i, -(2**62), all_v @ q)
+            want += [(i, n, int(ids[x]), int(s[x])) for n, x in enumerate(np.lexsort((ids, -s))[:10], 1)]
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert sum(leaves for _, leaves in trace) < 10 * len(sizes) / 4
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_matches_sql(spark, sf_dir, name):
     con = duckdb.connect()
