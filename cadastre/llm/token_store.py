@@ -20,6 +20,7 @@ import os
 import re
 import zlib
 from array import array
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -182,6 +183,21 @@ def byte_letters() -> dict[int, str]:
 LETTERS = byte_letters()
 
 
+class Known(dict):
+    """Ids of pieces; one that is missing comes from ``older``, else from ``encode``, and stays unless it is long."""
+
+    def __init__(self, encode: Callable[[str], bytes], older: dict[str, bytes]):
+        self.encode, self.older = encode, dict(older)
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.encode(piece)
+        if len(piece) <= LONGEST:
+            self[piece] = ids
+        return ids
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library, without special tokens added.
 
@@ -196,8 +212,7 @@ class Encoder:
         # Arrays of the machine's order, which is little-endian wherever Spark runs.
         self.tokenizer, self.code = Tokenizer.from_file(path), {"<u2": "H", "<u4": "I"}[kind]
         self.special = [GLUED, LINE, *(t.content for t in self.tokenizer.get_added_tokens_decoder().values())]
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known = Known(self.piece, {})
         probes = [" probe", "Probe", " \u00e9t\u00e9", "\u0141\u00f3d\u017a", "x" * 50, " THE"]
         self.direct = [self._word(p) for p in probes] == self._library(probes)
 
@@ -205,14 +220,10 @@ class Encoder:
         letters = word.encode().decode("latin-1").translate(LETTERS)
         return array(self.code, [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
 
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
-        if not self.direct:
-            return self._library(pieces)
-        out = [self._word(p) if WORD.fullmatch(p) else None for p in pieces]
-        others = [i for i, x in enumerate(out) if x is None]
-        for i, x in zip(others, self._library([pieces[i] for i in others]), strict=True):
-            out[i] = x
-        return out
+    def piece(self, piece: str) -> bytes:
+        """Ids of a piece as ``_pieces`` makes it."""
+        plain = "\n" if piece == LINE else piece[1:] if piece[:1] == GLUED else " " + piece
+        return self._word(plain) if self.direct and WORD.fullmatch(plain) else self._library([plain])[0]
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -221,17 +232,9 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         texts = [t or "" for t in texts]
         whole = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
-        cut = [_pieces(t) for t in texts]
         if len(self.known) > CACHE:
-            self.known, self.older = {}, self.known
-        # Of this batch only: small enough to stay in the processor's cache.
-        known, older = self.known, self.older
-        here = {w: known.get(w) or older.get(w) for w in set().union(*cut)}
-        new = [w for w, ids in here.items() if ids is None]
-        plain = ["\n" if w == LINE else w[1:] if w[:1] == GLUED else " " + w for w in new]
-        here.update(zip(new, self._pieces(plain), strict=True))
-        known.update((w, ids) for w, ids in here.items() if len(w) <= LONGEST)
-        out = [b"".join(map(here.__getitem__, c)) for c in cut]
+            self.known = Known(self.piece, self.known)
+        out = [b"".join(map(self.known.__getitem__, _pieces(t))) for t in texts]
         for i, x in zip(whole, self._library([texts[i] for i in whole]), strict=True):
             out[i] = x
         return out
