@@ -19,14 +19,17 @@ from cadastre.operators.routes import resolve_routes
 from cadastre.operators.skew import fits_broadcast, salted_join
 from cadastre.plans.catalogue import typed_records
 from cadastre.sources.manifests import decode_records, manifest_stream
-from cadastre.sources.scratch import exists, remove, scratch_folder
+from cadastre.sources.scratch import exists, is_folder, remove, scratch_folder
 
 
 def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """Parquet files called ``name`` in a folder, as a stream."""
+    """The table ``name`` in a folder, one parquet file or a folder of them, as a stream."""
     file = f"{name}.parquet"
     schema = spark.read.parquet(f"{folder}/{file}").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", file).parquet(folder)
+    stream = spark.readStream.schema(schema)
+    if is_folder(spark, f"{folder}/{file}"):
+        return stream.parquet(f"{folder}/{file}")
+    return stream.option("pathGlobFilter", file).parquet(folder)
 
 
 def stream_records(spark: SparkSession, root: str, fmt: str = "yaml") -> DataFrame:
