@@ -14,6 +14,7 @@ NAMES = [
     "a4_flagged_positions",
     "j1_missing_targets",
     "j1_ref_integrity",
+    "j2_status",
     "stream_array_lookup",
 ]
 
