@@ -15,6 +15,7 @@ NAMES = [
     "j1_missing_targets",
     "j1_ref_integrity",
     "j2_status",
+    "j3_array_lookup",
     "stream_array_lookup",
 ]
 
