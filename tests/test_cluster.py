@@ -16,6 +16,7 @@ NAMES = [
     "j1_ref_integrity",
     "j2_status",
     "j3_array_lookup",
+    "j5_route_resolve",
     "stream_array_lookup",
 ]
 
