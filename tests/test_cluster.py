@@ -19,6 +19,7 @@ NAMES = [
     "j5_route_resolve",
     "j6_affected_units",
     "j7_presence_report",
+    "o1_path_order",
     "stream_array_lookup",
 ]
 
