@@ -20,6 +20,7 @@ NAMES = [
     "j6_affected_units",
     "j7_presence_report",
     "o1_path_order",
+    "o2_group_order",
     "stream_array_lookup",
 ]
 
