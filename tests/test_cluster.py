@@ -21,6 +21,7 @@ NAMES = [
     "j7_presence_report",
     "o1_path_order",
     "o2_group_order",
+    "page_cards",
     "stream_array_lookup",
 ]
 
