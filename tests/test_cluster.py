@@ -24,6 +24,7 @@ NAMES = [
     "page_cards",
     "s3_commit_records",
     "stream_array_lookup",
+    "stream_endpoints",
 ]
 
 
