@@ -12,6 +12,7 @@ NAMES = [
     "a2_duplicate_keys",
     "a3_ordered_concat",
     "a4_flagged_positions",
+    "catalogue_index",
     "j1_missing_targets",
     "j1_ref_integrity",
     "j2_status",
