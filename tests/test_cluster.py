@@ -23,6 +23,7 @@ NAMES = [
     "o1_path_order",
     "o2_group_order",
     "page_cards",
+    "s1_manifest_scan",
     "s3_commit_records",
     "stream_array_lookup",
     "stream_endpoints",
