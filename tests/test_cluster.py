@@ -13,6 +13,7 @@ NAMES = [
     "a3_ordered_concat",
     "a4_flagged_positions",
     "catalogue_index",
+    "full_flow",
     "j1_missing_targets",
     "j1_ref_integrity",
     "j2_status",
