@@ -14,6 +14,7 @@ NAMES = [
     "a4_flagged_positions",
     "catalogue_index",
     "full_flow",
+    "j1_from_tree",
     "j1_missing_targets",
     "j1_ref_integrity",
     "j2_status",
