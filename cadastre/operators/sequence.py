@@ -45,8 +45,8 @@ def with_place(df: DataFrame, order: list[Column | str], name: str = "place") ->
     """
     terms = [f"_order_{i}" for i in range(len(order))]
     rows = df.select("*", *[(F.col(c) if isinstance(c, str) else c).alias(t) for c, t in zip(order, terms)])
-    rows = settle(rows.repartitionByRange(*terms).withColumn("_slice", F.spark_partition_id()))
-    rows = rows.withColumns({"_all": F.lit(0), "_hot": F.lit(True)})
+    rows = rows.repartitionByRange(*terms).withColumns({"_slice": F.spark_partition_id(), "_all": F.lit(0), "_hot": F.lit(True)})
+    rows = settle(rows)  # with the key: Spark drops one that it sees to be constant from the windows
     out = _number(Lists(rows, ["_all"], terms, split=True))
     return _done(out.withColumn(name, F.col("_nth") - 1), "_nth", "_all", *terms)
 

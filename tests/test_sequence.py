@@ -204,3 +204,10 @@ def test_with_place(spark):
     placed = seq.with_place(many, ["x"]).withColumn("again", F.row_number().over(Window.orderBy("x")) - 1)
     assert placed.columns == ["id", "x", "place", "again"] and placed.filter("place = again").count() == 20_000
     assert seq.with_place(many.limit(0), ["x"]).count() == 0
+
+
+def test_windows_of_places_keep_their_key(spark):
+    placed = seq.with_place(spark.range(100).withColumn("x", F.xxhash64("id")), ["x"])
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if "windowspecdefinition" in line]
+    assert windows and all("windowspecdefinition(_all#" in line for line in windows)
